@@ -26,7 +26,7 @@ KEYS = {
     "ipdr": ["user_id", "timestamp", "domain"],
     "edr": ["event_id", "user_id", "event_time"],
 }
-FOREIGN = {"cdr": "cell_id = 'CELL_777'", "ipdr": "duration = '50'", "edr": "location = '-80.5,-100.25'"}
+FOREIGN = {"cdr": "cell_id = 'CELL_777'", "ipdr": "duration = '50'", "edr": "user_id = '100000000007'"}
 DOUBLED = {"cdr": "imei", "ipdr": "domain", "edr": "event_type"}
 DEFAULTS = {"protocol": "TCP", "call_type": "voice_in", "event_type": "app_launch", "network_type": "4G",
             "os_type": "Android"}
@@ -278,7 +278,8 @@ def _oracles() -> dict[str, str]:
         lambda k: f"select '{k}' as record_type, rid from ({raw_sql(k)}) u where {FOREIGN[k]}"
     )
     sql["missing_field_report"] = f"""select unnest([{', '.join(f"'{c}'" for c in COLUMNS['edr'])}]) as field,
-        records from (select count(*) as records from ({raw_sql('edr')}) u where {FOREIGN['edr']}) n"""
+        records from (select count(*) as records from ({raw_sql('edr')}) u where {FOREIGN['edr']}) n
+        where records > 0"""
     ipdr_flags = ", ".join(
         f"{loose_flag(q(c)) if c in FLAGS else q(c)} as {q(c)}" for c in COLUMNS["ipdr"]
     )
@@ -331,16 +332,13 @@ def _oracles() -> dict[str, str]:
     )
 
     def faults(kind: str) -> str:
-        # nothing of a cut-off body counts but a first value that is complete
-        first = COLUMNS[kind][0] if kind == "edr" else None
-        parts = []
+        parts = []  # nothing of a cut-off body counts
         for c in KEYS[kind]:
             lacking = f"{q(c)} is null or trim({q(c)}, ' ') = ''"
             parts.append(
                 f"select '{kind}' as record_type, '{c}' as field, count(*) as records"
                 f" from ({live_values(kind, 'casefold')}) l where broken or {lacking} having count(*) > 0"
             )
-        del first
         return " union all ".join(parts)
 
     sql["quarantine_live"] = per_kind(faults)
@@ -381,7 +379,7 @@ def _oracles() -> dict[str, str]:
     sql["numbered_timeline"] = f"""select subscriber, row_number() over (partition by subscriber
         order by ts, source_rank, payload) as seq, ts, source, is_fraud, payload from ({timeline_rows()}) n"""
     sql["fraud_alerts"] = f"select * from ({clean_table('edr')}) n where is_fraud"
-    sql["labelled_export"] = f"""select substr(call_start, 1, 10) as event_date, count(*) as records,
+    sql["labelled_export"] = f"""select substr(call_start, 1, 7) as event_month, count(*) as records,
         count(*) filter (is_fraud) as fraud_records from ({clean_table('cdr')}) n group by 1"""
     sql["read_json"] = sql["read_json_gz"] = standard("edr", not_foreign("edr"), True)
     blank = f"select * replace (nullif(imei, '') as imei) from ({raw_sql('cdr')}) x"

@@ -84,8 +84,8 @@ def doubled_field(spec: RecordSpec) -> str:
 
 def is_foreign(spec: RecordSpec):
     """Rows whose record holds no known name."""
-    field = {"cdr": "cell_id", "ipdr": "duration", "edr": "location"}[spec.name]
-    value = {"cdr": "CELL_777", "ipdr": "50", "edr": "-80.5,-100.25"}[spec.name]
+    field = {"cdr": "cell_id", "ipdr": "duration", "edr": "user_id"}[spec.name]
+    value = {"cdr": "CELL_777", "ipdr": "50", "edr": "100000000007"}[spec.name]
     return F.col(field) == value
 
 
@@ -428,9 +428,8 @@ def fraud_alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 def labelled_export(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "labelled")
-    table_sinks.export_labelled(clean_table(spark, sf, "cdr"), CDR, path)
-    back = spark.read.parquet(path)
-    return back.groupBy(F.date_format("event_date", "yyyy-MM-dd").alias("event_date")).agg(
+    table_sinks.export_labelled(clean_table(spark, sf, "cdr"), CDR, path, period="yyyy-MM")
+    return spark.read.parquet(path).groupBy(F.col("event_date").cast("string").alias("event_month")).agg(
         F.count(F.lit(1)).alias("records"), F.count_if("is_fraud").alias("fraud_records")
     )
 
@@ -459,9 +458,9 @@ def read_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Two layouts of the same records under one folder, merged without de-duplication."""
     path = work_path(spark, "ipdr-csv")
     raw = raw_records(spark, sf, "ipdr")
-    exports.export_csv(raw.select(*IPDR.fields), f"{path}/a")
+    exports.export_csv(raw.select(*IPDR.fields), f"{path}/ipdr_a")
     turned = [F.col(f).alias(IPDR.accepted(f)[-1]) for f in reversed(IPDR.fields)]
-    exports.export_csv(raw.select(F.lit("x").alias("vendor_code"), *turned), f"{path}/b")
+    exports.export_csv(raw.select(F.lit("x").alias("vendor_code"), *turned), f"{path}/ipdr_b")
     return record_files.read_csv_files(spark, [path], IPDR).drop("path")
 
 
@@ -547,7 +546,7 @@ def merged_batch(spark: SparkSession, sf: str) -> DataFrame:
 def headerless_merged(spark: SparkSession, sf: str) -> DataFrame:
     source = work_path(spark, "headerless")
     rows = raw_records(spark, sf, "edr").select(*EDR.fields)
-    rows.write.option("escape", '"').csv(f"{source}/{EDR.merged_files[1]}")  # under the alternative name
+    rows.write.options(**table_sinks.PLAIN_CSV).csv(f"{source}/{EDR.merged_files[1]}")  # under the alternative name
     return merged.read_merged(spark, source, EDR, header=False)
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from callweave.sinks.tables import PLAIN_CSV
+
 
 def export_json(df: DataFrame, path: str, gzip: bool = False) -> None:
     """One object per line, nulls written out."""
@@ -61,7 +63,7 @@ def export_json_arrays(df: DataFrame, path: str, rows_per_file: int = 50_000, gz
 
 def export_csv(df: DataFrame, path: str, gzip: bool = False) -> None:
     """Header and all columns, nulls empty."""
-    writer = df.write.mode("overwrite").option("header", "true").option("escape", '"')
+    writer = df.write.mode("overwrite").options(header="true", **PLAIN_CSV)
     (writer.option("compression", "gzip") if gzip else writer).csv(path)
 
 

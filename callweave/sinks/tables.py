@@ -10,13 +10,16 @@ from callweave.specs import RecordSpec
 # Rows per JDBC round trip.
 JDBC_BATCH_SIZE = 1000
 
+# Spark's CSV writer trims values and escapes quotes with a backslash unless told otherwise.
+PLAIN_CSV = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 
 def write_merged(df: DataFrame, spec: RecordSpec, target: str, fmt: str = "csv") -> str:
     """The merged set of a type in table column order, as CSV with header or Parquet."""
     path = f"{target.rstrip('/')}/final_{spec.name}.{fmt}"
     writer = df.select(*spec.fields).write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", "true").option("escape", '"').csv(path)
+        writer.options(header="true", **PLAIN_CSV).csv(path)
     else:
         writer.format(fmt).save(path)
     return path
@@ -43,11 +46,11 @@ def append_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def export_labelled(df: DataFrame, spec: RecordSpec, path: str) -> None:
-    """A clean table for model training, one folder per event date.
+def export_labelled(df: DataFrame, spec: RecordSpec, path: str, period: str = "yyyy-MM-dd") -> None:
+    """A clean table for model training, one folder per event date (or other ``period``).
 
     The rebalance hint lets Spark split a busy date over several files and
     join small ones, by the sizes it sees at run time.
     """
-    dated = df.withColumn("event_date", F.to_date(spec.event_time))
+    dated = df.withColumn("event_date", F.date_format(spec.event_time, period))
     dated.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(path)

@@ -83,10 +83,15 @@ def csv_headers(
     cannot split a file.
     """
     lines = _routed(_reader(spark, glob).text(list(paths)), spec)
-    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    files = lines.groupBy(_plain_path().alias("path")).agg(
-        F.min_by("value", place).alias("header"), F.max(quotes % 2 == 1).alias("quoted_breaks")
+    placed = lines.select(
+        _plain_path().alias("path"),
+        "value",
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+        (quotes % 2 == 1).alias("odd"),
+    )
+    files = placed.groupBy("path").agg(
+        F.min_by("value", "place").alias("header"), F.max("odd").alias("quoted_breaks")
     )
     return files.groupBy("header", "quoted_breaks").agg(F.collect_list("path").alias("paths"))
 
