@@ -143,9 +143,13 @@ def clean_batch(
 
 
 def parse_messages(df: DataFrame, spec: RecordSpec, value: str = "value") -> DataFrame:
-    """JSON message bodies as columns; a body that is no such JSON gives nulls."""
+    """JSON message bodies as columns; a body that is no such JSON gives nulls.
+
+    The generator has each body parsed once. As a projection the parser would
+    be copied into every later filter and column that reads a field.
+    """
     body = F.from_json(F.col(value).cast("string"), spec.message_schema)
-    return df.select(body.alias("data")).select("data.*")
+    return df.select(F.inline(F.array(body)))
 
 
 def live_values(df: DataFrame, spec: RecordSpec, match: str = "casefold") -> DataFrame:

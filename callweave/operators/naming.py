@@ -53,19 +53,19 @@ def resolve_records(
     lookup, so the cost does not grow with the number of accepted names.
     """
     _check_policy(policy)
-    rows = df.select(
-        *keep,
-        _targets(spec, F.map_keys(record), legacy).alias("_targets"),
-        F.map_values(record).alias("_values"),
-    ).where(F.exists("_targets", lambda t: t.isNotNull()))
-    targets = F.col("_targets")
+    # Through a generator, so that the translation is computed once per record:
+    # a plain projection would be merged into the filter and every column.
+    once = F.struct(
+        _targets(spec, F.map_keys(record), legacy).alias("_targets"), F.map_values(record).alias("_values")
+    )
+    rows = df.select(*keep, F.inline(F.array(once))).where(F.exists("_targets", lambda t: t.isNotNull()))
     if policy == "first_non_null":
         filled = F.zip_with("_targets", "_values", lambda t, v: F.when(v.isNotNull(), t))
         rows = rows.select(*keep, filled.alias("_targets"), "_values")
     picked = rows.select(
         *keep,
         *[
-            F.get("_values", (F.array_position(targets, field) - 1).cast("int")).alias(field)
+            F.get("_values", (F.array_position("_targets", field) - 1).cast("int")).alias(field)
             for field in spec.fields
         ],
     )

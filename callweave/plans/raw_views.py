@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from callweave.session import spread
+
 _TEXT = {"spark": "string", "duckdb": "varchar"}
 
 
@@ -165,7 +167,7 @@ def base_table(kind: str) -> str:
 
 def raw_records(spark: SparkSession, sf_dir: str, kind: str, copies: bool = False) -> DataFrame:
     """A raw view as text columns; ``copies`` repeats every fiftieth row."""
-    table = spark.read.parquet(f"{sf_dir}/{base_table(kind)}.parquet")
+    table = spread(spark.read.parquet(f"{sf_dir}/{base_table(kind)}.parquet"))
     view = table.selectExpr(*[f"{expr} as `{name}`" for name, expr in view_columns(kind, "spark")])
     if copies:
         view = view.selectExpr("*", "explode(sequence(1, if(rid % 50 = 0, 2, 1))) as copy_no")

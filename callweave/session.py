@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "callweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,3 +45,13 @@ def work_path(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="callweave-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores if their files give fewer partitions than that.
+
+    A few small files (or one Parquet row group) would leave most cores idle.
+    Inputs with enough partitions, so all large ones, pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
