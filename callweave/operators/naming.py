@@ -74,7 +74,7 @@ def resolve_records(
 
 def unmapped_records(df: DataFrame, spec: RecordSpec, record: str = "record", legacy: bool = False) -> DataFrame:
     """Records in which no name is known: the complement of ``resolve_records``."""
-    known = F.exists(_targets(spec, F.map_keys(record), legacy), lambda t: t.isNotNull())
+    known = F.arrays_overlap(F.map_keys(record), F.array(*[F.lit(n) for n in spec.name_lookup(legacy)]))
     return df.where(~F.coalesce(known, F.lit(False)))
 
 

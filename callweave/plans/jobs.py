@@ -14,7 +14,7 @@ from callweave.operators.cleaning import clean_batch, published_values
 from callweave.operators.distinct import distinct_rows
 from callweave.operators.messages import to_messages
 from callweave.operators.quality import count_on_the_way, field_coverage
-from callweave.session import pin_time_zone
+from callweave.session import prepare
 from callweave.sinks.tables import write_merged
 from callweave.sources.crawl import crawl
 from callweave.sources.merged import read_merged
@@ -31,7 +31,7 @@ def standardize_files(
 
     The input is read once: coverage is taken from the merged set just written.
     """
-    pin_time_zone(spark)
+    prepare(spark)
     coverage = {}
     for name, rows in crawl(spark, root, **policies).items():
         spec = spec_for(name)
@@ -58,7 +58,7 @@ def process_batch(
     One pass per type: the counts before and after de-duplication are taken
     while the sink writes. Returns one metrics record per type.
     """
-    pin_time_zone(spark)
+    prepare(spark)
     batch_id = str(uuid.uuid4())
     run_ts = run_ts or datetime.now().replace(microsecond=0)
     log = []
@@ -97,7 +97,7 @@ def publish(
     keyed: bool = False,
 ) -> list[dict]:
     """Send the merged file of each type as messages; one log record per topic."""
-    pin_time_zone(spark)
+    prepare(spark)
     batch_id, log = str(uuid.uuid4()), []
     for name in types or list(SPECS):
         spec, start = spec_for(name), time.time()
@@ -124,7 +124,7 @@ def start_all_live(
     **options,
 ) -> dict:
     """A live query per record type in one application, by type name."""
-    pin_time_zone(spark)
+    prepare(spark)
     return {
         name: start_live(messages(spec), spec, sink(spec), checkpoint, **options)
         for name, spec in SPECS.items()

@@ -18,7 +18,7 @@ from callweave import functions as V
 from callweave.operators import cleaning, distinct, messages, naming, quality, timeline
 from callweave.plans.jobs import process_batch, published_messages
 from callweave.plans.raw_views import raw_records
-from callweave.session import pin_time_zone, work_path
+from callweave.session import prepare, work_path
 from callweave.sinks import exports
 from callweave.sinks import messages as message_sinks
 from callweave.sinks import tables as table_sinks
@@ -697,11 +697,11 @@ def _registry() -> dict[str, Query]:
     return found
 
 
-def _pinned(query: Query) -> Query:
+def _prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(pin_time_zone(spark), sf_dir)
+        return query(prepare(spark), sf_dir)
 
     return run
 
 
-QUERIES: dict[str, Query] = {name: _pinned(query) for name, query in _registry().items()}
+QUERIES: dict[str, Query] = {name: _prepared(query) for name, query in _registry().items()}

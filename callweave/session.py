@@ -8,6 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# PySpark notes the call site of every column call by default, which makes plans of
+# some hundred expressions slow to build.
+LEAN_CALLS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def build_session(app: str = "callweave", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; ``conf`` keys use `__` for a dot."""
     builder = SparkSession.builder.appName(app)
@@ -18,6 +23,7 @@ def build_session(app: str = "callweave", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        **LEAN_CALLS,
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
     for key, value in settings.items():
@@ -25,10 +31,12 @@ def build_session(app: str = "callweave", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def pin_time_zone(spark: SparkSession) -> SparkSession:
-    """Epoch seconds are rendered in UTC, whatever the machine's zone."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings results rest on, for sessions made elsewhere: epoch seconds are
+    rendered in UTC, whatever the machine's zone."""
+    for key, value in {"spark.sql.session.timeZone": "UTC", **LEAN_CALLS}.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -90,8 +90,11 @@ def csv_headers(
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
         (quotes % 2 == 1).alias("odd"),
     )
+    # collect_set (of two values at most) makes Spark aggregate by hash; with
+    # text and struct buffers alone it would sort every line by path first
     files = placed.groupBy("path").agg(
-        F.min_by("value", "place").alias("header"), F.max("odd").alias("quoted_breaks")
+        F.min_by("value", "place").alias("header"),
+        F.array_contains(F.collect_set("odd"), True).alias("quoted_breaks"),
     )
     return files.groupBy("header", "quoted_breaks").agg(F.collect_list("path").alias("paths"))
 
