@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -44,6 +45,17 @@ def count_on_the_way(df: DataFrame, **extra: Column) -> tuple[DataFrame, Observa
     return df.observe(seen, F.count(F.lit(1)).alias("records"), *[c.alias(n) for n, c in extra.items()]), seen
 
 
+def counts_seen(seen: Observation) -> dict:
+    """What an observation counted. Where Spark sees at run time that no row can
+    come, it drops the step with its counters, so nothing counted means no rows."""
+    try:
+        return seen.get
+    except Py4JJavaError as error:
+        if "java.lang.AssertionError" in str(error):
+            return {}
+        raise
+
+
 def field_coverage(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Per column the percentage of rows that hold a value."""
     share = df.agg(*[(F.count(f) / F.count(F.lit(1)) * F.lit(100.0)).alias(f) for f in fields])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from callweave.operators.cleaning import clean_batch, published_values
 from callweave.operators.distinct import distinct_rows
 from callweave.operators.messages import to_messages
-from callweave.operators.quality import count_on_the_way, field_coverage
+from callweave.operators.quality import count_on_the_way, counts_seen, field_coverage
 from callweave.session import prepare
 from callweave.sinks.tables import write_merged
 from callweave.sources.crawl import crawl
@@ -51,6 +51,7 @@ def process_batch(
     types: list[str] | None = None,
     run_ts: datetime | str | None = None,
     header: bool = True,
+    multi_line: bool = True,
     **options,
 ) -> list[dict]:
     """Clean the merged files of each type and append them to its table.
@@ -64,11 +65,12 @@ def process_batch(
     log = []
     for name in types or list(SPECS):
         spec, start = spec_for(name), time.time()
-        raw, seen = count_on_the_way(read_merged(spark, source, spec, header))
+        raw, seen = count_on_the_way(read_merged(spark, source, spec, header, multi_line))
         table = distinct_rows(clean_batch(raw, spec, run_ts, **options))
         table, kept = count_on_the_way(table, fraud_records=F.count_if("is_fraud"))
         sink(table, spec)
-        before, after = seen.get["records"], kept.get["records"]
+        came, left = counts_seen(seen), counts_seen(kept)
+        before, after = came.get("records", 0), left.get("records", 0)
         log.append(
             {
                 "batch_id": batch_id,
@@ -76,7 +78,7 @@ def process_batch(
                 "records_before_cleaning": before,
                 "records_after_cleaning": after,
                 "dropped_records": before - after,
-                "fraud_records": kept.get["fraud_records"],
+                "fraud_records": left.get("fraud_records", 0),
                 "processing_time_seconds": round(time.time() - start, 3),
                 "timestamp": datetime.now().strftime("%Y-%m-%d %H:%M:%S"),
             }
@@ -95,21 +97,23 @@ def publish(
     send: Callable[[DataFrame], None],
     types: list[str] | None = None,
     keyed: bool = False,
+    multi_line: bool = True,
 ) -> list[dict]:
     """Send the merged file of each type as messages; one log record per topic."""
     prepare(spark)
     batch_id, log = str(uuid.uuid4()), []
     for name in types or list(SPECS):
         spec, start = spec_for(name), time.time()
-        messages, seen = count_on_the_way(published_messages(read_merged(spark, source, spec), spec, keyed))
+        rows = read_merged(spark, source, spec, multi_line=multi_line)
+        messages, seen = count_on_the_way(published_messages(rows, spec, keyed))
         send(messages)
-        elapsed = time.time() - start
+        elapsed, sent = time.time() - start, counts_seen(seen).get("records", 0)
         log.append(
             {
                 "topic": spec.topic,
                 "batch_id": batch_id,
-                "records_sent": seen.get["records"],
-                "records_per_second": round(seen.get["records"] / elapsed, 2),
+                "records_sent": sent,
+                "records_per_second": round(sent / elapsed, 2),
                 "elapsed_seconds": round(elapsed, 2),
             }
         )

@@ -61,7 +61,11 @@ def record_folders(spark: SparkSession, root: str) -> list[str]:
 
 
 def file_manifest(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """One row per file below ``paths``; no file content is read."""
+    """One row per file below ``paths``; no file content is read.
+
+    Spark's listing leaves out files of no bytes and names that start with a
+    dot or an underscore.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
     path = F.col("_metadata.file_path")
     return files.select(

@@ -20,12 +20,14 @@ def _flat(spark: SparkSession, header: bool, multi_line: bool):
 
 
 def read_merged(
-    spark: SparkSession, source: str, spec: RecordSpec, header: bool = True, multi_line: bool = False
+    spark: SparkSession, source: str, spec: RecordSpec, header: bool = True, multi_line: bool = True
 ) -> DataFrame:
     """The merged CSV of a type as text columns, under the first of its names that exists.
 
     No type inference, hence no extra scan. Without header the columns take
-    the table's names by position.
+    the table's names by position. With ``multi_line`` a quoted value may hold
+    line ends and a part file is one task; switch it off for large single files
+    known to have none, which then split.
     """
     missing: AnalysisException | None = None
     for name in spec.merged_files:
