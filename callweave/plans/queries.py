@@ -75,7 +75,8 @@ def ragged_records(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
         values.append(F.array(F.col(field)))
     full = F.map_from_arrays(F.concat(*names), F.concat(*values))
     foreign = F.create_map(F.lit("vendor_code"), F.col("rid").cast("string"), F.lit("memo"), F.lit("x"))
-    return raw.select("rid", F.when(is_foreign(spec), foreign).otherwise(full).alias("record"))
+    record = F.when(is_foreign(spec), foreign).otherwise(full)
+    return raw.select("rid", F.explode(F.array(record)).alias("record"))  # built once, not per later use
 
 
 def doubled_field(spec: RecordSpec) -> str:

@@ -23,6 +23,10 @@ def build_session(app: str = "callweave", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # the state of stream de-duplication lives on disk, not in the executors' heap
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
         **LEAN_CALLS,
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
