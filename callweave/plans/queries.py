@@ -521,10 +521,9 @@ def crawl_report(spark: SparkSession, sf: str) -> DataFrame:
     exports.export_csv(raw, f"{root}/cdr_subdir/cdr_csv")
     exports.export_json(raw, f"{root}/cdr_subdir/cdr_lines")  # no JSON arrays: every file fails
     exports.export_csv(raw, f"{root}/cdr_subdir/misc")  # no type in the name or folder
-    folders = listing.record_folders(spark, root)
-    report = listing.file_report(
-        listing.file_manifest(spark, folders), crawl.crawl_type(spark, folders, CDR).select("path")
-    )
+    folders = listing.record_folders(root)
+    records = crawl.crawl_type(crawl.open_tree(spark, folders), CDR)
+    report = listing.file_report(listing.file_manifest(spark, folders), records.select("path"))
     return report.groupBy("record_type", "format").agg(F.sum("records").alias("records"))
 
 

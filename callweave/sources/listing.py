@@ -56,8 +56,9 @@ def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return [p for p in paths if there(p)]
 
 
-def record_folders(spark: SparkSession, root: str) -> list[str]:
-    return existing(spark, [f"{root.rstrip('/')}/{sub}" for sub in SUBFOLDERS])
+def record_folders(root: str) -> list[str]:
+    """The record folders below ``root`` as one glob, which passes over missing ones."""
+    return [f"{root.rstrip('/')}/{{{','.join(SUBFOLDERS)}}}"]
 
 
 def file_manifest(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

@@ -15,7 +15,7 @@ import zipfile
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, Row, SparkSession
 from pyspark.sql import functions as F
 
 from callweave.functions import blank_to_null
@@ -43,8 +43,17 @@ def _plain_path(spark_uri: str = PATH):
     return F.url_decode(F.replace(F.col(spark_uri), F.lit("+"), F.lit("%2B")))
 
 
+def scan_whole(spark: SparkSession, paths: Sequence[str], glob: str) -> DataFrame:
+    """Files as one text value each, not yet read; to be shared by several types."""
+    return _reader(spark, glob).text(list(paths), wholetext=True)
+
+
 def read_json_arrays(
-    spark: SparkSession, paths: Sequence[str], spec: RecordSpec | None = None, glob: str = "*.json"
+    spark: SparkSession,
+    paths: Sequence[str],
+    spec: RecordSpec | None = None,
+    glob: str = "*.json",
+    scan: DataFrame | None = None,
 ) -> DataFrame:
     """Files that are one JSON array of objects each, as ``(path, record)``.
 
@@ -52,7 +61,7 @@ def read_json_arrays(
     the parallelism (``read_json_lines`` splits). A file that is no such array
     gives no rows. Gzipped files are unpacked by their suffix.
     """
-    files = _routed(_reader(spark, glob).text(list(paths), wholetext=True), spec)
+    files = _routed(scan or scan_whole(spark, paths, glob), spec)
     rows = files.select(
         F.col(PATH).alias("path"),
         F.explode(F.from_json("value", "array<map<string,string>>")).alias("record"),
@@ -60,8 +69,10 @@ def read_json_arrays(
     return rows.where(F.col("record").isNotNull())
 
 
-def read_gzip_json(spark: SparkSession, paths: Sequence[str], spec: RecordSpec | None = None) -> DataFrame:
-    return read_json_arrays(spark, paths, spec, glob="*.json.gz")
+def read_gzip_json(
+    spark: SparkSession, paths: Sequence[str], spec: RecordSpec | None = None, scan: DataFrame | None = None
+) -> DataFrame:
+    return read_json_arrays(spark, paths, spec, "*.json.gz", scan)
 
 
 def read_json_lines(
@@ -76,7 +87,7 @@ def read_json_lines(
 def csv_headers(
     spark: SparkSession, paths: Sequence[str], spec: RecordSpec | None = None, glob: str = "*.csv"
 ) -> DataFrame:
-    """Per distinct header line the files that start with it.
+    """Per record type and distinct header line the files that start with it.
 
     ``quoted_breaks`` marks files where a line holds an odd number of quotes,
     so a quoted value may run over a line end. Only those need the reader that
@@ -86,17 +97,18 @@ def csv_headers(
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     placed = lines.select(
         _plain_path().alias("path"),
+        record_type_of(F.col(PATH)).alias("record_type"),
         "value",
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
         (quotes % 2 == 1).alias("odd"),
     )
     # collect_set (of two values at most) makes Spark aggregate by hash; with
     # text and struct buffers alone it would sort every line by path first
-    files = placed.groupBy("path").agg(
+    files = placed.groupBy("path", "record_type").agg(
         F.min_by("value", "place").alias("header"),
         F.array_contains(F.collect_set("odd"), True).alias("quoted_breaks"),
     )
-    return files.groupBy("header", "quoted_breaks").agg(F.collect_list("path").alias("paths"))
+    return files.groupBy("record_type", "header", "quoted_breaks").agg(F.collect_list("path").alias("paths"))
 
 
 def read_csv_files(
@@ -105,14 +117,19 @@ def read_csv_files(
     spec: RecordSpec,
     policy: str = "first_non_null",
     glob: str = "*.csv",
+    headers: Sequence[Row] | None = None,
 ) -> DataFrame:
     """CSV files with headers of their own, as standard rows with ``path``.
 
     Files are read together per distinct header, so the plan grows with the
     number of layouts, not of files, and columns of no interest are not parsed.
+    ``headers`` hands in what ``csv_headers`` found, to share it between types.
     """
     frames = []
-    for group in csv_headers(spark, paths, spec, glob).collect():
+    found = csv_headers(spark, paths, spec, glob).collect() if headers is None else headers
+    for group in found:
+        if group["record_type"] != spec.name:
+            continue
         header = next(csv.reader([group["header"]]), [])
         if not header:
             continue
@@ -163,6 +180,11 @@ def read_xml_files(spark: SparkSession, paths: Sequence[str], spec: RecordSpec,
     return standard.withColumnRenamed("_path", "path")
 
 
+def scan_archives(spark: SparkSession, paths: Sequence[str], glob: str = "*.csv.zip") -> DataFrame:
+    """Archives with their bytes, not yet read; to be shared by several types."""
+    return _reader(spark, glob).format("binaryFile").load(list(paths))
+
+
 _ZIP_SCHEMA = "path string, record map<string,string>, error string"
 _ARROW_RECORD = pa.map_(pa.string(), pa.string())
 _ROWS_PER_BATCH = 10_000
@@ -208,13 +230,14 @@ def read_zip_csv(
     spec: RecordSpec | None = None,
     glob: str = "*.csv.zip",
     errors: bool = False,
+    scan: DataFrame | None = None,
 ) -> DataFrame:
     """The first entry of each zip archive as ``(path, record)``.
 
     An archive is one task. With ``errors`` the unreadable archives are
     returned instead, as ``(path, error)``.
     """
-    files = _routed(_reader(spark, glob).format("binaryFile").load(list(paths)), spec)
+    files = _routed(scan or scan_archives(spark, paths, glob), spec)
     return unzip_records(files.select(F.col(PATH).alias("path"), "content"), errors)
 
 
