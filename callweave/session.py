@@ -36,11 +36,10 @@ def build_session(app: str = "callweave", master: str | None = None, **conf: str
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Settings results rest on, for sessions made elsewhere: epoch seconds are
+    """What results rest on, for sessions made elsewhere: epoch seconds are
     rendered in UTC, whatever the machine's zone."""
-    for key, value in {"spark.sql.session.timeZone": "UTC", **LEAN_CALLS}.items():
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
