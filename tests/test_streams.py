@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,7 +102,6 @@ def test_fold_copies_folds_within_batches_and_keeps_all_values(spark):
 def test_three_live_queries_in_one_application(spark, tmp_path):
     feed = str(tmp_path / "in")
     land(spark, feed, [body(1)])
-    seen = progress.ThroughputLog()
     queries = jobs.start_all_live(
         spark,
         lambda spec: streams.file_messages(spark, feed),
@@ -112,7 +113,20 @@ def test_three_live_queries_in_one_application(spark, tmp_path):
     for query in queries.values():
         query.awaitTermination()
     assert live.read_epochs(spark, str(tmp_path / "edr"), EDR).count() == 1
-    seen.onQueryIdle(None)
+
+
+def test_throughput_log(spark, tmp_path):
+    seen = progress.ThroughputLog()
+    spark.streams.addListener(seen)
+    try:
+        land(spark, str(tmp_path / "in"), [body(1), body(2)])
+        run(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+        deadline = time.time() + 20  # events arrive on a thread of their own
+        while seen.records.get("edr") != 2 and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(seen)
+    assert seen.records == {"edr": 2} and seen.errors == {"edr": 0}
 
 
 def test_jdbc_sink_skips_empty_batches(spark, monkeypatch):
