@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import quality, simhash
+from callweave.llm import decontamination, quality, secrets, simhash
 from callweave.llm.common import table
 from callweave.session import prepare
 
@@ -30,5 +30,31 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {"op2_simhash": op2_simhash, "op10_quality": op10_quality}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = decontamination.contaminated_spans(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), payload=["doc_id"]
+    )
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["past"] - s["first"])
+    return found.select(
+        "doc.doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return found.select(
+        "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(secrets.spans_text("base"), 256).alias("base_sha256"), secrets.spans_text("spans").alias("spans"),
+    )
+
+
+QUERIES: dict[str, Query] = {
+    "op2_simhash": op2_simhash,
+    "op3_secrets": op3_secrets,
+    "op9_decontamination": op9_decontamination,
+    "op10_quality": op10_quality,
+}
 ORACLES: dict[str, str] = {}
