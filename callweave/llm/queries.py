@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import decontamination, quality, secrets, simhash
+from callweave.llm import decontamination, packing, quality, secrets, simhash
 from callweave.llm.common import table
 from callweave.session import prepare
 
@@ -51,9 +51,23 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    """Pieces with the checksum of their ids instead of the ids."""
+    pieces = packing.pack(docs.select("doc_id", "text", "source"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return packed_pieces(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_secrets": op3_secrets,
+    "op4_packing": op4_packing,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
 }

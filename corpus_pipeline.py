@@ -7,9 +7,10 @@ next. All but the last return the columns of the documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from callweave.llm import quality, simhash
-from callweave.llm.common import stored
+from callweave.llm import decontamination, packing, quality, secrets, simhash
+from callweave.llm.common import stored, table
 from callweave.session import prepare
 
 
@@ -25,7 +26,31 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_duplicates(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup)]
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages they share with the benchmark."""
+    prepare(spark)
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their secrets replaced by a mark."""
+    prepare(spark)
+    return secrets.redact_secrets(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their token ids, place in a sequence, and checksum."""
+    prepare(spark)
+    return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
+    ("packing", packed),
+]
 
 ORACLE_SQL = None
 
