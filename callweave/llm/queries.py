@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import chat, decontamination, packing, quality, secrets, sharding, simhash
-from callweave.llm.common import table
+from callweave.llm import (
+    chat,
+    decontamination,
+    extraction,
+    language,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    toxicity,
+)
+from callweave.llm.common import held_out, table
 from callweave.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,12 +96,40 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = docs.where(~held_out(F.col("doc_id"))).join(labels, "doc_id").select(F.col("doc_id").alias("id"), "toxic", "text")
+    scored = toxicity.score(docs, toxicity.train(known), "doc_id")
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.where(~held_out(F.col("doc_id"))).select("lang", "text"))
+    found = language.predict(docs, model, "doc_id")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = extraction.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
     "op3_secrets": op3_secrets,
     "op4_packing": op4_packing,
     "op5_chat": op5_chat,
+    "op6_language": op6_language,
     "op7_sharding": op7_sharding,
+    "op8_extraction": op8_extraction,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
 }
