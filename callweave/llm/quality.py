@@ -190,7 +190,9 @@ def covariance_outliers(
     vector = statistic_vector()
     names = list(vector)
     y = [f"y_{n}" for n in names]
-    rows = stored(_groups(stats.withColumns({f"x_{n}": c for n, c in vector.items()}), lang, source, min_rows), "quality-rows")
+    # written once: every later step reads numbers, not texts
+    rows = stored(stats.withColumns({f"x_{n}": c for n, c in vector.items()}), "quality-rows")
+    rows = _groups(rows, lang, source, min_rows)
     fit = rows.where(~F.col("base_failed")).select("group_", *(f"x_{n}" for n in names))
     middle = fit.groupBy("group_").agg(
         F.count(F.lit(1)).alias("n_fit"), *(F.percentile_approx(f"x_{n}", 0.5, 1000).alias(f"mid_{n}") for n in names)

@@ -99,9 +99,10 @@ def _codes(value: str) -> str:
     return f"transform(filter(split({value}, ''), c -> c <> ''), c -> cast(instr('{ALPHABET}', c) as int))"
 
 
-def train_models(samples: DataFrame, random: str = "random", value: str = "value", alpha: float = 0.5) -> list[float]:
+def train_models(samples: DataFrame, random: str = "random", value: str = "value", prior: float = 20.0) -> list[float]:
     """Log-likelihood ratio, random against ordinary, of each transition (row-wise, SIZE by SIZE).
 
+    Transitions are smoothed towards the model's single characters, as much as ``prior`` observations.
     ``samples`` holds a boolean ``random`` and the string. The table that reaches the driver has
     one row per model and transition, whatever the number of samples."""
     known = samples.where(F.col(random).isNotNull() & F.col(value).isNotNull())
@@ -112,18 +113,17 @@ def train_models(samples: DataFrame, random: str = "random", value: str = "value
     counts = {(r[0], r[1]): r[2] for r in pairs.groupBy(random, "pair").count().collect()}
 
     def log_share(model: bool) -> list[float]:
-        out = []
-        for a in range(SIZE):
-            row = [counts.get((model, a * SIZE + b), 0) + alpha for b in range(SIZE)]
-            out += [math.log(x / sum(row)) for x in row]
-        return out
+        rows = [[counts.get((model, a * SIZE + b), 0) for b in range(SIZE)] for a in range(SIZE)]
+        seen = [sum(row[b] for row in rows) for b in range(SIZE)]
+        single = [(n + 1) / (sum(seen) + SIZE) for n in seen]
+        return [math.log((n + prior * p) / (sum(row) + prior)) for row in rows for n, p in zip(row, single)]
 
     return [r - o for r, o in zip(log_share(True), log_share(False))]
 
 
 def find_secrets(
     df: DataFrame, *keep: str, text: str = "text", samples: DataFrame | None = None, max_sample_rows: int = 5000,
-    threshold: float = 1.0,
+    threshold: float = 0.5,
 ) -> DataFrame:
     """``keep`` and ``spans``: array of (start, kind, end) by start, then kind, ``base`` those of the patterns.
 
