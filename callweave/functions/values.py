@@ -85,17 +85,17 @@ def flag_or_false(c: Column) -> Column:
     return F.coalesce(F.lower(c).isin(*TRUE_WORDS), F.lit(False))
 
 
-def whole_number(c: Column, default: int | None = 0, cut_fraction: bool = True) -> Column:
-    """Text as a 32-bit integer, ``default`` where it is none.
+def whole_number(c: Column, default: int | None = 0, cut_fraction: bool = True, kind: str = "int") -> Column:
+    """Text as an integer of ``kind`` (``int`` or ``bigint``), ``default`` where it is none.
 
     ``cut_fraction`` reads ``443.9`` as 443, as Spark's non-ANSI cast does;
     otherwise only plain digits count.
     """
-    number = c.try_cast("int")
+    number = c.try_cast(kind)
     if cut_fraction:
         digits = F.regexp_extract(c, r"^\s*([+-]?[0-9]*)[.][0-9]*\s*$", 1)
         bare = F.regexp_replace(digits, "^([+-]?)$", "0")
-        number = F.coalesce(number, F.when(c.rlike(r"^\s*[+-]?([0-9]+[.][0-9]*|[.][0-9]+)\s*$"), bare.try_cast("int")))
+        number = F.coalesce(number, F.when(c.rlike(r"^\s*[+-]?([0-9]+[.][0-9]*|[.][0-9]+)\s*$"), bare.try_cast(kind)))
     return number if default is None else F.coalesce(number, F.lit(default))
 
 

@@ -7,7 +7,7 @@ None of them counts or shuffles; de-duplication and metrics are separate.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 from operator import and_
 
@@ -41,9 +41,13 @@ def default_key(field: str) -> str:
 
 
 def run_time(value: datetime | str | None) -> Column:
-    """The time a run fills in: a given one, so that runs can be repeated, or now."""
+    """The time a run fills in: a given one, so that runs can be repeated, or now.
+
+    Times with a zone are converted to UTC; text and times without one are UTC already."""
     if value is None:
         return F.current_timestamp()
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        value = value.astimezone(timezone.utc)
     text = value if isinstance(value, str) else value.strftime("%Y-%m-%d %H:%M:%S")
     return F.to_timestamp(F.lit(text), TIME_FORMAT)
 
@@ -83,13 +87,8 @@ def repair_keys(df: DataFrame, spec: RecordSpec, run_ts: datetime | str | None =
     return df.withColumns(fixed)
 
 
-def complete_columns(df: DataFrame, spec: RecordSpec, legacy: bool = False) -> DataFrame:
+def complete_columns(df: DataFrame, spec: RecordSpec) -> DataFrame:
     """Add absent columns: ``False`` for the fraud flag, ``unknown`` for the rest."""
-    if legacy:
-        old = LEGACY_NAMES[spec.name]
-        df = df.withColumnsRenamed(
-            {name: field for field, name in old.items() if name in df.columns and field not in df.columns}
-        )
     absent = {
         f: F.lit(False) if f == "is_fraud" else F.lit(UNKNOWN) for f in spec.fields if f not in df.columns
     }
@@ -202,7 +201,10 @@ def clean_live(df: DataFrame, spec: RecordSpec, match: str = "casefold", value:
 
 
 def published_values(df: DataFrame, spec: RecordSpec) -> DataFrame:
-    """The publish profile on text rows: columns as they go into a message."""
+    """The publish profile on text rows: columns as they go into a message.
+
+    Numbers are 64-bit with fractions cut. A message column has one JSON type, so a value that
+    is no number is 0 where the type fills zeros and null elsewhere (``call_duration``)."""
 
     def value(field: str) -> Column:
         c, kind = F.col(field), spec.kind(field)
@@ -212,7 +214,7 @@ def published_values(df: DataFrame, spec: RecordSpec) -> DataFrame:
             return category(published_text(c), spec.published_enums[field], ENUM_FALLBACK[field])
         if kind == "int":
             default = 0 if field in spec.zero_filled else None
-            return whole_number(published_text(c.cast("string")), default, cut_fraction=False)
+            return whole_number(published_text(c.cast("string")), default, kind="bigint")
         return published_text(c.cast("string"))
 
     kept = df.drop("source")

@@ -7,6 +7,7 @@ from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -15,6 +16,15 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+#: Column of ``with_copies``.
+COPIES = "_copies"
+
+
+def with_copies(df: DataFrame) -> DataFrame:
+    """As ``distinct_rows``, with the number of copies each row had."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
+
+
 def _fold_batches(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         table = pa.Table.from_batches([batch])

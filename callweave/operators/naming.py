@@ -79,9 +79,11 @@ def unmapped_records(df: DataFrame, spec: RecordSpec, record: str = "record", le
 
 
 def missing_fields(spec: RecordSpec, record: str = "record", legacy: bool = False) -> Column:
-    """The columns for which a record carries no name at all, in table order."""
+    """The columns for which a record carries no name, in table order; none for a record without any
+    known name, which is foreign and left out as a whole."""
     have = _targets(spec, F.map_keys(record), legacy)
-    return F.array_except(F.array(*[F.lit(f) for f in spec.fields]), have)
+    lacking = F.array_except(F.array(*[F.lit(f) for f in spec.fields]), have)
+    return F.when(F.size(lacking) < len(spec.fields), lacking).otherwise(F.array().cast("array<string>"))
 
 
 def resolve_wide(

@@ -57,8 +57,8 @@ def counts_seen(seen: Observation) -> dict:
 
 
 def field_coverage(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Per column the percentage of rows that hold a value."""
-    share = df.agg(*[(F.count(f) / F.count(F.lit(1)) * F.lit(100.0)).alias(f) for f in fields])
+    """Per column the percentage of rows that hold a value; null where there are no rows."""
+    share = df.agg(*[(F.try_divide(F.count(f), F.count(F.lit(1))) * F.lit(100.0)).alias(f) for f in fields])
     return share.unpivot([], list(fields), "field", "coverage")
 
 

@@ -69,7 +69,9 @@ def numbered_timeline(tables: dict[str, DataFrame]) -> DataFrame:
         "subscriber", "slice", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
     )
     within = Window.partitionBy("subscriber", "slice").orderBy("ts", "source_rank", "payload")
-    return rows.join(offsets, ["subscriber", "slice"]).select(
+    offsets = offsets.withColumnsRenamed({"subscriber": "_who", "slice": "_slice"})
+    same = F.col("subscriber").eqNullSafe(F.col("_who")) & (F.col("slice") == F.col("_slice"))
+    return rows.join(offsets, same).select(
         "subscriber",
         (F.col("_before") + F.row_number().over(within)).alias("seq"),
         "ts",

@@ -75,6 +75,12 @@ def digits(c: str, default: str = "0") -> str:
     return f"coalesce(case when regexp_matches({c}, '^[+-]?[0-9]+$') then try_cast({c} as integer) end, {default})"
 
 
+def published_number(c: str, default: str) -> str:
+    """Cut a fraction; 64 bits."""
+    return f"""coalesce(case when regexp_matches({c}, '^[+-]?[0-9]+([.][0-9]*)?$')
+        then try_cast(split_part({c}, '.', 1) as bigint) end, {default})"""
+
+
 def scrubbed(c: str, default: str) -> str:
     return f"""case when {c} is null or trim({c}, ' ') = '' or lower({c}) in ('nan', '"nan"') then '{default}'
         else trim(regexp_replace(lower({c}), '^"|"$', '', 'g'), ' ') end"""
@@ -187,19 +193,20 @@ def live_table(kind: str, match: str = "casefold") -> str:
 def published(kind: str) -> str:
     parts = []
     for c in COLUMNS[kind]:
-        text = f"trim(lower({q(c)}), ' ')"
+        text = f"trim(lower(nullif({q(c)}, '')), ' ')"
         if c in FLAGS:
             value = f"{text} in ('true', 't', '1', 'yes')"
         elif c in ENUM_WORDS:
             words, fallback = ENUM_WORDS[c]
             value = listed(text, words.replace(", 'reboot'", ""), fallback)
         elif c in NUMBERS:
-            value = digits(text, "0" if kind == "ipdr" else "null")
+            value = published_number(text, "0" if kind == "ipdr" else "null")
         else:
             value = text
         parts.append(f"{q(c)}: {value}")
     body = "{" + ", ".join(parts) + "}"
-    return f"select '{kind}' as topic, cast(to_json({body}) as varchar) as value from ({raw_sql(kind)}) p"
+    return f"""select '{kind}' as topic, cast(to_json({body}) as varchar) as value,
+        (select count(*) from ({raw_sql(kind)}) r) as records_sent from ({raw_sql(kind)}) p"""
 
 
 def timeline_rows() -> str:
@@ -277,9 +284,10 @@ def _oracles() -> dict[str, str]:
     sql["unmapped_records"] = per_kind(
         lambda k: f"select '{k}' as record_type, rid from ({raw_sql(k)}) u where {FOREIGN[k]}"
     )
-    sql["missing_field_report"] = f"""select unnest([{', '.join(f"'{c}'" for c in COLUMNS['edr'])}]) as field,
-        records from (select count(*) as records from ({raw_sql('edr')}) u where {FOREIGN['edr']}) n
-        where records > 0"""
+    # foreign records lack every name and are no case of this report
+    sql["missing_field_report"] = f"""select field, count(*) as records from (
+        select unnest(case when rid % 35 = 0 then ['location', 'os_type'] when rid % 5 = 0 then ['location']
+        when rid % 7 = 0 then ['os_type'] else [] end) as field from ({not_foreign('edr')}) u) m group by field"""
     ipdr_flags = ", ".join(
         f"{loose_flag(q(c)) if c in FLAGS else q(c)} as {q(c)}" for c in COLUMNS["ipdr"]
     )
@@ -391,16 +399,24 @@ def _oracles() -> dict[str, str]:
         lambda k: f"""select '{k}' as record_type, {q(TIMES[k])} as event_time, is_fraud, 4 * count(*) as records
             from ({standard(k, raw_sql(k))}) n group by {q(TIMES[k])}, is_fraud"""
     )
-    sql["crawl_report"] = """select * from (values ('cdr', 'json', 1), ('cdr', 'csv', 1), (null, 'csv', 0))
-        as t(record_type, format, share)"""
-    sql["crawl_report"] = f"""select record_type, format, cast(share * n as bigint) as records
-        from ({sql['crawl_report']}) s, (select count(*) as n from orders) c"""
+    calls = f"select count(*) as n, count(*) filter (rid % 13 = 0) as cut from ({raw_sql('cdr')}) c"
+    report = """select 'cdr' as record_type, 'json' as format, cast(null as varchar) as reason, n as records,
+            0::bigint as damaged_lines from calls
+        union all select 'cdr', 'csv', null, n, 0 from calls
+        union all select null, 'csv', 'unknown record type', 0, 0
+        union all select 'cdr', 'json', 'damaged', 0, 0
+        union all select 'cdr', 'xml', 'damaged', 0, 0
+        union all select 'cdr', 'json_lines', 'damaged', n - cut, cut from calls
+        union all select 'cdr', null, 'unsupported format', 0, 0"""
+    sql["crawl_report"] = f"with calls as ({calls}) {report}"
+    sql["standardize_job"] = f"""with calls as ({calls}) {report}
+        union all select 'cdr', 'merged', null, 3 * n - cut, 0 from calls"""
     sql["merged_batch"] = clean_table("cdr")
     edr_names = ", ".join(q(c) for c in COLUMNS["edr"])
     sql["headerless_merged"] = f"select {edr_names} from ({raw_sql('edr')}) n"
-    sql["source_check"] = """select 'cdr' as topic, true as exists, count(*) as records from orders
-        union all select 'ipdr', true, count(*) from lineitem union all select 'edr', false, 0"""
-    sql["stream_dedup_watermark"] = live_table("edr")
+    sql["source_check"] = """select 'cdr' as topic, true as exists, count(*) as records, true as has_bytes from orders
+        union all select 'ipdr', true, count(*), true from lineitem union all select 'edr', false, 0, false"""
+    sql["stream_dedup_watermark"] = f"select * from ({live_table('edr')}) w where event_time >= '2024-01-20 00:00:00'"
     sql["stream_restart"] = live_table("cdr")
     sql["stream_fraud_alerts"] = f"select * from ({live_table('edr')}) n where is_fraud"
     sql["stream_throughput"] = per_kind(

@@ -7,6 +7,7 @@ files and message folders that Spark writes from them.
 from __future__ import annotations
 
 import io
+import time
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 
 from callweave import functions as V
 from callweave.operators import cleaning, distinct, messages, naming, quality, timeline
-from callweave.plans.jobs import process_batch, published_messages
+from callweave.plans import jobs
+from callweave.plans.jobs import process_batch
 from callweave.plans.raw_views import raw_records
 from callweave.session import prepare, work_path
 from callweave.sinks import exports
@@ -44,6 +46,7 @@ from callweave.streaming import live, progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+LATE_BEFORE = "2024-01-20 00:00:00"  # where the watermark query cuts the events
 RUN_TS = "2024-06-01 00:00:00"  # the run time batch queries fill in, fixed so that results repeat
 
 
@@ -113,7 +116,7 @@ def message_bodies(spark: SparkSession, sf_dir: str, kind: str, copies: bool = T
 def landed_messages(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """A folder of message files written from the table."""
     path = work_path(spark, f"messages-{kind}")
-    message_sinks.land_messages(message_bodies(spark, sf_dir, kind).repartition(8), path)
+    message_sinks.land_messages(message_bodies(spark, sf_dir, kind), path)
     return path
 
 
@@ -181,8 +184,18 @@ def unmapped_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def missing_field_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Per column the records that carry no name for it (foreign records lack all)."""
+    """Per column the records that carry no name for it; some are made to lack one or two."""
     records = ragged_records(spark, sf, "edr")
+    known = {f: F.array(*[F.lit(n) for n in EDR.accepted(f)]) for f in ("location", "os_type")}
+    drop = F.concat(
+        *[
+            F.when(F.col("rid") % each == 0, known[f]).otherwise(F.array().cast("array<string>"))
+            for f, each in (("location", 5), ("os_type", 7))
+        ]
+    )
+    records = records.select("rid", "record", drop.alias("drop")).select(
+        "rid", F.map_filter("record", lambda k, _: ~F.array_contains("drop", k)).alias("record")
+    )
     lacking = records.select(F.explode(naming.missing_fields(EDR)).alias("field"))
     return quality.row_totals(lacking, "field")
 
@@ -338,8 +351,13 @@ def quarantine_live(spark: SparkSession, sf: str) -> DataFrame:
 def publish(kind: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         spec = spec_for(kind)
+        source, feed = work_path(spark, f"publish-{kind}"), work_path(spark, f"sent-{kind}")
         rows = raw_records(spark, sf, kind).select(*spec.fields, F.lit("feed").alias("source"))
-        return published_messages(rows, spec)
+        rows.write.options(header="true", **table_sinks.PLAIN_CSV).csv(f"{source}/{spec.merged_files[0]}")
+        (log,) = jobs.publish(spark, source, lambda df: message_sinks.land_messages(df, feed), types=[kind])
+        if log["errors"]:
+            raise RuntimeError(log["error"])
+        return spark.read.parquet(feed).withColumn("records_sent", F.lit(log["records_sent"]).cast("long"))
 
     return run
 
@@ -382,8 +400,18 @@ def fraud_count(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def batch_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [quality.clean_metrics(cleaned_rows(spark, sf, k), spec.table) for k, spec in SPECS.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """The log of the batch job over merged files of all three types."""
+    source, target = work_path(spark, "merged"), work_path(spark, "tables")
+    for kind, spec in SPECS.items():
+        rows = raw_records(spark, sf, kind, copies=True).select(*spec.fields)
+        table_sinks.write_merged(naming.resolve_wide(rows, spec), spec, source)
+    log = process_batch(
+        spark, source, lambda df, spec: table_sinks.append_parquet(df, f"{target}/{spec.table}"), run_ts=RUN_TS
+    )
+    counts = ("records_before_cleaning", "records_after_cleaning", "dropped_records", "fraud_records")
+    return spark.createDataFrame(
+        [(r["table"], *(r[c] for c in counts)) for r in log], "table string, " + ", ".join(f"{c} long" for c in counts)
+    )
 
 
 def field_coverage(kind: str) -> Query:
@@ -485,7 +513,8 @@ def read_csv_zip(spark: SparkSession, sf: str) -> DataFrame:
     """Zipped CSV archives made per Arrow batch of the view, unpacked by the source."""
     raw = raw_records(spark, sf, "edr").select(*EDR.fields)
     archives = raw.mapInArrow(_zip_up, "path string, content binary")
-    return naming.resolve_records(record_files.unzip_records(archives), EDR, policy="first_non_null")
+    records = record_files.parse_files(archives, "zip_csv").where("record is not null")
+    return naming.resolve_records(records, EDR, policy="first_non_null")
 
 
 def _crawl_root(spark: SparkSession, sf: str) -> str:
@@ -515,16 +544,63 @@ def crawl_files(spark: SparkSession, sf: str) -> DataFrame:
 
 def crawl_report(spark: SparkSession, sf: str) -> DataFrame:
     """Files listed, routed and counted; unreadable ones are reported, not fatal."""
-    root = work_path(spark, "report")
-    raw = raw_records(spark, sf, "cdr").select(*CDR.fields)
-    exports.export_json_arrays(raw, f"{root}/cdr_subdir/cdr_json", 5_000)
-    exports.export_csv(raw, f"{root}/cdr_subdir/cdr_csv")
-    exports.export_json(raw, f"{root}/cdr_subdir/cdr_lines")  # no JSON arrays: every file fails
-    exports.export_csv(raw, f"{root}/cdr_subdir/misc")  # no type in the name or folder
+    root = _damaged_root(spark, sf)
     folders = listing.record_folders(root)
-    records = crawl.crawl_type(crawl.open_tree(spark, folders), CDR)
-    report = listing.file_report(listing.file_manifest(spark, folders), records.select("path"))
-    return report.groupBy("record_type", "format").agg(F.sum("records").alias("records"))
+    tree = crawl.open_tree(spark, folders)
+    parsed = crawl.parse_type(tree, CDR)
+    records = crawl.crawl_type(tree, CDR, parsed=parsed)
+    report = listing.file_report(
+        listing.file_manifest(spark, folders), records.select("path"), crawl.errors_of(parsed)
+    )
+    return _report_totals(report)
+
+
+def _report_totals(report: DataFrame) -> DataFrame:
+    """The report without paths and numbers of files, which depend on how Spark wrote them."""
+    whole = ~F.col("format").eqNullSafe("json_lines")
+    return report.groupBy("record_type", "format", "reason").agg(
+        F.sum("records").alias("records"),
+        F.sum(F.when(~whole, F.col("errors")).otherwise(0)).cast("long").alias("damaged_lines"),
+    )
+
+
+def _write_lines(df: DataFrame, path: str, extension: str) -> None:
+    """One text column as lines of files with this name ending."""
+    options = {"extension": extension, "sep": "\u0001", "quote": "", "escape": "", "header": "false"}
+    df.write.options(**options, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
+
+
+def _damaged_root(spark: SparkSession, sf: str) -> str:
+    """A tree of call files, half of them no good: arrays and XML cut off, lines cut, other files."""
+    root = work_path(spark, "damaged")
+    base = f"{root}/cdr_subdir"
+    raw = raw_records(spark, sf, "cdr")
+    calls = raw.select(*CDR.fields)
+    exports.export_json_arrays(calls, f"{base}/cdr_json", 5_000)
+    exports.export_csv(calls, f"{base}/cdr_csv")
+    exports.export_csv(calls, f"{base}/misc")  # no type in the name or folder
+    body = F.to_json(F.struct(*CDR.fields), {"ignoreNullFields": "false"})
+    _write_lines(raw.select(body.alias("value")), f"{base}/cdr_cut_json", "json")  # lines, no array
+    cut = F.when(F.col("rid") % 13 == 0, F.substring(body, 1, 20)).otherwise(body)
+    _write_lines(raw.select(cut.alias("value")), f"{base}/cdr_lines", "jsonl")
+    element = F.concat(F.lit("<cdr_data><cdr_record><caller_id>"), F.col("rid").cast("string"), F.lit("</caller_id></cdr_record>"))
+    _write_lines(raw.select(element.alias("value")), f"{base}/cdr_cut_xml", "xml")  # never closed
+    _write_lines(raw.select(body.alias("value")), f"{base}/cdr_notes", "txt")
+    return root
+
+
+def standardize_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The crawl job over a tree with damaged files: its report and, of the merged set, rows and coverage."""
+    target = work_path(spark, "standardized")
+    coverage = jobs.standardize_files(spark, _damaged_root(spark, sf), target)
+    if set(coverage) != {"cdr"} or listing.existing(spark, [f"{target}/{EDR.merged_files[0]}"]):
+        raise RuntimeError("a merged set without files")
+    rows = merged.read_merged(spark, target, CDR)
+    total = rows.agg(
+        F.lit("cdr").alias("record_type"), F.lit("merged").alias("format"), F.lit(None).cast("string").alias("reason"),
+        F.count(F.lit(1)).alias("records"), F.lit(0).cast("long").alias("damaged_lines"),
+    )
+    return _report_totals(jobs.read_report(spark, target)).unionByName(total)
 
 
 def merged_batch(spark: SparkSession, sf: str) -> DataFrame:
@@ -555,70 +631,73 @@ def source_check(spark: SparkSession, sf: str) -> DataFrame:
     paths = {k: f"{root}/final_{k}.csv" for k in SPECS}
     for kind in ("cdr", "ipdr"):
         table_sinks.write_merged(raw_records(spark, sf, kind), spec_for(kind), root)
-    return merged.source_check(spark, paths).select("topic", "exists", "records")
+    checked = merged.source_check(spark, paths)
+    # bytes depend on how Spark wrote the files; that there are some does not
+    return checked.select("topic", "exists", "records", (F.col("megabytes") > 0).alias("has_bytes"))
 
 
 # --------------------------------------------------------------------------
 # Streams: message folders read to their end
 # --------------------------------------------------------------------------
-def _run_live(
-    spark: SparkSession, sf: str, kind: str, starts: int = 1, delay: str | None = None, match: str = "casefold"
-) -> DataFrame:
+def _run_live(spark: SparkSession, kind: str, landings: list[DataFrame], delay: str | None = None) -> DataFrame:
+    """The live job started once per landing of message files, each time from its checkpoint."""
     spec = spec_for(kind)
-    feed = landed_messages(spark, sf, kind)
-    target, checkpoint = work_path(spark, f"live-{kind}"), work_path(spark, f"checkpoint-{kind}")
-    for _ in range(starts):
+    feed, target, checkpoint = (work_path(spark, f"{label}-{kind}") for label in ("messages", "live", "checkpoint"))
+    for bodies in landings:
+        message_sinks.land_messages(bodies, feed)
         query = live.start_live(
-            streams.file_messages(spark, feed, files_per_trigger=3),
-            spec,
-            live.epoch_sink(target),
-            checkpoint,
-            interval=None,
-            match=match,
-            delay=delay,
+            streams.file_messages(spark, feed), spec, live.epoch_sink(target), checkpoint, interval=None, delay=delay
         )
         query.awaitTermination()
     return live.read_epochs(spark, target, spec)
 
 
 def stream_dedup(kind: str) -> Query:
-    return lambda spark, sf: shown(_run_live(spark, sf, kind))
+    """State without bound, as the result is that of a table; bounded in ``stream_dedup_watermark``."""
+    return lambda spark, sf: shown(_run_live(spark, kind, [message_bodies(spark, sf, kind)]))
 
 
 def stream_dedup_watermark(spark: SparkSession, sf: str) -> DataFrame:
-    """With bounded state; the delay covers the whole table, so no row is late."""
-    return shown(_run_live(spark, sf, "edr", delay="400 days"))
+    """With bounded state: first the rows from ``LATE_BEFORE`` on, then all. Copies of the first are
+    dropped while their state lasts, and rows more than the delay behind the newest are refused."""
+    bodies = message_bodies(spark, sf, "edr")
+    newer = F.get_json_object("value", "$.event_time") >= LATE_BEFORE
+    return shown(_run_live(spark, "edr", [bodies.where(newer), bodies], delay="1 day"))
 
 
 def stream_restart(spark: SparkSession, sf: str) -> DataFrame:
     """Stopped and started again from its checkpoint: nothing twice, nothing lost."""
-    return shown(_run_live(spark, sf, "cdr", starts=2))
+    bodies = message_bodies(spark, sf, "cdr")
+    half = F.xxhash64("value") % 2 == 0
+    again = F.xxhash64("value") % 3 == 0  # of these some have come before, some not
+    return shown(_run_live(spark, "cdr", [bodies.where(half), bodies.where(~half | again)]))
 
 
 def stream_fraud_alerts(spark: SparkSession, sf: str) -> DataFrame:
     feed = landed_messages(spark, sf, "edr")
     target, checkpoint = work_path(spark, "alerts"), work_path(spark, "checkpoint-alerts")
-    rows = live.live_rows(streams.file_messages(spark, feed, files_per_trigger=3), EDR)
+    rows = live.live_rows(streams.file_messages(spark, feed), EDR, delay=None)
     query = live.start_sink(timeline.fraud_alerts(rows), live.epoch_sink(target), checkpoint, "alerts", None)
     query.awaitTermination()
     return shown(live.read_epochs(spark, target, EDR))
 
 
 def stream_throughput(spark: SparkSession, sf: str) -> DataFrame:
-    """Messages read per topic, from the progress the streams report."""
-    rows = []
-    for kind, spec in SPECS.items():
-        feed = landed_messages(spark, sf, kind)
-        query = live.start_live(
-            streams.file_messages(spark, feed, files_per_trigger=3),
-            spec,
-            live.epoch_sink(work_path(spark, f"rate-{kind}")),
-            work_path(spark, f"checkpoint-rate-{kind}"),
-            interval=None,
-        )
-        query.awaitTermination()
-        rows.append((spec.topic, max(p["records"] for p in progress.throughput(query))))
-    return spark.createDataFrame(rows, "topic string, records long")
+    """Messages read per topic, as the listener counts them while cleaning streams run."""
+    log = progress.ThroughputLog()
+    spark.streams.addListener(log)
+    try:
+        for kind, spec in SPECS.items():
+            messages = streams.file_messages(spark, landed_messages(spark, sf, kind))
+            sink = live.epoch_sink(work_path(spark, f"rate-{kind}"))
+            checkpoint = work_path(spark, f"checkpoint-rate-{kind}")
+            live.start_sink(cleaning.clean_live(messages, spec), sink, checkpoint, spec.topic, None).awaitTermination()
+        deadline = time.time() + 60  # events arrive on a thread of their own
+        while len(log.ended) < len(SPECS) and time.time() < deadline:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(log)
+    return spark.createDataFrame(sorted(log.records.items()), "topic string, records long")
 
 
 # --------------------------------------------------------------------------
@@ -685,6 +764,7 @@ def _registry() -> dict[str, Query]:
         read_csv_zip,
         crawl_files,
         crawl_report,
+        standardize_job,
         merged_batch,
         headerless_merged,
         source_check,

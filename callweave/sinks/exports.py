@@ -61,13 +61,11 @@ def export_json_arrays(df: DataFrame, path: str, rows_per_file: int = 50_000, gz
     (writer.option("compression", "gzip") if gzip else writer).csv(path)
 
 
-def export_csv(df: DataFrame, path: str, gzip: bool = False) -> None:
+def export_csv(df: DataFrame, path: str) -> None:
     """Header and all columns, nulls empty."""
-    writer = df.write.mode("overwrite").options(header="true", **PLAIN_CSV)
-    (writer.option("compression", "gzip") if gzip else writer).csv(path)
+    df.write.mode("overwrite").options(header="true", **PLAIN_CSV).csv(path)
 
 
-def export_xml(df: DataFrame, path: str, root_tag: str, row_tag: str, gzip: bool = False) -> None:
+def export_xml(df: DataFrame, path: str, root_tag: str, row_tag: str) -> None:
     """One element per row; nulls are left out, booleans lower case."""
-    writer = df.write.mode("overwrite").format("xml").option("rootTag", root_tag).option("rowTag", row_tag)
-    (writer.option("compression", "gzip") if gzip else writer).save(path)
+    df.write.mode("overwrite").format("xml").option("rootTag", root_tag).option("rowTag", row_tag).save(path)

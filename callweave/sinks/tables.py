@@ -39,7 +39,10 @@ def jdbc_options(user: str, password: str, driver: str, connections: int = 32) -
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, options: dict[str, str]) -> None:
-    df.write.jdbc(url, table, mode="append", properties=options)
+    """The shuffle keeps the cap on connections to the write; without it Spark would run the
+    stages before it in that many tasks, too."""
+    many = options.get("numPartitions")
+    (df.repartition(int(many)) if many else df).write.jdbc(url, table, mode="append", properties=options)
 
 
 def append_parquet(df: DataFrame, path: str) -> None:

@@ -14,6 +14,7 @@ ROUTING_ORDER = ("ipdr", "edr", "cdr")
 FORMAT_SUFFIXES = (
     (".json.gz", "gzip_json"),
     (".csv.zip", "zip_csv"),
+    (".jsonl", "json_lines"),
     (".json", "json"),
     (".csv", "csv"),
     (".xml", "xml"),
@@ -41,6 +42,12 @@ def format_of(path: Column) -> Column:
     return F.coalesce(*[F.when(low.endswith(suffix), F.lit(fmt)) for suffix, fmt in FORMAT_SUFFIXES])
 
 
+def suffix_glob(fmt: str) -> str:
+    """A name pattern for the files of a format, upper case allowed."""
+    suffix = next(s for s, name in FORMAT_SUFFIXES if name == fmt)
+    return "*" + "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in suffix)
+
+
 def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     """The paths that exist (a missing subfolder is skipped, not an error)."""
 
@@ -77,14 +84,21 @@ def file_manifest(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def file_report(manifest: DataFrame, records: DataFrame) -> DataFrame:
-    """The manifest with the standard rows each file gave and, for files that
-    gave none, the reason. ``records`` holds a ``path`` column."""
+def file_report(manifest: DataFrame, records: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """The manifest with the standard rows each file gave and, for files that gave none or are
+    damaged, the reason. ``records`` holds a ``path`` column; ``errors`` holds ``path`` and ``error``,
+    of which the report counts the rows (damaged lines) and shows one as ``detail``."""
     totals = records.groupBy("path").agg(F.count(F.lit(1)).alias("records"))
     joined = manifest.join(totals, "path", "left").withColumn("records", F.coalesce("records", F.lit(0)))
+    if errors is None:
+        joined = joined.withColumns({"errors": F.lit(0).cast("long"), "detail": F.lit(None).cast("string")})
+    else:
+        faults = errors.groupBy("path").agg(F.count(F.lit(1)).alias("errors"), F.min("error").alias("detail"))
+        joined = joined.join(faults, "path", "left").withColumn("errors", F.coalesce("errors", F.lit(0)))
     reason = (
         F.when(F.col("format").isNull(), "unsupported format")
         .when(F.col("record_type").isNull(), "unknown record type")
+        .when(F.col("errors") > 0, "damaged")
         .when(F.col("records") == 0, "no valid records")
     )
     return joined.withColumn("reason", reason)

@@ -19,20 +19,27 @@ def _flat(spark: SparkSession, header: bool, multi_line: bool):
     )
 
 
+def _odd_quotes(lines: DataFrame) -> DataFrame:
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return lines.where(quotes % 2 == 1)
+
+
 def read_merged(
-    spark: SparkSession, source: str, spec: RecordSpec, header: bool = True, multi_line: bool = True
+    spark: SparkSession, source: str, spec: RecordSpec, header: bool = True, multi_line: bool | None = None
 ) -> DataFrame:
     """The merged CSV of a type as text columns, under the first of its names that exists.
 
     No type inference, hence no extra scan. Without header the columns take
-    the table's names by position. With ``multi_line`` a quoted value may hold
-    line ends and a part file is one task; switch it off for large single files
-    known to have none, which then split.
+    the table's names by position. Files split unless some line holds an odd number of
+    quotes, so that a quoted value may run over a line end; ``multi_line`` says so beforehand
+    and saves that look at the lines.
     """
     missing: AnalysisException | None = None
     for name in spec.merged_files:
+        path = f"{source.rstrip('/')}/{name}"
         try:
-            rows = _flat(spark, header, multi_line).csv(f"{source.rstrip('/')}/{name}")
+            breaks = not _odd_quotes(spark.read.text(path)).isEmpty() if multi_line is None else multi_line
+            rows = _flat(spark, header, breaks).csv(path)
         except AnalysisException as gone:
             if gone.getCondition() != "PATH_NOT_FOUND":
                 raise

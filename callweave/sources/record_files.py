@@ -2,248 +2,319 @@
 
 Each reader lists files below ``paths`` by a name pattern, keeps those whose
 path routes to the record type (the filter is on file metadata, so other files
-are pruned before any is opened) and returns rows with their ``path``. JSON and
-zip give ragged ``record`` maps in record order; CSV and XML are flat and come
-back as standard rows.
+are pruned before any is opened) and returns ragged ``record`` maps in record
+order with their ``path``.
+
+Files that cannot split (JSON arrays, gzip, zip, XML) count whole or not at all: damaged content
+gives one row with an ``error`` instead of records. Errors of storage are not caught; they
+fail the task, which Spark runs again.
 """
 
 from __future__ import annotations
 
 import csv
+import gzip
 import io
+import json
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
+from functools import partial
+from xml.etree import ElementTree
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, DataFrameReader, Row, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.functions import blank_to_null
-from callweave.operators.naming import resolve_wide
-from callweave.sources.listing import record_type_of
+from callweave.operators.naming import resolve_records
+from callweave.session import work_path
+from callweave.sources.listing import record_type_of, suffix_glob
 from callweave.specs import RecordSpec
 
 PATH = "_metadata.file_path"
+#: Bytes a file may have to be held as one value.
+WHOLE_LIMIT = 2_000_000_000
+#: Files up to which their list of headers is broadcast; past it Spark joins by shuffle.
+BROADCAST_FILES = 200_000
 
 
 def _reader(spark: SparkSession, glob: str) -> DataFrameReader:
-    return (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .option("ignoreCorruptFiles", "true")
-    )
+    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
 
 
 def _routed(df: DataFrame, spec: RecordSpec | None) -> DataFrame:
     return df if spec is None else df.where(record_type_of(F.col(PATH)) == spec.name)
 
 
-def _plain_path(spark_uri: str = PATH):
-    """A metadata path as a reader takes it (metadata paths are URI-encoded)."""
-    return F.url_decode(F.replace(F.col(spark_uri), F.lit("+"), F.lit("%2B")))
+# --------------------------------------------------------------------------
+# Files read whole
+# --------------------------------------------------------------------------
+_PARSED = "path string, record map<string,string>, error string"
+_ARROW_RECORD = pa.map_(pa.string(), pa.string())
+_ROWS_PER_BATCH = 10_000
+_DAMAGE = (
+    ValueError, EOFError, IndexError, OSError, zlib.error, zipfile.BadZipFile, csv.Error, ElementTree.ParseError,
+)  # of content held in memory: no storage is touched while these can arise
+
+Pairs = list[tuple[str, str | None]]
+
+
+def _json_text(value: object) -> str | None:
+    if value is None or isinstance(value, str):
+        return value
+    if isinstance(value, bool):
+        return str(value).lower()
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+
+
+def _json_rows(content: bytes) -> Iterator[Pairs]:
+    found = json.loads(content, parse_int=str, parse_float=str, parse_constant=str)
+    if not isinstance(found, list) or not all(isinstance(r, dict) for r in found):
+        raise ValueError("no array of objects")
+    for record in found:
+        yield [(k, _json_text(v)) for k, v in record.items()]
+
+
+def _gzip_rows(content: bytes) -> Iterator[Pairs]:
+    return _json_rows(gzip.decompress(content))
+
+
+def _zip_rows(content: bytes) -> Iterator[Pairs]:
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        with archive.open(archive.namelist()[0]) as entry:
+            for row in csv.DictReader(io.TextIOWrapper(entry, encoding="utf-8", newline="")):
+                yield [(k, v if v != "" else None) for k, v in row.items() if k is not None]
+
+
+def _xml_rows(content: bytes, row_tag: str) -> Iterator[Pairs]:
+    for element in ElementTree.fromstring(content).iterfind(f".//{row_tag}"):
+        values = {child.tag: child.text for child in element}  # the last of equal names holds the value
+        yield [(k, None if v in (None, "", "None") else v) for k, v in values.items()]
+
+
+def _parse(batches: Iterator[pa.RecordBatch], kind: str, row_tag: str | None) -> Iterator[pa.RecordBatch]:
+    rows_of = {"json": _json_rows, "gzip_json": _gzip_rows, "zip_csv": _zip_rows}.get(kind) or partial(
+        _xml_rows, row_tag=row_tag
+    )
+
+    def batch(path: str, records: list, error: str | None) -> pa.RecordBatch:
+        n = len(records)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([path] * n, pa.string()),
+                pa.array(records, _ARROW_RECORD),
+                pa.array([error] * n, pa.string()),
+            ],
+            names=["path", "record", "error"],
+        )
+
+    for files in batches:
+        for path, content in zip(files.column(0), files.column(1)):
+            path, content = path.as_py(), content.as_py()
+            try:  # once to its end, so that a damaged file gives no rows at all
+                for _ in rows_of(content):
+                    pass
+            except _DAMAGE as bad:
+                yield batch(path, [None], f"{type(bad).__name__}: {bad}")
+                continue
+            rows: list[Pairs] = []
+            for row in rows_of(content):
+                rows.append(row)
+                if len(rows) == _ROWS_PER_BATCH:
+                    yield batch(path, rows, None)
+                    rows = []
+            yield batch(path, rows, None)
+
+
+def parse_files(files: DataFrame, kind: str, row_tag: str | None = None) -> DataFrame:
+    """``(path, record, error)`` from ``(path, content)`` of files of one format."""
+    return files.select("path", "content").mapInArrow(partial(_parse, kind=kind, row_tag=row_tag), _PARSED)
+
+
+def scan_files(spark: SparkSession, paths: Sequence[str], glob: str) -> DataFrame:
+    """Files with their bytes, not yet read; to be shared by several types."""
+    return _reader(spark, glob).format("binaryFile").load(list(paths))
+
+
+def read_whole(
+    spark: SparkSession,
+    paths: Sequence[str],
+    kind: str,
+    spec: RecordSpec | None = None,
+    glob: str | None = None,
+    scan: DataFrame | None = None,
+) -> DataFrame:
+    """Files of an unsplittable format as ``(path, record, error)``; many files give the parallelism.
+
+    A file too large for one value is an error row, too, and is not opened."""
+    files = _routed(scan if scan is not None else scan_files(spark, paths, glob or suffix_glob(kind)), spec)
+    path = F.col(PATH).alias("path")
+    fit = files.where(F.col("length") <= WHOLE_LIMIT).select(path, "content")
+    large = files.where(F.col("length") > WHOLE_LIMIT).select(
+        path,
+        F.lit(None).cast("map<string,string>").alias("record"),
+        F.concat(F.lit("too large to be read whole: "), F.col("length").cast("string"), F.lit(" bytes")).alias("error"),
+    )
+    return parse_files(fit, kind, spec.row_tag if spec else None).unionByName(large)
+
+
+def _good(parsed: DataFrame) -> DataFrame:
+    return parsed.where(F.col("record").isNotNull()).select("path", "record")
 
 
-def scan_whole(spark: SparkSession, paths: Sequence[str], glob: str) -> DataFrame:
-    """Files as one text value each, not yet read; to be shared by several types."""
-    return _reader(spark, glob).text(list(paths), wholetext=True)
+def file_errors(parsed: DataFrame) -> DataFrame:
+    return parsed.where(F.col("error").isNotNull()).select("path", "error")
 
 
 def read_json_arrays(
     spark: SparkSession,
     paths: Sequence[str],
     spec: RecordSpec | None = None,
-    glob: str = "*.json",
+    glob: str | None = None,
     scan: DataFrame | None = None,
 ) -> DataFrame:
     """Files that are one JSON array of objects each, as ``(path, record)``.
 
-    A file is one task, since its array has no split points; many files give
-    the parallelism (``read_json_lines`` splits). A file that is no such array
-    gives no rows. Gzipped files are unpacked by their suffix.
-    """
-    files = _routed(scan or scan_whole(spark, paths, glob), spec)
-    rows = files.select(
-        F.col(PATH).alias("path"),
-        F.explode(F.from_json("value", "array<map<string,string>>")).alias("record"),
-    )
-    return rows.where(F.col("record").isNotNull())
+    ``read_json_lines`` is the form that splits within a file."""
+    return _good(read_whole(spark, paths, "json", spec, glob, scan))
 
 
 def read_gzip_json(
     spark: SparkSession, paths: Sequence[str], spec: RecordSpec | None = None, scan: DataFrame | None = None
 ) -> DataFrame:
-    return read_json_arrays(spark, paths, spec, "*.json.gz", scan)
+    return _good(read_whole(spark, paths, "gzip_json", spec, scan=scan))
+
+
+def read_zip_csv(
+    spark: SparkSession,
+    paths: Sequence[str],
+    spec: RecordSpec | None = None,
+    glob: str | None = None,
+    errors: bool = False,
+    scan: DataFrame | None = None,
+) -> DataFrame:
+    """The first entry of each zip archive as ``(path, record)``, or with ``errors`` the unreadable
+    archives as ``(path, error)``. Its rows are passed on in batches, not held."""
+    parsed = read_whole(spark, paths, "zip_csv", spec, glob, scan)
+    return file_errors(parsed) if errors else _good(parsed)
+
+
+def read_xml_records(
+    spark: SparkSession, paths: Sequence[str], spec: RecordSpec, glob: str | None = None, scan: DataFrame | None = None
+) -> DataFrame:
+    """XML files, one record per record element at any depth, as ``(path, record)``."""
+    return _good(read_whole(spark, paths, "xml", spec, glob, scan))
+
+
+def read_xml_files(spark: SparkSession, paths: Sequence[str], spec: RecordSpec) -> DataFrame:
+    """XML files as standard rows with ``path``."""
+    return resolve_records(read_xml_records(spark, paths, spec), spec, keep=["path"])
+
+
+# --------------------------------------------------------------------------
+# Files that split
+# --------------------------------------------------------------------------
+def scan_json_lines(
+    spark: SparkSession, paths: Sequence[str], spec: RecordSpec | None = None, glob: str | None = None
+) -> DataFrame:
+    """``(path, record, error)`` of one object per line; a line that is none is an error row."""
+    lines = _routed(_reader(spark, glob or suffix_glob("json_lines")).text(list(paths)), spec)
+    parsed = lines.where(F.trim("value") != "").select(
+        F.col(PATH).alias("path"), F.from_json("value", "map<string,string>").alias("record")
+    )
+    return parsed.withColumn("error", F.when(F.col("record").isNull(), F.lit("line is no JSON object")))
 
 
 def read_json_lines(
-    spark: SparkSession, paths: Sequence[str], spec: RecordSpec | None = None, glob: str = "*.jsonl"
+    spark: SparkSession, paths: Sequence[str], spec: RecordSpec | None = None, glob: str | None = None
 ) -> DataFrame:
-    """One object per line: the form that splits within a file."""
-    lines = _routed(_reader(spark, glob).text(list(paths)), spec)
-    rows = lines.select(F.col(PATH).alias("path"), F.from_json("value", "map<string,string>").alias("record"))
-    return rows.where(F.col("record").isNotNull())
+    """One object per line, as ``(path, record)``: the form that splits within a file."""
+    return _good(scan_json_lines(spark, paths, spec, glob))
+
+
+def _header_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Column names of a header line; of equal names the last holds the value, so earlier ones get none."""
+    for batch in batches:
+        out = []
+        for header in batch.column("header").to_pylist():
+            names = next(csv.reader([header or ""]), [])
+            out.append([n if n not in names[i + 1 :] else f"\0{i}" for i, n in enumerate(names)])
+        columns = [batch.column(c) for c in ("path", "header", "quoted_breaks")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.list_(pa.string()))], names=["path", "header", "quoted_breaks", "names"])
 
 
 def csv_headers(
-    spark: SparkSession, paths: Sequence[str], spec: RecordSpec | None = None, glob: str = "*.csv"
+    spark: SparkSession, paths: Sequence[str], spec: RecordSpec | None = None, glob: str | None = None
 ) -> DataFrame:
-    """Per record type and distinct header line the files that start with it.
+    """``(path, header, quoted_breaks, names)`` of each CSV file, written to the shared folder.
 
     ``quoted_breaks`` marks files where a line holds an odd number of quotes,
     so a quoted value may run over a line end. Only those need the reader that
-    cannot split a file.
+    cannot split a file. The lines are read once for this, in splits.
     """
-    lines = _routed(_reader(spark, glob).text(list(paths)), spec)
+    lines = _routed(_reader(spark, glob or suffix_glob("csv")).text(list(paths)), spec)
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     placed = lines.select(
-        _plain_path().alias("path"),
-        record_type_of(F.col(PATH)).alias("record_type"),
+        F.col(PATH).alias("path"),
         "value",
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
         (quotes % 2 == 1).alias("odd"),
     )
     # collect_set (of two values at most) makes Spark aggregate by hash; with
     # text and struct buffers alone it would sort every line by path first
-    files = placed.groupBy("path", "record_type").agg(
+    files = placed.groupBy("path").agg(
         F.min_by("value", "place").alias("header"),
         F.array_contains(F.collect_set("odd"), True).alias("quoted_breaks"),
     )
-    return files.groupBy("record_type", "header", "quoted_breaks").agg(F.collect_list("path").alias("paths"))
+    named = files.mapInArrow(_header_names, "path string, header string, quoted_breaks boolean, names array<string>")
+    target = work_path(spark, "csv-headers")
+    named.write.parquet(target)
+    return spark.read.schema(named.schema).parquet(target)
 
 
-def read_csv_files(
+def read_csv_records(
     spark: SparkSession,
     paths: Sequence[str],
-    spec: RecordSpec,
-    policy: str = "first_non_null",
-    glob: str = "*.csv",
-    headers: Sequence[Row] | None = None,
+    spec: RecordSpec | None = None,
+    glob: str | None = None,
+    headers: DataFrame | None = None,
 ) -> DataFrame:
-    """CSV files with headers of their own, as standard rows with ``path``.
+    """CSV files with headers of their own, as ``(path, record)``; empty values are null.
 
-    Files are read together per distinct header, so the plan grows with the
-    number of layouts, not of files, and columns of no interest are not parsed.
+    All layouts share one scan: rows are read by position and named by their file's header, which a
+    join on the path brings along, so neither paths nor layouts reach the driver or the plan. Only if
+    some file has quoted line ends a second scan reads those without splitting.
     ``headers`` hands in what ``csv_headers`` found, to share it between types.
     """
-    frames = []
-    found = csv_headers(spark, paths, spec, glob).collect() if headers is None else headers
-    for group in found:
-        if group["record_type"] != spec.name:
-            continue
-        header = next(csv.reader([group["header"]]), [])
-        if not header:
-            continue
-        positions = {name: i for i, name in enumerate(header)}  # the last of equal names holds the value
-        flat = (
-            spark.read.schema(", ".join(f"c{i} string" for i in range(len(header))))
+    headers = csv_headers(spark, paths, spec, glob) if headers is None else headers
+    width, files, broken = headers.agg(F.max(F.size("names")), F.count(F.lit(1)), F.max("quoted_breaks")).first()
+    columns = [f"c{i}" for i in range(max(width or 0, 1))]
+
+    def part(quoted_breaks: bool) -> DataFrame:
+        rows = (
+            _reader(spark, glob or suffix_glob("csv"))
+            .schema(", ".join(f"{c} string" for c in columns))
             .option("header", "true")
             .option("escape", '"')
-            .option("multiLine", str(group["quoted_breaks"]).lower())
-            .option("ignoreCorruptFiles", "true")
-            .csv(group["paths"])
-        )
-        known = spec.name_lookup()
-        named = flat.select(
-            F.col(PATH).alias("_path"),
-            *[blank_to_null(F.col(f"c{i}")).alias(name) for name, i in positions.items() if name in known],
-        )
-        if len(named.columns) > 1:
-            frames.append(resolve_wide(named, spec, policy, keep=["_path"]).withColumnRenamed("_path", "path"))
-    if not frames:
-        schema = ", ".join(["path string"] + [f"`{f.name}` {f.dataType.simpleString()}" for f in spec.standard_schema])
-        return spark.createDataFrame([], schema)
-    rows = frames[0]
-    for frame in frames[1:]:
-        rows = rows.unionByName(frame)
-    return rows
-
-
-def read_xml_files(spark: SparkSession, paths: Sequence[str], spec: RecordSpec, glob: str = "*.xml") -> DataFrame:
-    """XML files, one row per record element at any depth, as standard rows with ``path``.
-
-    All names are read as text: inference would turn ids into numbers.
-    """
-    names = spec.name_lookup()
-    elements = (
-        _reader(spark, glob)
-        .format("xml")
-        .option("rowTag", spec.row_tag)
-        .option("ignoreSurroundingSpaces", "false")
-        .schema(", ".join(f"`{n}` string" for n in names))
-        .load(list(paths))
-    )
-    rows = _routed(elements, spec).select(
-        F.col(PATH).alias("_path"), *[blank_to_null(F.col(n), "None").alias(n) for n in names]
-    )
-    some = F.coalesce(*[F.col(n) for n in names]).isNotNull()
-    standard = resolve_wide(rows.where(some), spec, "first_non_null", keep=["_path"])
-    return standard.withColumnRenamed("_path", "path")
-
-
-def scan_archives(spark: SparkSession, paths: Sequence[str], glob: str = "*.csv.zip") -> DataFrame:
-    """Archives with their bytes, not yet read; to be shared by several types."""
-    return _reader(spark, glob).format("binaryFile").load(list(paths))
-
-
-_ZIP_SCHEMA = "path string, record map<string,string>, error string"
-_ARROW_RECORD = pa.map_(pa.string(), pa.string())
-_ROWS_PER_BATCH = 10_000
-
-
-def _zip_rows(content: bytes) -> Iterator[list[tuple[str, str | None]]]:
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        with archive.open(archive.namelist()[0]) as entry:
-            for row in csv.DictReader(io.TextIOWrapper(entry, encoding="utf-8", newline="")):
-                yield [(k, v if v != "" else None) for k, v in row.items() if k is not None]
-
-
-def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def batch(path: str, records: list, error: str | None) -> pa.RecordBatch:
-        n = len(records)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([path] * n, pa.string()),
-                pa.array(records, _ARROW_RECORD),
-                pa.array([error] * n, pa.string()),
-            ],
-            names=["path", "record", "error"],
+            .option("multiLine", str(quoted_breaks).lower())
+            .csv(list(paths))
         )
+        values = F.array(*[F.when(F.col(c) != "", F.col(c)) for c in columns])
+        rows = _routed(rows, spec).select(F.col(PATH).alias("path"), values.alias("values"))
+        named = headers.where((F.col("quoted_breaks") == quoted_breaks) & (F.size("names") > 0)).select("path", "names")
+        joined = rows.join(F.broadcast(named) if files <= BROADCAST_FILES else named, "path")
+        return joined.select("path", F.map_from_arrays("names", F.slice("values", F.lit(1), F.size("names"))).alias("record"))
 
-    for files in batches:
-        for path, content in zip(files.column(0), files.column(1)):
-            parts, rows = [], []
-            try:  # a file counts whole or not at all, so nothing is passed on before its end
-                for row in _zip_rows(content.as_py()):
-                    rows.append(row)
-                    if len(rows) == _ROWS_PER_BATCH:
-                        parts.append(batch(path.as_py(), rows, None))
-                        rows = []
-                parts.append(batch(path.as_py(), rows, None))
-            except (zipfile.BadZipFile, IndexError, UnicodeDecodeError, csv.Error, EOFError, OSError) as bad:
-                parts = [batch(path.as_py(), [None], f"{type(bad).__name__}: {bad}")]
-            yield from parts
+    return part(False).unionByName(part(True)) if broken else part(False)
 
 
-def read_zip_csv(
+def read_csv_files(
     spark: SparkSession,
     paths: Sequence[str],
-    spec: RecordSpec | None = None,
-    glob: str = "*.csv.zip",
-    errors: bool = False,
-    scan: DataFrame | None = None,
+    spec: RecordSpec,
+    policy: str = "first_non_null",
+    glob: str | None = None,
+    headers: DataFrame | None = None,
 ) -> DataFrame:
-    """The first entry of each zip archive as ``(path, record)``.
-
-    An archive is one task. With ``errors`` the unreadable archives are
-    returned instead, as ``(path, error)``.
-    """
-    files = _routed(scan or scan_archives(spark, paths, glob), spec)
-    return unzip_records(files.select(F.col(PATH).alias("path"), "content"), errors)
-
-
-def unzip_records(files: DataFrame, errors: bool = False) -> DataFrame:
-    """As ``read_zip_csv`` for archives already loaded as ``(path, content)``."""
-    rows = files.select("path", "content").mapInArrow(_unzip, _ZIP_SCHEMA)
-    if errors:
-        return rows.where(F.col("error").isNotNull()).select("path", "error")
-    return rows.where(F.col("record").isNotNull()).select("path", "record")
+    """CSV files with headers of their own, as standard rows with ``path``."""
+    return resolve_records(read_csv_records(spark, paths, spec, glob, headers), spec, policy=policy, keep=["path"])

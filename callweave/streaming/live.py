@@ -15,26 +15,44 @@ from callweave.specs import RecordSpec
 
 BatchSink = Callable[[DataFrame, int], None]
 
+#: How late a row may come and how long its copies are looked for. None keeps every row for ever.
+DELAY = "2 days"
+
 
 def live_rows(
     messages: DataFrame,
     spec: RecordSpec,
     match: str = "casefold",
-    delay: str | None = None,
+    delay: str | None = DELAY,
     fold_first: bool = True,
 ) -> DataFrame:
     """Clean, distinct rows of a message stream. ``delay`` bounds the state (see
-    ``distinct_stream``); without it rows are kept for ever and none is late."""
+    ``distinct_stream``); with None rows are kept for ever and none is late."""
     cleaned = clean_live(messages, spec, match)
     return distinct_stream(cleaned, spec.event_time, delay, fold_first)
 
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(there)] if files.exists(there) else []
+
+
 def epoch_sink(path: str) -> BatchSink:
-    """Each micro-batch in its own partition folder, replaced when it is replayed:
-    a batch run again after a failure leaves no rows twice."""
+    """Each micro-batch in a folder of its query and epoch, replaced when it is replayed: a batch
+    run again after a failure leaves no rows twice.
+
+    A query with a new checkpoint counts its epochs from 0 again, so a target that another query
+    has written is refused; nothing there is overwritten or read twice."""
+    root = path.rstrip("/")
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch={epoch}")
+        spark = batch.sparkSession
+        own = f"query={spark.sparkContext.getLocalProperty('sql.streaming.queryId') or 'none'}"
+        others = [f for f in _folders(spark, root) if f.startswith("query=") and f != own]
+        if others:
+            raise RuntimeError(f"{root} holds the rows of {others[0]}: restart from its checkpoint or take a new target")
+        batch.write.mode("overwrite").parquet(f"{root}/{own}/epoch={epoch}")
 
     return write
 
@@ -88,7 +106,7 @@ def start_live(
     checkpoint: str,
     interval: str | None = "10 seconds",
     match: str = "casefold",
-    delay: str | None = None,
+    delay: str | None = DELAY,
     fold_first: bool = True,
 ) -> StreamingQuery:
     """The live job of one record type. Start one per type and wait on

@@ -7,7 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from callweave.operators import naming
+from callweave.operators import naming, quality
 from callweave.plans import jobs
 from callweave.sinks import exports, tables
 from callweave.sources import crawl, listing, merged, record_files
@@ -83,6 +83,9 @@ def test_csv(spark, tree):
 def test_only_files_with_quoted_breaks_lose_splitting(spark, tree):
     headers = record_files.csv_headers(spark, folders(spark, tree), CDR).collect()
     assert {h.header.split(",")[0]: h.quoted_breaks for h in headers} == {"imei": False, "caller_id": True}
+    plain = record_files.read_csv_records(spark, folders(spark, tree), CDR)
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and plan.count("FileScan csv") == 2
 
 
 def test_xml(spark, tree):
@@ -97,6 +100,39 @@ def test_xml_session_with_two_duration_names(spark, tmp_path):
     )
     (row,) = record_files.read_xml_files(spark, [str(tmp_path)], IPDR).collect()
     assert row.duration == "t"
+    (tmp_path / "ipdr.xml").write_text(
+        "<d><ipdr_record><duration>5</duration><connection_time>t</connection_time></ipdr_record></d>"
+    )
+    (row,) = record_files.read_xml_files(spark, [str(tmp_path)], IPDR).collect()
+    assert row.duration == "5"  # record order decides
+
+
+def test_damaged_files_count_whole_or_not_at_all(spark, tmp_path):
+    good = "<d><cdr_record><caller_id>1</caller_id></cdr_record><cdr_record><imei>None</imei></cdr_record>"
+    (tmp_path / "cdr_cut.xml").write_text(good)
+    (tmp_path / "cdr_whole.XML").write_text(good + "</d>")
+    packed = gzip.compress(json.dumps([CALL] * 50_000).encode())
+    (tmp_path / "cdr_cut.json.gz").write_bytes(packed[: len(packed) // 2])
+    (tmp_path / "cdr_mixed.json").write_text(json.dumps([CALL, 1]))
+    (tmp_path / "cdr_lines.jsonl").write_text(json.dumps(CALL) + "\n{\"a_number\": \n\n" + json.dumps(CALL) + "\n")
+    tree = crawl.open_tree(spark, [str(tmp_path)])
+    parsed = crawl.parse_type(tree, CDR)
+    rows = crawl.crawl_type(tree, CDR, parsed=parsed)
+    got = sorted((r.path.rsplit("/", 1)[1], r.caller_id or "") for r in rows.collect())
+    assert got == [("cdr_lines.jsonl", "1"), ("cdr_lines.jsonl", "1"), ("cdr_whole.XML", ""), ("cdr_whole.XML", "1")]
+    report = listing.file_report(listing.file_manifest(spark, [str(tmp_path)]), rows, crawl.errors_of(parsed))
+    faults = {r.path.rsplit("/", 1)[1]: (r.reason, r.errors) for r in report.collect()}
+    assert faults == {
+        "cdr_cut.xml": ("damaged", 1), "cdr_whole.XML": (None, 0), "cdr_cut.json.gz": ("damaged", 1),
+        "cdr_mixed.json": ("damaged", 1), "cdr_lines.jsonl": ("damaged", 1),
+    }
+
+
+def test_files_too_large_are_reported_unopened(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(record_files, "WHOLE_LIMIT", 10)
+    (tmp_path / "cdr.json").write_text(json.dumps([CALL]))
+    (row,) = record_files.read_whole(spark, [str(tmp_path)], "json").collect()
+    assert row.record is None and "too large" in row.error
 
 
 def test_zip(spark, tree):
@@ -153,7 +189,7 @@ def test_exports_keep_values(spark, tmp_path):
     def got(df):
         return {(r.caller_id, r.location, r.is_fraud) for r in df.collect()}
 
-    exports.export_csv(rows, str(tmp_path / "cdr_csv"), gzip=False)
+    exports.export_csv(rows, str(tmp_path / "cdr_csv"))
     assert got(record_files.read_csv_files(spark, [str(tmp_path / "cdr_csv")], CDR)) == want
     exports.export_json_arrays(rows, str(tmp_path / "j"), rows_per_file=1)
     assert got(naming.resolve_records(record_files.read_json_arrays(spark, [str(tmp_path / "j")]), CDR)) == want
@@ -178,16 +214,24 @@ def test_jobs_end_to_end(spark, tree, tmp_path):
     coverage = jobs.standardize_files(spark, str(tree), merged_dir)
     shares = {r.field: r.coverage for r in coverage["cdr"].collect()}
     assert shares["caller_id"] == 100.0 and all(0 <= v <= 100 for v in shares.values())
+    assert set(coverage) == {"cdr", "edr"}  # no empty set for a type without files
+    report = {r.path.rsplit("/", 1)[1]: r for r in jobs.read_report(spark, merged_dir).collect()}
+    assert report["a.json"].records == 1 and report["a.json"].reason is None
+    assert report["bad.csv.zip"].reason == "damaged" and "BadZipFile" in report["bad.csv.zip"].detail
+    assert report["notes.txt"].reason == "unsupported format"
 
     written = {}
     log = jobs.process_batch(
-        spark, merged_dir, lambda df, spec: written.update({spec.name: df.collect()}), run_ts="2024-06-01 00:00:00"
+        spark,
+        merged_dir,
+        lambda df, spec: written.update({spec.name: df.collect()}),
+        types=["cdr", "edr"],
+        run_ts="2024-06-01 00:00:00",
     )
     by_table = {m["table"]: m for m in log}
     assert by_table["cdr"]["records_before_cleaning"] == 12
     assert by_table["cdr"]["records_after_cleaning"] == len(written["cdr"]) == 10  # three equal calls fold to one
     assert by_table["cdr"]["dropped_records"] == 2
-    assert by_table["ipdr"]["records_after_cleaning"] == 0
     assert all(r.caller_id and r.call_start for r in written["cdr"])
 
     sent = []
@@ -196,6 +240,13 @@ def test_jobs_end_to_end(spark, tree, tmp_path):
     body = json.loads(sent[0].value)
     assert set(body) == set(CDR.fields) and sent[0].topic == "cdr" and sent[0].key == body["caller_id"]
 
+    def refuse(df):
+        raise OSError("broker gone")
+
+    (failed,) = jobs.publish(spark, merged_dir, refuse, types=["cdr"])
+    assert failed["errors"] == 1 and "broker gone" in failed["error"] and failed["records_sent"] == 0
+    assert quality.field_coverage(spark.createDataFrame([], "a string"), ["a"]).first().coverage is None
+
 
 def test_jdbc_options():
     options = tables.jdbc_options("u", "p", "org.postgresql.Driver", connections=8)

@@ -22,6 +22,7 @@ def land(spark, path, bodies):
 
 
 def run(spark, feed, out, spec=EDR, **options):
+    options = {"delay": None, **options}
     query = live.start_live(
         streams.file_messages(spark, feed, 1), spec, live.epoch_sink(f"{out}/t"), f"{out}/c", interval=None, **options
     )
@@ -38,9 +39,8 @@ def test_copies_across_batches_and_restart(spark, tmp_path):
     assert live.read_epochs(spark, f"{out}/t", EDR).count() == 0
     land(spark, feed, [body(1), body(1), body(2)])
     land(spark, feed, [body(2), body(3), "not json", body(4, user=" "), body(5, time="bad")])
-    query = run(spark, feed, out)
+    run(spark, feed, out)
     assert ids(spark, out) == ["e1", "e2", "e3"]
-    assert progress.throughput(query)[-1]["records"] == 8
     land(spark, feed, [body(3), body(6)])  # a copy of a row seen before the restart
     run(spark, feed, out)
     assert ids(spark, out) == ["e1", "e2", "e3", "e6"]
@@ -115,18 +115,45 @@ def test_three_live_queries_in_one_application(spark, tmp_path):
     assert live.read_epochs(spark, str(tmp_path / "edr"), EDR).count() == 1
 
 
-def test_throughput_log(spark, tmp_path):
-    seen = progress.ThroughputLog()
+def test_throughput_counts_all_batches(spark, tmp_path):
+    seen = progress.ThroughputLog(keep=3)
     spark.streams.addListener(seen)
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
     try:
-        land(spark, str(tmp_path / "in"), [body(1), body(2)])
+        for i in range(5):
+            land(spark, str(tmp_path / "in"), [body(i), body(i + 1)])
         run(spark, str(tmp_path / "in"), str(tmp_path / "out"))
         deadline = time.time() + 20  # events arrive on a thread of their own
-        while seen.records.get("edr") != 2 and time.time() < deadline:
+        while "edr" not in seen.ended and time.time() < deadline:
             time.sleep(0.2)
     finally:
         spark.streams.removeListener(seen)
-    assert seen.records == {"edr": 2} and seen.errors == {"edr": 0}
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert seen.records == {"edr": 10} and seen.errors == {"edr": 0}
+    assert len(seen.entries) == 3 and max(e["records"] for e in seen.entries) == 10
+
+
+def test_new_checkpoint_overwrites_nothing(spark, tmp_path):
+    feed, out = str(tmp_path / "in"), str(tmp_path / "out")
+    land(spark, feed, [body(1)])
+    run(spark, feed, out)
+    query = live.start_live(
+        streams.file_messages(spark, feed), EDR, live.epoch_sink(f"{out}/t"), f"{out}/other", interval=None
+    )
+    with pytest.raises(Exception, match="holds the rows of"):
+        query.awaitTermination()
+    assert ids(spark, out) == ["e1"]
+
+
+def test_state_is_bounded_by_default(spark, tmp_path):
+    feed, out = str(tmp_path / "in"), str(tmp_path / "out")
+    land(spark, feed, [body(1, "2024-01-10 00:00:00")])
+    land(spark, feed, [body(2, "2024-01-01 00:00:00")])
+    run(spark, feed, out, delay=live.DELAY)
+    land(spark, feed, [body(3, "2024-01-01 00:00:00")])
+    run(spark, feed, out, delay=live.DELAY)
+    assert ids(spark, out) in (["e1"], ["e1", "e2"])  # the first two may share a batch
 
 
 def test_jdbc_sink_skips_empty_batches(spark, monkeypatch):

@@ -120,3 +120,28 @@ def test_category_mode_is_checked():
 def test_blank_to_null(spark):
     assert apply(spark, V.blank_to_null, ["", "None", "a", None]) == [None, "None", "a", None]
     assert apply(spark, lambda c: V.blank_to_null(c, "None"), ["", "None", "a", None]) == [None, None, "a", None]
+
+
+def test_run_times_are_utc(spark, monkeypatch):
+    from datetime import datetime, timedelta, timezone
+
+    from callweave.operators import cleaning
+    from callweave.specs import CDR
+
+    monkeypatch.setenv("TZ", "Asia/Kolkata")
+    aware = datetime(2024, 6, 1, 12, 0, tzinfo=timezone(timedelta(hours=5)))
+    df = spark.createDataFrame([("1",)], "caller_id string").withColumn("call_start", F.lit(None).cast("string"))
+    for given, shown in ((aware, "2024-06-01 07:00:00"), (datetime(2024, 6, 1, 12), "2024-06-01 12:00:00")):
+        row = cleaning.clean_batch(df, CDR, given).select(F.date_format("call_start", "yyyy-MM-dd HH:mm:ss")).first()
+        assert row[0] == shown
+
+
+def test_published_numbers_are_whole_and_long(spark):
+    from callweave.operators import cleaning
+    from callweave.specs import CDR, IPDR
+
+    values = ["443.0", "abc", "3000000000", " 7 ", None]
+    calls = spark.createDataFrame([(v,) for v in values], "call_duration string")
+    assert [r[0] for r in cleaning.published_values(calls, CDR).collect()] == [443, None, 3000000000, 7, None]
+    ports = spark.createDataFrame([(v,) for v in values], "port string")
+    assert [r[0] for r in cleaning.published_values(ports, IPDR).collect()] == [443, 0, 3000000000, 7, 0]
