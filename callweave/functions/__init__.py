@@ -8,6 +8,7 @@ from callweave.functions.values import (
     published_text,
     scrub_text,
     strict_time,
+    table_time,
     strip,
     whole_number,
 )

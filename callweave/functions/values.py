@@ -30,8 +30,8 @@ def blank_to_null(c: Column, none_word: str | None = None) -> Column:
     return F.when(~(empty | (c == none_word)) if none_word else ~empty, c)
 
 
-def canonical_time(c: Column) -> Column:
-    """Text in any accepted form as ``yyyy-MM-dd HH:mm:ss``; other text stays (stripped).
+def parsed_time(c: Column) -> Column:
+    """Text in any accepted form as a timestamp, other text null.
 
     Day-first wins over month-first, an ISO ``Z`` does not shift, numbers are
     epoch seconds. The shape of the text picks the one format that can match:
@@ -41,7 +41,7 @@ def canonical_time(c: Column) -> Column:
     one_space = F.when(v.rlike(r"\s\s|[\t\n\r]"), F.regexp_replace(v, r"\s+", " ")).otherwise(v)
     middle = F.substring_index(F.substring_index(v, "/", 2), "/", -1)
     seconds = v.try_cast("double")
-    parsed = (
+    return (
         F.when(
             v.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\s"),
             F.try_to_timestamp(one_space, F.lit("yyyy-M-d H:m:s")),
@@ -61,7 +61,16 @@ def canonical_time(c: Column) -> Column:
             F.when(seconds.between(_FIRST_SECOND, _LAST_SECOND), seconds.try_cast("timestamp")),
         )
     )
-    return F.coalesce(F.date_format(parsed, TIME_FORMAT), v)
+
+
+def canonical_time(c: Column) -> Column:
+    """Text in any accepted form as ``yyyy-MM-dd HH:mm:ss``; other text stays (stripped)."""
+    return F.coalesce(F.date_format(parsed_time(c), TIME_FORMAT), strip(c))
+
+
+def table_time(c: Column) -> Column:
+    """What ``strict_time`` reads from ``canonical_time``, without the text between."""
+    return F.date_trunc("second", parsed_time(c))
 
 
 def canonical_flag(c: Column) -> Column:

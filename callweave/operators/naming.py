@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callweave.functions import canonical_flag, canonical_time
+from callweave.functions import canonical_flag, canonical_time, table_time
 from callweave.specs import RecordSpec
 
 POLICIES = ("first_present", "first_non_null")
@@ -18,10 +18,10 @@ def _check_policy(policy: str) -> None:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
 
 
-def _standard_value(spec: RecordSpec, field: str, raw: Column) -> Column:
+def _standard_value(spec: RecordSpec, field: str, raw: Column, times: bool = False) -> Column:
     kind = spec.kind(field)
     if kind == "timestamp":
-        return canonical_time(raw)
+        return table_time(raw) if times else canonical_time(raw)
     if kind == "boolean":
         return canonical_flag(raw)
     return raw
@@ -41,13 +41,15 @@ def resolve_records(
     policy: str = "first_present",
     keep: Sequence[str] = (),
     legacy: bool = False,
+    times: bool = False,
 ) -> DataFrame:
     """Ragged records (``map<string,string>``) as standard rows.
 
     Of several names for one column the first in record order wins;
     ``first_present`` takes it even where its value is null. Records without
     any known name are left out (``unmapped_records`` returns them). ``keep``
-    names further columns to carry along.
+    names further columns to carry along. With ``times`` event times come as timestamps, for
+    cleaning in the same plan: what can't be read is null then, and no text is made of the rest.
 
     Keys are translated once per record; each column is then one position
     lookup, so the cost does not grow with the number of accepted names.
@@ -69,7 +71,7 @@ def resolve_records(
             for field in spec.fields
         ],
     )
-    return picked.select(*keep, *[_standard_value(spec, f, F.col(f)).alias(f) for f in spec.fields])
+    return picked.select(*keep, *[_standard_value(spec, f, F.col(f), times).alias(f) for f in spec.fields])
 
 
 def unmapped_records(df: DataFrame, spec: RecordSpec, record: str = "record", legacy: bool = False) -> DataFrame:
@@ -92,12 +94,13 @@ def resolve_wide(
     policy: str = "first_non_null",
     keep: Sequence[str] = (),
     legacy: bool = False,
+    times: bool = False,
 ) -> DataFrame:
     """Flat text columns as standard rows; column order stands for record order.
 
     Every row of a flat file carries every name, so ``first_present`` is the
     first known column whatever it holds, and ``first_non_null`` the first one
-    filled. Unknown columns are not read at all.
+    filled. Unknown columns are not read at all. ``times`` as in ``resolve_records``.
     """
     _check_policy(policy)
     lookup = spec.name_lookup(legacy)
@@ -118,7 +121,7 @@ def resolve_wide(
     picked = df.select(*[F.col(k).alias(f"_keep_{k}") for k in keep], *[raw(f).alias(f) for f in spec.fields])
     return picked.select(
         *[F.col(f"_keep_{k}").alias(k) for k in keep],
-        *[_standard_value(spec, f, F.col(f)).alias(f) for f in spec.fields],
+        *[_standard_value(spec, f, F.col(f), times).alias(f) for f in spec.fields],
     )
 
 

@@ -120,15 +120,18 @@ def landed_messages(spark: SparkSession, sf_dir: str, kind: str) -> str:
     return path
 
 
-def standard_rows(spark: SparkSession, sf_dir: str, kind: str, policy: str = "first_present") -> DataFrame:
-    return naming.resolve_records(ragged_records(spark, sf_dir, kind), spec_for(kind), policy=policy, keep=["rid"])
+def standard_rows(
+    spark: SparkSession, sf_dir: str, kind: str, policy: str = "first_present", times: bool = False
+) -> DataFrame:
+    records = ragged_records(spark, sf_dir, kind)
+    return naming.resolve_records(records, spec_for(kind), policy=policy, keep=["rid"], times=times)
 
 
 def cleaned_rows(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Batch-clean rows that still hold their copies."""
     spec = spec_for(kind)
     raw = raw_records(spark, sf_dir, kind, copies=True)
-    mapped = naming.resolve_wide(raw.select(*spec.fields), spec)
+    mapped = naming.resolve_wide(raw.select(*spec.fields), spec, times=True)
     return cleaning.clean_batch(mapped, spec, RUN_TS)
 
 
@@ -705,7 +708,7 @@ def stream_throughput(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------------
 def edr_overview(spark: SparkSession, sf: str) -> DataFrame:
     """Ragged device events mapped, cleaned, de-duplicated and counted per event type."""
-    mapped = standard_rows(spark, sf, "edr").drop("rid")
+    mapped = standard_rows(spark, sf, "edr", times=True).drop("rid")
     table = distinct.distinct_rows(cleaning.clean_batch(mapped, EDR, RUN_TS))
     return table.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("records"), F.count_if("is_fraud").alias("fraud_records")
