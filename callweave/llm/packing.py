@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from callweave.llm.common import small, stored
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
 
 
 # --------------------------------------------------------------------------
@@ -48,8 +48,8 @@ def word_encoder(path: str | None):
     """``(encode, dtype)``: ids of a text as bytes of ``dtype``, equal to the tokenizer's own.
 
     The tokenizer drops white space and never joins across it, so words are encoded
-    once each and kept; common words go straight to its model, all others through the whole
-    tokenizer. The words kept live as long as the Python worker and are dropped past a bound."""
+    once each and kept, and so are their pieces; common words go straight to its model, all others
+    through the whole tokenizer. What is kept lives as long as the Python worker, up to a bound."""
     import json
     import re
     import sys
@@ -76,25 +76,44 @@ def word_encoder(path: str | None):
     pieces = regex.compile(split) if simple else None
     common = re.compile("[\x21-\x7e\xa1-įı-ɏ]+")  # NFC, and lower case character by character
 
-    def encode_word(word: str) -> list[int]:
-        if not simple or not common.fullmatch(word) or any(s in word for s in special):
-            return whole.encode(word, add_special_tokens=False).ids
-        low = word.lower()
-        ids: list[int] = []
-        for piece in [low] if low.isalpha() else pieces.findall(low):
-            if not piece.isascii():
-                piece = piece.encode().decode("latin-1").translate(shown)
-            ids += [t.id for t in model.tokenize(piece)]
-        return ids
-
-    class Words(dict):
-        def __missing__(self, word: bytes) -> bytes:
+    class Recent(dict):
+        """What ``make`` gives for a key. Of two generations the older one goes when the newer is full,
+        so what is common stays."""
+
+        def __init__(self, make):
+            super().__init__()
+            self.make, self.older = make, {}
+
+        def __missing__(self, key):
+            value = self.older.get(key)
+            if value is None:
+                value = self.make(key)
             if len(self) >= CACHED_WORDS:
+                self.older = dict(self)
                 self.clear()
-            value = self[word] = np.array(encode_word(word.decode("utf-8", "replace")), dtype).tobytes()
+            self[key] = value
             return value
 
-    get = Words().__getitem__
+    def encode_piece(piece: str) -> list[int]:
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(shown)
+        return [t.id for t in model.tokenize(piece)]
+
+    ids_of = Recent(encode_piece).__getitem__
+
+    def encode_word(word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if not simple or not common.fullmatch(text) or any(s in text for s in special):
+            ids = whole.encode(text, add_special_tokens=False).ids
+        else:
+            low = text.lower()
+            if low.isalpha():
+                ids = ids_of(low)
+            else:
+                ids = [i for piece in pieces.findall(low) for i in ids_of(piece)]
+        return np.array(ids, dtype).tobytes()
+
+    get = Recent(encode_word).__getitem__
 
     def encode(text: str) -> bytes:
         return b"".join(map(get, text.encode("utf-8", "replace").split()))
