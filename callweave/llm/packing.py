@@ -19,6 +19,7 @@ sources, which no window could hold together, are pooled by hash into that many
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import partial
 from types import SimpleNamespace
@@ -94,24 +95,25 @@ def word_encoder(path: str | None):
             self[key] = value
             return value
 
-    def encode_piece(piece: str) -> list[int]:
+    code = "H" if dtype.itemsize == 2 else "I"
+    has_special = re.compile("|".join(map(re.escape, special)) or r"(?!)").search
+
+    def encode_piece(piece: str) -> bytes:
         if not piece.isascii():
             piece = piece.encode().decode("latin-1").translate(shown)
-        return [t.id for t in model.tokenize(piece)]
+        return array(code, [t.id for t in model.tokenize(piece)]).tobytes()
 
     ids_of = Recent(encode_piece).__getitem__
 
     def encode_word(word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
-        if not simple or not common.fullmatch(text) or any(s in text for s in special):
-            ids = whole.encode(text, add_special_tokens=False).ids
-        else:
+        if simple and (text.isascii() and text.isprintable() or common.fullmatch(text)):
             low = text.lower()
             if low.isalpha():
-                ids = ids_of(low)
-            else:
-                ids = [i for piece in pieces.findall(low) for i in ids_of(piece)]
-        return np.array(ids, dtype).tobytes()
+                return ids_of(low)
+            if not has_special(text):
+                return b"".join(map(ids_of, pieces.findall(low)))
+        return array(code, whole.encode(text, add_special_tokens=False).ids).tobytes()
 
     get = Recent(encode_word).__getitem__
 
