@@ -133,4 +133,43 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
 }
-ORACLES: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(_LOWER.format("coalesce(text, '')"))
+
+# Windows by equality of word lists, without an index.
+_DECONTAMINATION_SQL = f"""
+with items as (select item_id, {_ITEM_WORDS} as w from benchmark),
+windows as (
+    select distinct item_id, w[i:i + 9] as win, len(w[i:i + 9]) as size
+    from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from items where len(w) > 0) s),
+docs as (select row_number() over () as r, doc_id, {_ITEM_WORDS} as w from documents),
+sizes as (select distinct size from windows),
+places as (
+    select r, size, unnest(range(1, len(w) - size + 2)) as i, w from docs, sizes where len(w) >= size),
+hits as (
+    select p.r, p.i, p.size, v.item_id
+    from (select r, i, size, w[i:i + size - 1] as win from places) p join windows v on p.win = v.win),
+covered as (select r, count(distinct k) as n_hit from (select r, unnest(range(i, i + size)) as k from hits) c group by r),
+found as (
+    select r, count(*) as n_items, string_agg(item, ',' order by item) as names
+    from (select distinct r, cast(item_id as varchar) as item from hits where item_id is not null) f group by r)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(c.n_hit, 0) as n_hit, coalesce(f.n_items, 0) as n_items,
+    sha256(coalesce(f.names, '')) as items_sha256, coalesce(c.n_hit, 0) > 0 as contaminated
+from docs d left join covered c using (r) left join found f using (r)
+"""
+
+_ESCAPED = "replace(replace({}, '\\', '\\\\'), '<|', '<\\|')"
+_CHAT_SQL = f"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -1, 0, 'user', '{CONTROL_PROBE}' union all select -1, 1, 'assistant', '{CONTROL_PROBE}'),
+said as (
+    select *, {_ESCAPED.format("text")} as escaped_text, replace({_ESCAPED.format("role")}, chr(10), '\\n') as escaped_role from turns)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+    cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn, text) filter (role = 'assistant'), '')) as loss_sha256,
+    cast(sum(length('<|im_start|>' || escaped_role || escaped_text || '<|im_end|>') + 2) as bigint) as formatted_chars
+from said group by conv_id
+"""
+
+ORACLES: dict[str, str] = {"op5_chat": _CHAT_SQL, "op9_decontamination": _DECONTAMINATION_SQL}
