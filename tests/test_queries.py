@@ -4,8 +4,8 @@ import pytest
 from compare import difference, tables
 
 from __spark_entry__ import entry, oracle_sql, queries
-
-QUERIES, SQL = queries(), oracle_sql()
+from callweave.plans.oracles import ORACLES as SQL
+from callweave.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +15,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
