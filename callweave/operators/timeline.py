@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callweave.session import work_path
 from callweave.specs import TIME_FORMAT, RecordSpec, spec_for
@@ -49,31 +53,28 @@ def subscriber_timeline(tables: dict[str, DataFrame]) -> DataFrame:
 def numbered_timeline(tables: dict[str, DataFrame]) -> DataFrame:
     """As ``subscriber_timeline`` with ``seq``, each record's place in its timeline.
 
-    The range-partitioned order is written to the shared folder with its
-    partition number. A place is then the rank within the slice of one
-    partition plus the sizes of the subscriber's earlier slices, so no task
-    ever holds more of a subscriber than one partition does.
+    The range-partitioned order is written to the shared folder with each row's partition and
+    place in it, counted along the sorted rows. A subscriber who goes on in later partitions gets the
+    sizes of the earlier ones added. Payloads are shuffled once, and no task ever holds more of a
+    subscriber than one partition does. The table lives as long as the result is read from it.
     """
     entries = merge_entries(tables)
     spark = entries.sparkSession
     path = work_path(spark, "timeline")
-    (
-        entries.repartitionByRange(*SORT_KEYS)
-        .withColumn("slice", F.spark_partition_id())
-        .write.parquet(path)
-    )
-    rows = spark.read.parquet(path)
-    slices = rows.groupBy("subscriber", "slice").agg(F.count(F.lit(1)).alias("_size"))
+    placed = T.StructType([*entries.schema.fields, T.StructField("slice", T.IntegerType()), T.StructField("place", T.LongType())])
+    ordered = entries.repartitionByRange(*SORT_KEYS).sortWithinPartitions(*SORT_KEYS)
+    ordered.mapInArrow(_places, placed).write.parquet(path)
+    rows = spark.read.schema(placed).parquet(path)
+    slices = rows.groupBy("subscriber", "slice").agg(F.count(F.lit(1)).alias("size"))
     earlier = Window.partitionBy("subscriber").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    # a slice begins in the middle of one subscriber at most, so these are no more than the slices
     offsets = slices.select(
-        "subscriber", "slice", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
-    )
-    within = Window.partitionBy("subscriber", "slice").orderBy("ts", "source_rank", "payload")
-    offsets = offsets.withColumnsRenamed({"subscriber": "_who", "slice": "_slice"})
+        F.col("subscriber").alias("_who"), F.col("slice").alias("_slice"), F.sum("size").over(earlier).alias("_before")
+    ).where("_before is not null")
     same = F.col("subscriber").eqNullSafe(F.col("_who")) & (F.col("slice") == F.col("_slice"))
-    return rows.join(offsets, same).select(
+    return rows.join(F.broadcast(offsets), same, "left").select(
         "subscriber",
-        (F.col("_before") + F.row_number().over(within)).alias("seq"),
+        (F.coalesce("_before", F.lit(0)) + F.col("place")).alias("seq"),
         "ts",
         "source",
         "is_fraud",
@@ -81,6 +82,24 @@ def numbered_timeline(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows with the number of their partition and their place, from 1, among the
+    subscriber's rows in it."""
+    from pyspark import TaskContext
+
+    part, who, place = TaskContext.get().partitionId(), object(), 0
+    for batch in batches:
+        places = []
+        for subscriber in batch.column(0).to_pylist():
+            place = place + 1 if subscriber == who else 1
+            who = subscriber
+            places.append(place)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array([part] * len(places), pa.int32()), pa.array(places, pa.int64())],
+            names=[*batch.schema.names, "slice", "place"],
+        )
+
+
 def fraud_alerts(df: DataFrame) -> DataFrame:
     """Clean rows flagged as fraud; works on streams and tables."""
     return df.where(F.col("is_fraud"))
