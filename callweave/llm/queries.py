@@ -99,9 +99,9 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = docs.where(~held_out(F.col("doc_id"))).join(labels, "doc_id").select(F.col("doc_id").alias("id"), "toxic", "text")
-    scored = toxicity.score(docs, toxicity.train(known), "doc_id")
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    model = toxicity.train(toxicity.labelled_sample(docs, labels))
+    scored = toxicity.score(docs, model, "doc_id")
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )

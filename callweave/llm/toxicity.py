@@ -4,8 +4,8 @@ A logistic model over word and word-beginning features. Beside the log loss on l
 penalised for every change of score when an identity term of a text is swapped for another of its
 kind, so that a neutral mention of a group does not raise the score by itself.
 
-Features are chosen from counts over all labelled rows, made by Spark; the model is
-fitted on at most ``max_rows`` of them, both classes alike, on the driver.
+The model is learnt from a bounded sample of the labelled rows (``labelled_sample``): features are chosen
+from counts that Spark makes over it, the weights fitted on the driver.
 
 Defined cases: null and empty texts have no features and score the base rate; rows with a null
 label, id or text teach nothing; without labels of both kinds every score is the share of label 1
@@ -153,12 +153,27 @@ def fit(
     return w[:size], float(w[size])
 
 
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, max_rows: int = 24_000, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic"
+) -> DataFrame:
+    """Rows (id, toxic, text) of about ``max_rows`` labelled documents at most, both labels alike, drawn by
+    a hash of the id. Labels are drawn before texts are looked up, so the side that is broadcast is
+    bounded by ``max_rows`` and no text is shuffled. An id with several labels counts as toxic if one is."""
+    known = labels.where(F.col(doc_id).isNotNull() & F.col(toxic).isNotNull())
+    known = known.groupBy(F.col(doc_id).alias("id")).agg(F.max((F.col(toxic) == 1).cast("int")).alias("toxic"))
+    sizes = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
+    share = {k: min(1.0, max_rows / 2 / max(1, sizes.get(k, 0))) for k in (0, 1)}
+    draw = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 20))
+    drawn = known.where(draw < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * (1 << 20))
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
+    return texts.join(F.broadcast(drawn), "id").select("id", "toxic", "text")
+
+
 def train(
-    rows: DataFrame, max_features: int = 4096, max_rows: int = 12_000, min_texts: int = 8,
-    terms: tuple = IDENTITY_TERMS, penalty: float = 1.0,
+    rows: DataFrame, max_features: int = 4096, min_texts: int = 8, terms: tuple = IDENTITY_TERMS, penalty: float = 1.0
 ) -> SimpleNamespace:
-    """A model from rows (id, toxic, text). Features are the ``max_features`` whose presence tells the
-    labels apart most surely, over all rows, and those of the identity terms."""
+    """A model from rows (id, toxic, text), such as ``labelled_sample`` gives. Features are the
+    ``max_features`` whose presence tells the labels apart most surely, and those of the identity terms."""
     known = rows.where("toxic is not null and text is not null and id is not null")
     # counts per feature; feature ``BUCKETS`` counts the texts
     counted = known.select("toxic", "text").mapInArrow(_count_batches, "bucket long, ones long, zeros long")
@@ -175,15 +190,11 @@ def train(
     named = {b for t in swap for b in word_features(t)}
     best = at[np.argsort(-sure, kind="stable")[:max_features]].tolist()
     chosen = {b: k for k, b in enumerate(dict.fromkeys([*best, *sorted(named)]))}
-    shares = {1: min(1.0, max_rows / 2 / n1), 0: min(1.0, max_rows / 2 / n0)}
-    draw = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 20))
-    some = known.where(draw < F.when(F.col("toxic") == 1, shares[1]).otherwise(shares[0]) * (1 << 20))
-    sample = some.select(F.when(F.col("toxic") == 1, 1).otherwise(0).alias("toxic"), "text").mapInArrow(
+    sample = known.select("toxic", "text").mapInArrow(
         partial(_sample_batches, chosen=chosen, swap=swap), "toxic int, plain array<int>, other array<int>"
     ).toArrow()
     plain, other = sample.column("plain").to_pylist(), sample.column("other").to_pylist()
-    labels = sample.column("toxic").to_numpy()
-    weights, intercept = fit(labels, plain, other, len(chosen), penalty)
+    weights, intercept = fit(sample.column("toxic").to_numpy(), plain, other, len(chosen), penalty)
     return SimpleNamespace(chosen=chosen, weights=weights, intercept=intercept, base=n1 / (n1 + n0))
 
 

@@ -303,11 +303,16 @@ def test_toxicity_learns_and_holds_out(spark, sf_dir):
     texts = [(i, " ".join(rng.choices(plain, k=20) + (["nasty", "vileness"] if i % 5 == 0 else [])), int(i % 5 == 0)) for i in range(400)]
     df = spark.createDataFrame(texts, "id long, text string, toxic int")
     odd = spark.createDataFrame([(1, None, None), (None, "nasty", 1), (2, "", 0)], df.schema)
-    model = toxicity.train(df.unionByName(odd), max_rows=300)
+    model = toxicity.train(df.unionByName(odd))
     tests = spark.createDataFrame([(0, "river vilest stone nasty"), (1, "river stone"), (2, None), (3, "")], "doc_id long, text string")
     got = {r.doc_id: r.score for r in toxicity.score(tests.selectExpr("*", "1 as score"), model, "doc_id").collect()}
     assert got[0] > 0.5 > got[1] and got[2] == got[3] < 0.5
     assert toxicity.train(df.where("toxic = 0")).base == 0.0 and toxicity.train(df.where("false")).base == 0.0
+    docs = df.withColumnsRenamed({"id": "doc_id"}).drop("toxic")
+    labels = df.selectExpr("id as doc_id", "toxic").unionByName(spark.createDataFrame([(0, 0), (0, None), (None, 1)], "doc_id long, toxic int"))
+    assert toxicity.labelled_sample(docs, labels).groupBy("toxic").count().orderBy("toxic").collect() == [(0, 320), (1, 80)]
+    assert toxicity.labelled_sample(docs, labels, max_rows=100).count() < 160
+    assert toxicity.labelled_sample(docs, labels.where("false")).count() == 0
     none = toxicity.score(tests, toxicity.train(df.where("false")), "doc_id").collect()
     assert {r.score for r in none} == {0.0}
 
