@@ -7,6 +7,7 @@ None of them counts or shuffles; de-duplication and metrics are separate.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
 from functools import reduce
 from operator import and_
@@ -105,9 +106,9 @@ def check_categories(df: DataFrame, spec: RecordSpec) -> DataFrame:
     return df.withColumns(checked)
 
 
-def to_table_types(df: DataFrame, spec: RecordSpec) -> DataFrame:
-    """Exactly the table's columns and types; what cannot be cast is null."""
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in spec.table_schema])
+def to_table_types(df: DataFrame, spec: RecordSpec, keep: Sequence[str] = ()) -> DataFrame:
+    """Exactly the table's columns and types, and ``keep``; what cannot be cast is null."""
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in spec.table_schema], *keep)
 
 
 def with_lineage(df: DataFrame, batch_id: str, run_ts: datetime | str | None = None) -> DataFrame:
@@ -122,21 +123,22 @@ def clean_batch(
     fold_defaults: bool = False,
     legacy: bool = False,
     batch_id: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """The batch profile, row by row; follow with ``distinct_rows``.
 
-    ``batch_id`` keeps the lineage columns in the result.
+    ``batch_id`` keeps the lineage columns in the result; ``keep`` names further columns to carry along.
     """
     if legacy:
         old = LEGACY_NAMES[spec.name]
         df = df.withColumnsRenamed({n: f for f, n in old.items() if n in df.columns and f not in df.columns})
-    present = df.select(*[f for f in spec.fields if f in df.columns])
+    present = df.select(*[f for f in spec.fields if f in df.columns], *keep)
     cleaned = (
         present.transform(scrub, spec, fold_defaults)
         .transform(repair_keys, spec, run_ts)
         .transform(complete_columns, spec)
         .transform(check_categories, spec)
-        .transform(to_table_types, spec)
+        .transform(to_table_types, spec, keep)
     )
     return with_lineage(cleaned, batch_id, run_ts) if batch_id else cleaned
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial
 
 import pyarrow as pa
@@ -20,9 +20,11 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 COPIES = "_copies"
 
 
-def with_copies(df: DataFrame) -> DataFrame:
-    """As ``distinct_rows``, with the number of copies each row had."""
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
+def with_copies(df: DataFrame, sums: Sequence[str] = ()) -> DataFrame:
+    """As ``distinct_rows``, with the number of copies each row had and, of the columns ``sums``, which
+    do not tell rows apart, the sum over the copies."""
+    keys = [c for c in df.columns if c not in sums]
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES), *[F.sum(c).alias(c) for c in sums])
 
 
 def _fold_batches(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.operators.cleaning import clean_batch, published_values
+from callweave.operators.cleaning import clean_batch, key_missing, published_values
 from callweave.operators.distinct import COPIES, with_copies
 from callweave.operators.messages import to_messages
 from callweave.operators.quality import count_on_the_way, counts_seen, field_coverage
@@ -94,7 +94,8 @@ def process_batch(
 
     One pass per type: the counts before and after de-duplication are taken while the sink writes.
     They come after the shuffle, from the number of copies of each row, so stages that run
-    again after a lost executor count nothing twice. Returns one metrics record per type.
+    again after a lost executor count nothing twice. Returns one metrics record per type, with
+    the rows whose key was null or ``unknown`` before cleaning repaired it.
     """
     prepare(spark)
     batch_id = str(uuid.uuid4())
@@ -103,9 +104,14 @@ def process_batch(
     for name in types or list(SPECS):
         spec, start = spec_for(name), time.time()
         raw = read_merged(spark, source, spec, header, multi_line)
-        copies = with_copies(clean_batch(raw, spec, run_ts, **options))
-        copies, seen = count_on_the_way(copies, before=F.sum(COPIES), fraud_records=F.count_if("is_fraud"))
-        sink(copies.drop(COPIES), spec)
+        lacking = {k: f"_missing_{k}" for k in spec.keys if k in raw.columns}
+        flagged = raw.withColumns({flag: key_missing(k).cast("long") for k, flag in lacking.items()})
+        flags = list(lacking.values())
+        copies = with_copies(clean_batch(flagged, spec, run_ts, keep=flags, **options), flags)
+        copies, seen = count_on_the_way(
+            copies, before=F.sum(COPIES), fraud_records=F.count_if("is_fraud"), **{f: F.sum(f) for f in flags}
+        )
+        sink(copies.drop(COPIES, *flags), spec)
         left = counts_seen(seen)
         before, after = left.get("before") or 0, left.get("records", 0)
         log.append(
@@ -116,6 +122,7 @@ def process_batch(
                 "records_after_cleaning": after,
                 "dropped_records": before - after,
                 "fraud_records": left.get("fraud_records", 0),
+                "missing_keys": {k: left.get(flag) or 0 for k, flag in lacking.items()},
                 "processing_time_seconds": round(time.time() - start, 3),
                 "timestamp": datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S"),
             }

@@ -369,11 +369,17 @@ def _oracles() -> dict[str, str]:
     )
     sql["fraud_count"] = f"""select count(*) as records, count(*) filter (is_fraud) as fraud_records
         from ({clean_table('cdr')}) n"""
+    def missing(kind: str) -> str:  # a file has no empty text, only nulls
+        return ", ".join(
+            f"'{c}=' || count(*) filter (nullif({q(c)}, '') is null or {q(c)} = 'unknown')" for c in KEYS[kind]
+        )
+
     sql["batch_metrics"] = per_kind(
         lambda k: f"""select '{k}' as "table", (select count(*) from ({raw_sql(k, copies=True)}) r)
             as records_before_cleaning, count(*) as records_after_cleaning,
             (select count(*) from ({raw_sql(k, copies=True)}) r) - count(*) as dropped_records,
-            count(*) filter (is_fraud) as fraud_records from ({clean_table(k)}) n"""
+            count(*) filter (is_fraud) as fraud_records, (select concat_ws(',', {missing(k)})
+            from ({standard(k, raw_sql(k, copies=True))}) s) as missing_keys from ({clean_table(k)}) n"""
     )
     sql["route_record_type"] = paths(
         """case when name = 0 then 'ipdr' when name = 1 then 'edr' when name = 2 then 'cdr'

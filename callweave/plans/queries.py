@@ -413,7 +413,8 @@ def batch_metrics(spark: SparkSession, sf: str) -> DataFrame:
     )
     counts = ("records_before_cleaning", "records_after_cleaning", "dropped_records", "fraud_records")
     return spark.createDataFrame(
-        [(r["table"], *(r[c] for c in counts)) for r in log], "table string, " + ", ".join(f"{c} long" for c in counts)
+        [(r["table"], *(r[c] for c in counts), ",".join(f"{k}={n}" for k, n in r["missing_keys"].items())) for r in log],
+        "table string, " + ", ".join(f"{c} long" for c in counts) + ", missing_keys string",
     )
 
 
