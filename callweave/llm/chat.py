@@ -202,7 +202,8 @@ def render_conversations(
     )
     local = is_local(template)
     order = ["conv_id", "turn", "role", "text"]
-    parted = rows.repartitionByRange(*order) if local else rows.repartition("conv_id")
+    # ranges by the short keys alone, as Spark samples them on the driver
+    parted = rows.repartitionByRange(*order[:3]) if local else rows.repartition("conv_id")
     schema = T.StructType([rows.schema["conv_id"], *SLICE.fields])
     work = partial(_render_batches, template=template, loss_roles=loss_roles, slice_turns=slice_turns if local else None)
     return parted.sortWithinPartitions(*order).mapInArrow(work, schema)
