@@ -172,4 +172,18 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text |
 from said group by conv_id
 """
 
-ORACLES: dict[str, str] = {"op5_chat": _CHAT_SQL, "op9_decontamination": _DECONTAMINATION_SQL}
+# Every page of the tables has an article, whose blocks are paragraphs and a heading.
+_PLAIN = "regexp_replace(x, '<[^>]*>', '', 'g')"
+for _name, _sign in (("&quot;?", '"'), ("&lt;?", "<"), ("&gt;?", ">"), ("&(#39|#x27);", "''"), ("&amp;?", "&")):
+    _PLAIN = f"regexp_replace({_PLAIN}, '{_name}', '{_sign}', 'g')"
+_EXTRACTION_SQL = f"""
+select page_id, url, text, length(text) as n_chars from (
+    select page_id, url, coalesce(array_to_string(list_filter(list_transform(
+        string_split_regex(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '</?(?:p|h1|br)>'),
+        lambda x: trim(regexp_replace({_PLAIN}, '\\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)), '') as text
+    from pages) t
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_chat": _CHAT_SQL, "op8_extraction": _EXTRACTION_SQL, "op9_decontamination": _DECONTAMINATION_SQL
+}
