@@ -340,14 +340,11 @@ def _oracles() -> dict[str, str]:
     )
 
     def faults(kind: str) -> str:
-        parts = []  # nothing of a cut-off body counts
-        for c in KEYS[kind]:
-            lacking = f"{q(c)} is null or trim({q(c)}, ' ') = ''"
-            parts.append(
-                f"select '{kind}' as record_type, '{c}' as field, count(*) as records"
-                f" from ({live_values(kind, 'casefold')}) l where broken or {lacking} having count(*) > 0"
-            )
-        return " union all ".join(parts)
+        keys = [f"case when not broken then {q(c)} end" for c in KEYS[kind]]  # nothing of a cut-off body counts
+        lacking = ", ".join(f"case when coalesce(trim({k}, ' '), '') = '' then '{c}' end" for c, k in zip(KEYS[kind], keys))
+        shown = ", ".join(f"{k} as key_{i}" for i, k in enumerate(keys))
+        return f"""select *, count(*) as records from (select '{kind}' as record_type, concat_ws(',', {lacking}) as faults,
+            {shown} from ({live_values(kind, 'casefold')}) l) f where faults <> '' group by all"""
 
     sql["quarantine_live"] = per_kind(faults)
     sql["message_key"] = per_kind(

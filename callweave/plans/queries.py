@@ -342,13 +342,15 @@ def clean_stream(kind: str, match: str) -> Query:
 
 
 def quarantine_live(spark: SparkSession, sf: str) -> DataFrame:
-    """Per fault the parsed messages the live profile drops."""
+    """The parsed messages the live profile drops: their keys and which of them are at fault."""
     parts = []
     for kind, spec in SPECS.items():
         parsed = cleaning.parse_messages(message_bodies(spark, sf, kind), spec)
         dropped = cleaning.lacking_required(cleaning.live_values(parsed, spec), spec)
-        parts.append(dropped.select(F.lit(kind).alias("record_type"), F.explode("faults").alias("field")))
-    return quality.row_totals(parts[0].unionByName(parts[1]).unionByName(parts[2]), "record_type", "field")
+        keys = [F.col(k).cast("string").alias(f"key_{i}") for i, k in enumerate(spec.keys)]
+        parts.append(dropped.select(F.lit(kind).alias("record_type"), F.array_join("faults", ",").alias("faults"), *keys))
+    found = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return quality.row_totals(found, *found.columns)
 
 
 def publish(kind: str) -> Query:
