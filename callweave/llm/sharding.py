@@ -5,8 +5,8 @@ order of their bytes, each to the least-loaded shard. The schedule depends on th
 groups alone, so it runs over classes (document size, copies) with their counts: for a class of
 many equal groups the heap's choices follow from the shards' loads in closed form.
 Classes are few: distinct sizes of texts summing to B bytes number at most about sqrt(2 B).
-Ranks of groups in a class and of copies in a group are counted in salted pieces, so neither a
-frequent size nor a group with a large share of all rows meets in one task.
+Ranks of groups in a class are counted in salted pieces and copies of a group per task of the
+table, so neither a frequent size nor a group with a large share of all rows meets in one task.
 
 Defined cases: null texts are empty and equal to empty ones; ids may be null or repeated; an
 empty table gives no rows; ties go to the lower shard.
@@ -104,7 +104,10 @@ def shard_documents(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", te
         ),
         "sharding-rows",
     )
-    groups = stored(rows.groupBy("key").agg(F.min("size").alias("size"), F.count(F.lit(1)).alias("copies")), "sharding-groups")
+    # copies are counted per task of the table first, so a group with many rows is never in one place
+    rows = rows.withColumn("part", F.shiftright("row", 33))
+    parts = stored(rows.groupBy("key", "part").agg(F.min("size").alias("size"), F.count(F.lit(1)).alias("n")), "sharding-parts")
+    groups = stored(parts.groupBy("key").agg(F.min("size").alias("size"), F.sum("n").alias("copies")), "sharding-groups")
     classes = groups.groupBy("size", "copies").agg(F.count(F.lit(1)).alias("groups"))
     plan = schedule(classes.toPandas(), shards)
     plan = docs.sparkSession.createDataFrame(
@@ -119,8 +122,9 @@ def shard_documents(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", te
         (F.element_at("base", F.col("shard") + 1) + (F.col("rank") - F.element_at("first", F.col("shard") + 1)) * F.col("copies")).alias("first_slot"),
     )
     placed = stored(placed, "sharding-placed")
-    single = rows.join(placed, "key")
-    numbered = _numbered(single, ["key"], F.col("copies"), "row", "copy", "sharding-copies")
-    return numbered.select(
-        "doc_id", "size", "text_crc32", "key", "shard", (F.col("first_slot") + F.col("copy")).alias("slot")
-    )
+    earlier = F.sum("n").over(W.partitionBy("key").orderBy("part").rowsBetween(W.unboundedPreceding, -1))
+    starts = parts.select("key", "part", F.coalesce(earlier, F.lit(0)).alias("before")).join(placed, "key")
+    starts = starts.select("key", "part", "shard", (F.col("first_slot") + F.col("before")).alias("start"))
+    copy = F.row_number().over(W.partitionBy("key", "part").orderBy("row")) - 1
+    numbered = rows.join(starts, ["key", "part"]).withColumn("slot", (F.col("start") + copy).cast("long"))
+    return numbered.select("doc_id", "size", "text_crc32", "key", "shard", "slot")
