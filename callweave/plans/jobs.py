@@ -86,7 +86,7 @@ def process_batch(
     sink: TableSink,
     types: list[str] | None = None,
     run_ts: datetime | str | None = None,
-    header: bool = True,
+    header: bool | None = None,
     multi_line: bool | None = None,
     **options,
 ) -> list[dict]:

@@ -629,7 +629,7 @@ def headerless_merged(spark: SparkSession, sf: str) -> DataFrame:
     source = work_path(spark, "headerless")
     rows = raw_records(spark, sf, "edr").select(*EDR.fields)
     rows.write.options(**table_sinks.PLAIN_CSV).csv(f"{source}/{EDR.merged_files[1]}")  # under the alternative name
-    return merged.read_merged(spark, source, EDR, header=False)
+    return merged.read_merged(spark, source, EDR)  # the first line names nothing
 
 
 def source_check(spark: SparkSession, sf: str) -> DataFrame:

@@ -25,12 +25,13 @@ def _odd_quotes(lines: DataFrame) -> DataFrame:
 
 
 def read_merged(
-    spark: SparkSession, source: str, spec: RecordSpec, header: bool = True, multi_line: bool | None = None
+    spark: SparkSession, source: str, spec: RecordSpec, header: bool | None = None, multi_line: bool | None = None
 ) -> DataFrame:
     """The merged CSV of a type as text columns, under the first of its names that exists.
 
     No type inference, hence no extra scan. Without header the columns take
-    the table's names by position. Files split unless some line holds an odd number of
+    the table's names by position; unless ``header`` says so, a first line without a single
+    known name is taken for data. Files split unless some line holds an odd number of
     quotes, so that a quoted value may run over a line end; ``multi_line`` says so beforehand
     and saves that look at the lines.
     """
@@ -39,13 +40,16 @@ def read_merged(
         path = f"{source.rstrip('/')}/{name}"
         try:
             breaks = not _odd_quotes(spark.read.text(path)).isEmpty() if multi_line is None else multi_line
-            rows = _flat(spark, header, breaks).csv(path)
+            rows = _flat(spark, header is not False, breaks).csv(path)
         except AnalysisException as gone:
             if gone.getCondition() != "PATH_NOT_FOUND":
                 raise
             missing = gone
             continue
-        return rows if header else name_positional(rows, spec)
+        known = {*spec.fields, *spec.name_lookup(legacy=True)}
+        if header or (header is None and known & set(rows.columns)):
+            return rows
+        return name_positional(rows if header is False else _flat(spark, False, breaks).csv(path), spec)
     raise missing
 
 

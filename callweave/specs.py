@@ -53,9 +53,7 @@ EDR_COLUMNS = (
 
 # ---------------------------------------------------------------------------
 # Accepted source names per column. `connection_time` of an
-# internet session counts as its duration; it stands first there because that
-# is its place in records that carry two duration names (only readers without
-# record order, such as XML, look at the order of this list).
+# internet session counts as its duration.
 # ---------------------------------------------------------------------------
 CDR_NAMES = {
     "caller_id": ("caller_id", "calling_party", "a_number", "originating_number"),
@@ -75,7 +73,7 @@ IPDR_NAMES = {
     "ip_dst": ("ip_dst", "destination_ip", "remote_ip", "server_ip"),
     "port": ("port", "dest_port", "server_port", "remote_port"),
     "protocol": ("protocol", "service_protocol", "conn_protocol", "transport_protocol"),
-    "duration": ("connection_time", "duration", "session_duration", "time_spent"),
+    "duration": ("duration", "session_duration", "time_spent", "connection_time"),
     "bytes_sent": ("bytes_sent", "upload_bytes", "upstream_data", "tx_bytes"),
     "bytes_received": ("bytes_received", "download_bytes", "downstream_data", "rx_bytes"),
     "vpn_usage": ("vpn_usage", "vpn_detected", "is_vpn", "encrypted_tunnel"),
