@@ -11,7 +11,7 @@ from callweave.session import work_path
 BROADCAST_ROWS = 200_000
 
 
-def stored(df: DataFrame, label: str, *by: str) -> DataFrame:
+def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends here, and a
     lost executor costs no recomputation of what came before."""
     path = work_path(df.sparkSession, label)
