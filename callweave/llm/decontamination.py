@@ -312,7 +312,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **o
     """``docs`` without the covered words; rows of which no word is left go, wordless rows stay.
 
     A column ``n_chars`` follows the new text."""
-    found = contaminated_spans(docs, benchmark, text, **options).drop("items")
+    others = [c for c in docs.columns if c != text]  # the text travels once
+    found = contaminated_spans(docs, benchmark, text, payload=others, **options).drop("items")
     cut = found.mapInArrow(_cut_batches, found.schema)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["past"] - s["first"])
     cut = cut.where((hit == 0) | (hit < F.col("n_words")))
