@@ -2,7 +2,7 @@
 
 A page's markup is cut into blocks of text, each with its zone: inside an article or main
 container, inside a container that names itself as menu, footer, advert, form, comments and the
-like, or neither. The blocks' tokens of a host's pages are concatenated and their suffixes sorted
+like, or neither. An article inside a container named by class or id alone counts where the page has no other. The blocks' tokens of a host's pages are concatenated and their suffixes sorted
 to the depth of the shortest repeat that counts; a run of tokens found on enough distinct pages
 is covered. Named boilerplate goes. On a page with an article its blocks are the text;
 on any other, covered blocks go and the unique runs stay.
@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from callweave.llm.common import small, stored
 
 MAIN, OTHER, NAMED = 2, 1, 0
+_CLASSED, _INNER = -1, -2  # while a page is read: named by class or id alone, and an article in there
 
 _PARTS = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -54,14 +55,22 @@ _NAMES = re.compile(
     re.I,
 )
 _MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|story|post|entry|main)(?:[\s_-](?:body|content|text))?(?:$|\s)", re.I)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: Class names of layouts, which hold the text beside what they name.
+_LAYOUT = re.compile(r"(?:has|with|without|no)[_-].+|content[_-]side(?:bar)?(?:[_-].*)?", re.I)
+#: Whole name and value of each attribute in turn, so that no name is found within a value.
+_ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"\s+")
 
 
-def _zone(tag: str, rest: str, around: int) -> int:
+def _named(value: str) -> bool:
+    return _NAMES.search(value) is not None and any(_NAMES.search(v) and not _LAYOUT.fullmatch(v) for v in value.split())
+
+
+def _zone(tag: str, rest: str, around: int, inside: bool) -> int:
+    """Zone of a container in a zone ``around``; ``inside``: some container around is an article."""
     if around == NAMED or tag in _NAMED_TAGS:
         return NAMED
-    main = tag in ("article", "main")
+    main, classed = tag in ("article", "main"), False
     if rest:
         for m in _ATTRIBUTE.finditer(rest):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -69,12 +78,17 @@ def _zone(tag: str, rest: str, around: int) -> int:
                 return NAMED
             if name == "role" and value.lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog"):
                 return NAMED
-            if name in ("class", "id") and _NAMES.search(value) and not (tag == "body"):
-                return NAMED
-            main = main or (name == "role" and value.lower() == "main") or (name in ("class", "id") and bool(_MAIN_NAMES.search(value)))
-    if tag == "header" and around != MAIN:
+            classed = classed or (name in ("class", "id") and tag != "body" and _named(value))
+            main = main or (name == "role" and value.lower() == "main") or (
+                name in ("class", "id") and around != _CLASSED and bool(_MAIN_NAMES.search(value))
+            )
+    if classed:
+        return NAMED if inside else _CLASSED
+    if tag == "header" and around not in (MAIN, _INNER):
         return NAMED
-    return MAIN if main else around
+    if around == _CLASSED:
+        return _INNER if main else _CLASSED
+    return MAIN if main and around != _INNER else around
 
 
 def page_blocks(html: str | None) -> list[tuple[int, str]]:
@@ -108,11 +122,14 @@ def page_blocks(html: str | None) -> list[tuple[int, str]]:
                         stack.pop()
                     stack.pop()
             elif tag in _CONTAINERS and not m["rest"].endswith("/"):
-                stack.append((tag, _zone(tag, m["rest"], stack[-1][1])))
+                inside = any(z in (MAIN, _INNER) for _, z in stack)
+                stack.append((tag, _zone(tag, m["rest"], stack[-1][1], inside)))
         elif m["raw"]:
             pass
     end()
-    return blocks
+    # an article in a container that only a class or id names is the text of a page without any other
+    inner = NAMED if any(z == MAIN for z, _ in blocks) else MAIN
+    return [(inner if z == _INNER else max(z, NAMED), t) for z, t in blocks]
 
 
 # --------------------------------------------------------------------------

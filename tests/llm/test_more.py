@@ -232,6 +232,22 @@ def test_blocks_of_a_page(html, want):
     assert extraction.main_texts([html], 6, 3, 0.02) == [want]
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("<div style='overflow:hidden' data-hidden=1><article>a</article></div>", "a"),
+        ("<div title='id=ad class=nav'><p>a</p></div><div hidden><p>b</p></div>", "a"),
+        ("<div class='content-sidebar-wrap'><p>a</p><div class=sidebar>s</div></div>", "a"),
+        ("<div class='wide has-sidebar'><main><p>a</p></main><div id=sidebar>s</div></div>", "a"),
+        ("<div class=widget><p>w</p><article><h1>T</h1><div class=share>s</div>a</article></div>", "T\na"),
+        ("<article>a<div class=comments><article>c</article></div></article><div class=related><article>r</article></div>", "a"),
+        ("<div class=comments><article class=comment>c</article></div><nav><article>n</article></nav>", ""),
+    ],
+)
+def test_names_are_read_from_whole_attributes(html, want):
+    assert extraction.main_texts([html], 6, 3, 0.02) == [want]
+
+
 def test_article_texts(spark, sf_dir):
     import html
     import re
