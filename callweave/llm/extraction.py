@@ -7,11 +7,13 @@ to the depth of the shortest repeat that counts; a run of tokens found on enough
 is covered. Named boilerplate goes. On a page with an article its blocks are the text;
 on any other, covered blocks go and the unique runs stay.
 
-The pages of a large host are dealt over groups of about ``group_pages``: what repeats over a host
-repeats in each of them, so no host meets in one task.
+The pages of a large host are dealt over groups of about ``group_pages``, so no host meets in one task, and runs
+are counted over all of them under one threshold: a run on enough of a host's pages is on as large a share in
+some group, so the groups' suffix arrays give the candidates, which all groups then count. Runs are known by 64-bit
+hashes there.
 
 Defined cases: null html is empty and gives an empty text; a null or odd url belongs to the host
-''; pages repeated in a group count as one page for repeats and each get their text; cut-off markup
+''; pages of a host with equal text count as one page for repeats and each get their text; cut-off markup
 at the end is dropped; an empty table gives no rows; other columns are not read.
 """
 
@@ -24,9 +26,10 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_64_intdigest
 
 from callweave.llm.common import small, stored
 
@@ -160,21 +163,12 @@ def suffix_order(stream: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
             return order, rank, reached
 
 
-def covered_tokens(pages: list[list[np.ndarray]], least: int, min_pages: int) -> list[list[np.ndarray]]:
-    """Per page and block, which tokens lie in a run of ``least`` or more that ``min_pages`` distinct
-    pages have. Runs don't cross blocks."""
-    parts, owner, room = [], [], []
-    for p, blocks in enumerate(pages):
-        for ids in blocks:
-            parts += [ids, np.zeros(1, np.int64)]
-            owner.append(np.full(len(ids) + 1, p))
-            room.append(np.arange(len(ids), -1, -1))
-    if not parts:
-        return [[] for _ in pages]
-    stream, owner, room = np.concatenate(parts), np.concatenate(owner), np.concatenate(room)
+def repeats(ids: np.ndarray, owner: np.ndarray, least: int) -> np.ndarray:
+    """For each place of a stream of token numbers, in which 0 ends a block, on how many distinct pages
+    (``owner`` of each place) the ``least`` tokens from there are; 0 where the block ends before."""
     # each block's end is a symbol of its own, so no run reaches past it
-    ends = stream == 0
-    coded = np.where(ends, np.cumsum(ends) - 1, stream - 1 + ends.sum())
+    ends = ids == 0
+    coded = np.where(ends, np.cumsum(ends) - 1, ids - 1 + ends.sum())
     order, rank, depth = suffix_order(coded, least)
     if depth > least:  # rank by exactly ``least`` tokens: merge neighbours that differ only past it
         same = np.ones(len(order) - 1, bool)
@@ -185,58 +179,110 @@ def covered_tokens(pages: list[list[np.ndarray]], least: int, min_pages: int) ->
         group = np.concatenate(([0], np.cumsum(~same)))
     else:
         group = rank[order]
-    whose = owner[order]
-    pair = np.unique(group.astype(np.int64) * len(pages) + whose)
-    spread = np.bincount(pair // len(pages), minlength=int(group[-1]) + 1)
-    hit = np.zeros(len(stream), bool)
-    hit[order] = spread[group] >= min_pages
-    hit &= room >= least
-    step = np.zeros(len(stream) + least + 1, np.int64)
+    many = int(owner.max()) + 1
+    pair = np.unique(group.astype(np.int64) * many + owner[order])
+    spread = np.bincount(pair // many, minlength=int(group[-1]) + 1)
+    found = np.zeros(len(ids), np.int64)
+    found[order] = spread[group]
+    found[room(ids) < least] = 0
+    return found
+
+
+def room(ids: np.ndarray) -> np.ndarray:
+    """Tokens from each place to the end of its block."""
+    ends = np.nonzero(ids == 0)[0]
+    return np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(len(ids))
+
+
+def covered(hit: np.ndarray, least: int) -> np.ndarray:
+    """The places that lie in the ``least`` from one in ``hit``."""
+    step = np.zeros(len(hit) + least + 1, np.int64)
     at = np.nonzero(hit)[0]
     step[at] += 1
     np.add.at(step, at + least, -1)
-    covered = np.cumsum(step)[: len(stream)] > 0
+    return np.cumsum(step)[: len(hit)] > 0
+
+
+def covered_tokens(pages: list[list[np.ndarray]], least: int, min_pages: int) -> list[list[np.ndarray]]:
+    """Per page and block, which tokens lie in a run of ``least`` or more that ``min_pages`` distinct
+    pages have. Runs don't cross blocks."""
+    parts = [np.append(ids, 0) for blocks in pages for ids in blocks]
+    if not parts:
+        return [[] for _ in pages]
+    owner = np.repeat(np.arange(len(pages)), [sum(len(ids) + 1 for ids in blocks) for blocks in pages])
+    flat = covered(repeats(np.concatenate(parts), owner, least) >= min_pages, least)
+    cut = iter(np.split(flat, np.cumsum([len(x) for x in parts])[:-1]))
+    return [[next(cut)[:-1] for _ in blocks] for blocks in pages]
+
+
+class Streams:
+    """The distinct pages of a group as one stream of token numbers."""
+
+    def __init__(self, pages: list[list[tuple[int, str]]], least: int):
+        number: dict[str | None, int] = {None: 0}
+        self.least, first, self.distinct, rows = least, {}, [], []
+        for blocks in pages:  # pages of equal text are one
+            texts = tuple(t for _, t in blocks)
+            self.distinct.append(first.setdefault(texts, len(first)))
+            if len(rows) < len(first):
+                words: list[str | None] = []
+                for text in texts:
+                    words += text.split(" ")
+                    words.append(None)
+                rows.append(np.array([number.setdefault(w, len(number)) for w in words], np.int64))
+        self.count = len(rows)
+        self.at = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int64)
+        self.ids = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        self.owner = np.repeat(np.arange(len(rows)), np.diff(self.at))
+        self.words = list(number)
+
+    def repeats(self) -> np.ndarray:
+        return repeats(self.ids, self.owner, self.least) if len(self.ids) else self.ids
+
+    def keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """``(places, key)``: where a whole run begins, and a 64-bit hash of its tokens that is the same in every group."""
+        hashes = np.array([0] + [xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in self.words[1:]], np.uint64)
+        each = hashes[self.ids]
+        key, factor = np.zeros(len(each), np.uint64), 1
+        for k in range(min(self.least, len(each))):
+            factor = factor * 0x9E3779B97F4A7C15 % (1 << 64)
+            key[: len(each) - k] += each[k:] * np.uint64(factor)
+        places = np.nonzero(room(self.ids) >= self.least)[0]
+        return places, key.view(np.int64)[places]
+
+    def texts(self, pages: list[list[tuple[int, str]]], hit: np.ndarray) -> list[str]:
+        """The text of each page; ``hit``: the places of the runs that repeat."""
+        flat = covered(hit, self.least)
+        return [page_text(blocks, flat[self.at[d] : self.at[d + 1]]) for blocks, d in zip(pages, self.distinct)]
+
+
+def page_text(blocks: list[tuple[int, str]], flat: np.ndarray) -> str:
+    """The text of a page; ``flat``: which tokens are covered, those of each block with one more for its end."""
+    if any(z == MAIN for z, _ in blocks):
+        return "\n".join(t for z, t in blocks if z == MAIN)
     out, at = [], 0
-    for blocks in pages:
-        row = []
-        for ids in blocks:
-            row.append(covered[at : at + len(ids)])
-            at += len(ids) + 1
-        out.append(row)
-    return out
+    for zone, text in blocks:
+        n = text.count(" ") + 1
+        if zone == OTHER and 2 * flat[at : at + n].sum() < n:
+            out.append(text)
+        at += n + 1
+    return "\n".join(out)
+
+
+def needed(count: int, min_pages: int, share: float) -> int:
+    """On how many of a host's ``count`` distinct pages a run repeats."""
+    return max(min_pages, int(share * count))
 
 
 def main_texts(htmls: list[str | None], least: int, min_pages: int, share: float) -> list[str]:
-    """The text of each page of a group."""
-    number: dict[str, int] = {}
+    """The text of each page of a host."""
     pages = [page_blocks(h) for h in htmls]
-    known: dict[int, int] = {}
-    distinct: list[int] = []  # pages of equal text count once
-    for k, blocks in enumerate(pages):
-        distinct.append(known.setdefault(hash(tuple(t for _, t in blocks)), len(known)))
-    first = {}
-    for k, d in enumerate(distinct):
-        first.setdefault(d, k)
-    streams = []
-    for k in first.values():
-        row = []
-        for _, text in pages[k]:
-            words = text.split(" ")
-            row.append(np.fromiter((number.setdefault(w, len(number) + 1) for w in words), np.int64, len(words)))
-        streams.append(row)
-    covered = covered_tokens(streams, least, max(min_pages, int(share * len(streams))))
-    out = []
-    for blocks, d in zip(pages, distinct):
-        if any(z == MAIN for z, _ in blocks):
-            out.append("\n".join(t for z, t in blocks if z == MAIN))
-        else:
-            rest = [(t, c) for (z, t), c in zip(blocks, covered[d]) if z == OTHER]
-            out.append("\n".join(t for t, c in rest if 2 * c.sum() < len(c)))
-    return out
+    streams = Streams(pages, least)
+    return streams.texts(pages, streams.repeats() >= needed(streams.count, min_pages, share))
 
 
 def _extract_batches(batches: Iterator[pa.RecordBatch], least: int, min_pages: int, share: float) -> Iterator[pa.RecordBatch]:
-    """Rows (host, salt, page_id, url, html) sorted by host and salt, one group in memory at a time."""
+    """Rows (host, page_id, url, html) sorted by host, one host in memory at a time."""
     names = ["page_id", "url", "text"]
 
     def close(held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -247,7 +293,7 @@ def _extract_batches(batches: Iterator[pa.RecordBatch], least: int, min_pages: i
 
     held, group = [], None
     for batch in batches:
-        keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        keys = batch.column(0).to_pylist()
         at = 0
         while at < len(keys):
             to = at
@@ -263,6 +309,80 @@ def _extract_batches(batches: Iterator[pa.RecordBatch], least: int, min_pages: i
         yield close(held)
 
 
+# --------------------------------------------------------------------------
+# Hosts of many groups
+# --------------------------------------------------------------------------
+_BLOCKS = pa.list_(pa.struct([("zone", pa.int8()), ("text", pa.string())]))
+
+
+def _deal_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (host, groups, owners, place, page_id, url, html) to (host, salt, counted, page_id, url, blocks). Of
+    the copies of a text in a partition the first goes to the group that counts this text, all others to any."""
+    seen = set()
+    for batch in batches:
+        hosts, groups, owners, places, htmls = (batch.column(k).to_pylist() for k in (0, 1, 2, 3, 6))
+        salts, counted, pages = [], [], []
+        for host, many, own, place, html in zip(hosts, groups, owners, places, htmls):
+            blocks = page_blocks(html)
+            same = xxh3_64_intdigest("\n".join(t for _, t in blocks).encode("utf-8", "surrogatepass"))
+            fresh = (host, same) not in seen
+            seen.add((host, same))
+            salts.append(same % own if fresh else place % many)
+            counted.append(fresh)
+            pages.append([{"zone": z, "text": t} for z, t in blocks])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(salts, pa.int32()), pa.array(counted), batch.column(4), batch.column(5), pa.array(pages, _BLOCKS)],
+            names=["host", "salt", "counted", "page_id", "url", "blocks"],
+        )
+
+
+def _pages_of(rows: pa.Table, counted: bool = False) -> list[list[tuple[int, str]]]:
+    if counted:
+        rows = rows.filter(rows.column("counted"))
+    return [[(b["zone"], b["text"]) for b in blocks] for blocks in rows.column("blocks").to_pylist()]
+
+
+def _candidates(key: tuple, rows: pa.Table, least: int, share: float) -> pa.Table:
+    """The runs that could repeat over the host: were each run of a group on no more than share * pages - 1 of the
+    group's pages, the host's total would stay below share * pages - 1, which ``needed`` never does."""
+    streams = Streams(_pages_of(rows, True), least)
+    places, keys = streams.keys()
+    high = streams.repeats()[places] > share * streams.count - 1 - 1e-6
+    runs = np.unique(keys[high])
+    return pa.table({"host": pa.array([key[0].as_py()] * len(runs), pa.string()), "run": pa.array(runs, pa.int64())})
+
+
+def _looked_up(keys: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which ``keys`` are among the sorted ``runs``, and where."""
+    at = np.minimum(np.searchsorted(runs, keys), max(len(runs) - 1, 0))
+    return (runs[at] == keys if len(runs) else np.zeros(len(keys), bool)), at
+
+
+def _count_candidates(key: tuple, rows: pa.Table, wanted: pa.Table, least: int) -> pa.Table:
+    """On how many distinct pages of the group each wanted run is, and with a null run how many pages there are."""
+    runs = np.sort(wanted.column("run").to_numpy())
+    streams = Streams(_pages_of(rows, True), least)
+    places, keys = streams.keys()
+    hit, at = _looked_up(keys, runs)
+    many = max(streams.count, 1)
+    pair = np.unique(at[hit] * many + streams.owner[places[hit]])
+    n = np.bincount(pair // many, minlength=len(runs))
+    return pa.table({
+        "host": pa.array([key[0].as_py()] * (len(runs) + 1), pa.string()),
+        "run": pa.concat_arrays([pa.array(runs, pa.int64()), pa.nulls(1, pa.int64())]),
+        "n": pa.array([*n.tolist(), streams.count], pa.int64()),
+    })
+
+
+def _cut_pages(key: tuple, rows: pa.Table, repeated: pa.Table, least: int) -> pa.Table:
+    pages = _pages_of(rows)
+    streams = Streams(pages, least)
+    places, keys = streams.keys()
+    hit = np.zeros(len(streams.ids), bool)
+    hit[places] = _looked_up(keys, np.sort(repeated.column("run").to_numpy()))[0]
+    return rows.select(["page_id", "url"]).append_column("text", pa.array(streams.texts(pages, hit), pa.string()))
+
+
 def extract_pages(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = 6,
     min_pages: int = 3, share: float = 0.02, group_pages: int = 256,
@@ -272,10 +392,49 @@ def extract_pages(
     rows = pages.select(
         host.alias("host"), F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).cast("string").alias("html")
     )
-    counts = rows.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / group_pages).cast("int").alias("groups"))
-    large = small(stored(counts.where("groups > 1"), "extraction-hosts"))
-    salt = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1))).cast("int")
-    dealt = rows.join(large, "host", "left").select("host", salt.alias("salt"), "page_id", "url", "html")
-    dealt = dealt.repartition("host", "salt").sortWithinPartitions("host", "salt")
     schema = T.StructType([rows.schema["page_id"], rows.schema["url"], T.StructField("text", T.StringType())])
-    return dealt.mapInArrow(partial(_extract_batches, least=least, min_pages=min_pages, share=share), schema)
+    # copies go over all groups, texts are counted in the first of them
+    counts = rows.groupBy("host").agg(
+        F.ceil(F.count(F.lit(1)) / group_pages).cast("int").alias("groups"),
+        F.ceil(F.approx_count_distinct(F.xxhash64("html")) / group_pages).cast("int").alias("owners"),
+    )
+    large = stored(counts.where("groups > 1").withColumn("owners", F.least("groups", F.greatest("owners", F.lit(1)))), "extraction-hosts")
+    many = large.count()
+    few = rows.join(small(large.select("host")), "host", "left_anti") if many else rows
+    few = few.select("host", "page_id", "url", "html").repartition("host").sortWithinPartitions("host")
+    few = few.mapInArrow(partial(_extract_batches, least=least, min_pages=min_pages, share=share), schema)
+    if not many:
+        return few
+
+    place = F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30)).cast("int")
+    dealt = rows.join(small(large), "host").select("host", "groups", "owners", place.alias("place"), "page_id", "url", "html")
+    kept = [rows.schema["page_id"], rows.schema["url"]]
+    block = T.ArrayType(T.StructType([T.StructField("zone", T.ByteType()), T.StructField("text", T.StringType())]))
+    dealt = dealt.mapInArrow(_deal_batches, T.StructType([
+        T.StructField("host", T.StringType()), T.StructField("salt", T.IntegerType()), T.StructField("counted", T.BooleanType()), *kept,
+        T.StructField("blocks", block),
+    ]))
+    # three steps over the same groups: in one query Spark shuffles them once
+    grouped = dealt.groupBy("host", "salt")
+
+    def over(runs: DataFrame, groups: str):
+        """``runs`` for each of the host's groups."""
+        each = runs.join(small(large), "host").select("host", "run", F.explode(F.sequence(F.lit(0), F.col(groups) - 1)).alias("salt"))
+        return each.groupBy("host", "salt")
+
+    def candidates(key, rows):
+        return _candidates(key, rows, least, share)
+
+    def count(key, rows, wanted):
+        return _count_candidates(key, rows, wanted, least)
+
+    def cut(key, rows, repeated):
+        return _cut_pages(key, rows, repeated, least)
+
+    wanted = grouped.applyInArrow(candidates, "host string, run long").distinct()
+    counted = grouped.cogroup(over(wanted, "owners")).applyInArrow(count, "host string, run long, n long")
+    totals = counted.groupBy("host", "run").agg(F.sum("n").alias("n"))
+    totals = totals.withColumn("pages", F.max(F.when(F.col("run").isNull(), F.col("n"))).over(Window.partitionBy("host")))
+    enough = F.greatest(F.lit(min_pages), F.floor(F.lit(share) * F.col("pages")))
+    repeated = totals.where(F.col("run").isNotNull() & (F.col("n") >= enough)).select("host", "run")
+    return few.unionByName(grouped.cogroup(over(repeated, "groups")).applyInArrow(cut, schema))

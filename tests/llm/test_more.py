@@ -248,6 +248,23 @@ def test_names_are_read_from_whole_attributes(html, want):
     assert extraction.main_texts([html], 6, 3, 0.02) == [want]
 
 
+@pytest.mark.parametrize("group_pages", [8, 1000])
+def test_repeats_count_over_the_whole_host(spark, group_pages):
+    often = "<p>these words are on four of the pages</p>"
+    once = "<p>these others are on three pages of all</p>"
+    pages = [(i, "http://h.example/", f"<script>{i}</script><p>p{i} q{i} r{i} s{i} t{i} u{i} v{i}</p>") for i in range(200)]
+    pages = [(i, u, h + often * (i in (5, 70, 120, 199)) + once * (i in (6, 71, 121))) for i, u, h in pages]
+    pages += [(1000 + i, f"http://h.example/{i}", f"<script>{i}</script>" + pages[6][2]) for i in range(150)]
+    pages += [(2000 + i, "http://small.example/", h) for i, _, h in pages[5:7]]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in extraction.extract_pages(df, group_pages=group_pages).collect()}
+    want = {}
+    for i, u, h in pages:
+        texts = [t for _, t in extraction.page_blocks(h)]
+        want[i] = "\n".join(t for t in texts if "small" in u or "four" not in t)
+    assert got == want
+
+
 def test_article_texts(spark, sf_dir):
     import html
     import re
