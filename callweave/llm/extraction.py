@@ -5,7 +5,8 @@ container, inside a container that names itself as menu, footer, advert, form, c
 like, or neither. An article inside a container named by class or id alone counts where the page has no other. The blocks' tokens of a host's pages are concatenated and their suffixes sorted
 to the depth of the shortest repeat that counts; a run of tokens found on enough distinct pages
 is covered. Named boilerplate goes. On a page with an article its blocks are the text;
-on any other, covered blocks go and the unique runs stay.
+on any other, covered tokens are cut out of the blocks and the unique runs stay. A block shorter than a run counts as
+a run of its own.
 
 The pages of a large host are dealt over groups of about ``group_pages``, so no host meets in one task, and runs
 are counted over all of them under one threshold: a run on enough of a host's pages is on as large a share in
@@ -216,7 +217,8 @@ def covered_tokens(pages: list[list[np.ndarray]], least: int, min_pages: int) ->
 
 
 class Streams:
-    """The distinct pages of a group as one stream of token numbers."""
+    """The distinct pages of a group as one stream of token numbers. A block shorter than a run is filled up
+    to one with the empty token, which no text has, so it repeats as a whole."""
 
     def __init__(self, pages: list[list[tuple[int, str]]], least: int):
         number: dict[str | None, int] = {None: 0}
@@ -227,8 +229,8 @@ class Streams:
             if len(rows) < len(first):
                 words: list[str | None] = []
                 for text in texts:
-                    words += text.split(" ")
-                    words.append(None)
+                    said = text.split(" ")
+                    words += [*said, *[""] * (least - len(said)), None]
                 rows.append(np.array([number.setdefault(w, len(number)) for w in words], np.int64))
         self.count = len(rows)
         self.at = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int64)
@@ -253,20 +255,20 @@ class Streams:
     def texts(self, pages: list[list[tuple[int, str]]], hit: np.ndarray) -> list[str]:
         """The text of each page; ``hit``: the places of the runs that repeat."""
         flat = covered(hit, self.least)
-        return [page_text(blocks, flat[self.at[d] : self.at[d + 1]]) for blocks, d in zip(pages, self.distinct)]
+        return [page_text(blocks, flat[self.at[d] : self.at[d + 1]], self.least) for blocks, d in zip(pages, self.distinct)]
 
 
-def page_text(blocks: list[tuple[int, str]], flat: np.ndarray) -> str:
-    """The text of a page; ``flat``: which tokens are covered, those of each block with one more for its end."""
+def page_text(blocks: list[tuple[int, str]], flat: np.ndarray, least: int) -> str:
+    """The text of a page; ``flat``: which tokens are covered, ``least`` or more of each block and one for its end."""
     if any(z == MAIN for z, _ in blocks):
         return "\n".join(t for z, t in blocks if z == MAIN)
     out, at = [], 0
     for zone, text in blocks:
-        n = text.count(" ") + 1
-        if zone == OTHER and 2 * flat[at : at + n].sum() < n:
-            out.append(text)
-        at += n + 1
-    return "\n".join(out)
+        words = text.split(" ")
+        if zone == OTHER:
+            out.append(" ".join(w for w, c in zip(words, flat[at : at + len(words)].tolist()) if not c))
+        at += max(len(words), least) + 1
+    return "\n".join(t for t in out if t)
 
 
 def needed(count: int, min_pages: int, share: float) -> int:

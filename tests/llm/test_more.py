@@ -265,6 +265,15 @@ def test_repeats_count_over_the_whole_host(spark, group_pages):
     assert got == want
 
 
+@pytest.mark.parametrize("group_pages", [8, 1000])
+def test_repeats_are_cut_out_of_blocks(spark, group_pages):
+    page = "<div><ul><li>Home<li>About us</ul></div><p>Read all the news of today: only{0} here{0} and{0} now{0}</p><p>new{0} and a word from our friends of old</p>"
+    pages = [(i, "http://h.example/", page.format(i) + "<p>Two pages say</p>" * (i in (3, 30))) for i in range(40)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in extraction.extract_pages(df, group_pages=group_pages).collect()}
+    assert got == {i: f"only{i} here{i} and{i} now{i}\nnew{i}" + "\nTwo pages say" * (i in (3, 30)) for i in range(40)}
+
+
 def test_article_texts(spark, sf_dir):
     import html
     import re
