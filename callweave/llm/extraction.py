@@ -4,8 +4,9 @@ A page's markup is cut into blocks of text, each with its zone: inside an articl
 container, inside a container that names itself as menu, footer, advert, form, comments and the
 like, or neither. An article inside a container named by class or id alone counts where the page has no other. The blocks' tokens of a host's pages are concatenated and their suffixes sorted
 to the depth of the shortest repeat that counts; a run of tokens found on enough distinct pages
-is covered. Named boilerplate goes. On a page with an article its blocks are the text;
-on any other, covered tokens are cut out of the blocks and the unique runs stay. A block shorter than a run counts as
+is covered. Named boilerplate goes. On a page with an article its blocks are the text, but for those
+that are covered as a whole by runs on more than half of the host's pages and on ``article_pages`` of them: prose that
+some pages share stays, and a handful of pages cannot tell it from a notice. On any other, covered tokens are cut out of the blocks and the unique runs stay. A block shorter than a run counts as
 a run of its own.
 
 The pages of a large host are dealt over groups of about ``group_pages``, so no host meets in one task, and runs
@@ -21,7 +22,9 @@ at the end is dropped; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import html as entities
+import itertools
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import partial
 
@@ -220,18 +223,20 @@ class Streams:
     """The distinct pages of a group as one stream of token numbers. A block shorter than a run is filled up
     to one with the empty token, which no text has, so it repeats as a whole."""
 
-    def __init__(self, pages: list[list[tuple[int, str]]], least: int):
-        number: dict[str | None, int] = {None: 0}
+    def __init__(self, pages: list[tuple[str, str]], least: int):
+        number: dict[str | None, int] = defaultdict(itertools.count(1).__next__, {None: 0})
         self.least, first, self.distinct, rows = least, {}, [], []
-        for blocks in pages:  # pages of equal text are one
-            texts = tuple(t for _, t in blocks)
-            self.distinct.append(first.setdefault(texts, len(first)))
+        for _, text in pages:  # pages of equal text are one
+            self.distinct.append(first.setdefault(text, len(first)))
             if len(rows) < len(first):
                 words: list[str | None] = []
-                for text in texts:
-                    said = text.split(" ")
-                    words += [*said, *[""] * (least - len(said)), None]
-                rows.append(np.array([number.setdefault(w, len(number)) for w in words], np.int64))
+                for line in text.split("\n") if text else ():
+                    said = line.split(" ")
+                    words += said
+                    if len(said) < least:
+                        words += [""] * (least - len(said))
+                    words.append(None)
+                rows.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
         self.count = len(rows)
         self.at = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int64)
         self.ids = np.concatenate(rows) if rows else np.zeros(0, np.int64)
@@ -252,44 +257,62 @@ class Streams:
         places = np.nonzero(room(self.ids) >= self.least)[0]
         return places, key.view(np.int64)[places]
 
-    def texts(self, pages: list[list[tuple[int, str]]], hit: np.ndarray) -> list[str]:
-        """The text of each page; ``hit``: the places of the runs that repeat."""
-        flat = covered(hit, self.least)
-        return [page_text(blocks, flat[self.at[d] : self.at[d + 1]], self.least) for blocks, d in zip(pages, self.distinct)]
-
-
-def page_text(blocks: list[tuple[int, str]], flat: np.ndarray, least: int) -> str:
-    """The text of a page; ``flat``: which tokens are covered, ``least`` or more of each block and one for its end."""
-    if any(z == MAIN for z, _ in blocks):
-        return "\n".join(t for z, t in blocks if z == MAIN)
+    def texts(self, pages: list[tuple[str, str]], hit: np.ndarray, most: np.ndarray) -> list[str]:
+        """The text of each page; ``hit``: the places of the runs that repeat, ``most``: of those on most pages."""
+        flat, all_over = covered(hit, self.least), covered(most, self.least)
+        at = [slice(a, b) for a, b in zip(self.at, self.at[1:])]
+        return [page_text(*page, flat[at[d]], all_over[at[d]], self.least) for page, d in zip(pages, self.distinct)]
+
+
+def page_text(zones: str, text: str, flat: np.ndarray, all_over: np.ndarray, least: int) -> str:
+    """The text of a page; ``flat``: which tokens are covered, ``all_over``: by runs on most pages of the host,
+    ``least`` or more of each block and one for its end."""
+    wanted = str(MAIN) if str(MAIN) in zones else str(OTHER)
+    blocks = list(zip(zones, text.split("\n")))
+    gone = all_over if wanted == str(MAIN) else flat
+    if not gone.any():
+        return "\n".join(t for z, t in blocks if z == wanted)
     out, at = [], 0
-    for zone, text in blocks:
-        words = text.split(" ")
-        if zone == OTHER:
-            out.append(" ".join(w for w, c in zip(words, flat[at : at + len(words)].tolist()) if not c))
+    for zone, block in blocks:
+        words = block.split(" ")
+        cut = gone[at : at + len(words)]
+        if zone == str(MAIN) and not cut.all():
+            out.append(block)
+        elif zone == wanted == str(OTHER):
+            out.append(" ".join(w for w, c in zip(words, cut.tolist()) if not c))
         at += max(len(words), least) + 1
     return "\n".join(t for t in out if t)
 
 
+def _lines(html: str | None) -> tuple[str, str]:
+    """``(zones, text)``: a digit and a line for each block."""
+    blocks = page_blocks(html)
+    return "".join(str(z) for z, _ in blocks), "\n".join(t for _, t in blocks)
+
+
 def needed(count: int, min_pages: int, share: float) -> int:
     """On how many of a host's ``count`` distinct pages a run repeats."""
     return max(min_pages, int(share * count))
 
 
-def main_texts(htmls: list[str | None], least: int, min_pages: int, share: float) -> list[str]:
+def main_texts(htmls: list[str | None], least: int, min_pages: int, share: float, article_pages: int = 10) -> list[str]:
     """The text of each page of a host."""
-    pages = [page_blocks(h) for h in htmls]
+    pages = [_lines(h) for h in htmls]
     streams = Streams(pages, least)
-    return streams.texts(pages, streams.repeats() >= needed(streams.count, min_pages, share))
+    found = streams.repeats()
+    hit = found >= needed(streams.count, min_pages, share)
+    return streams.texts(pages, hit, hit & (2 * found > streams.count) & (found >= article_pages))
 
 
-def _extract_batches(batches: Iterator[pa.RecordBatch], least: int, min_pages: int, share: float) -> Iterator[pa.RecordBatch]:
+def _extract_batches(
+    batches: Iterator[pa.RecordBatch], least: int, min_pages: int, share: float, article_pages: int
+) -> Iterator[pa.RecordBatch]:
     """Rows (host, page_id, url, html) sorted by host, one host in memory at a time."""
     names = ["page_id", "url", "text"]
 
     def close(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         whole = pa.Table.from_batches(held).combine_chunks()
-        texts = main_texts(whole.column("html").to_pylist(), least, min_pages, share)
+        texts = main_texts(whole.column("html").to_pylist(), least, min_pages, share, article_pages)
         ids, urls = (whole.column(c).combine_chunks() for c in names[:2])
         return pa.RecordBatch.from_arrays([ids, urls, pa.array(texts, pa.string())], names=names)
 
@@ -314,34 +337,34 @@ def _extract_batches(batches: Iterator[pa.RecordBatch], least: int, min_pages: i
 # --------------------------------------------------------------------------
 # Hosts of many groups
 # --------------------------------------------------------------------------
-_BLOCKS = pa.list_(pa.struct([("zone", pa.int8()), ("text", pa.string())]))
-
-
 def _deal_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (host, groups, owners, place, page_id, url, html) to (host, salt, counted, page_id, url, blocks). Of
+    """Rows (host, groups, owners, place, page_id, url, html) to (host, salt, counted, page_id, url, zones, lines). Of
     the copies of a text in a partition the first goes to the group that counts this text, all others to any."""
     seen = set()
     for batch in batches:
         hosts, groups, owners, places, htmls = (batch.column(k).to_pylist() for k in (0, 1, 2, 3, 6))
-        salts, counted, pages = [], [], []
+        salts, counted, pages = [], [], []  # pages: zones and lines
         for host, many, own, place, html in zip(hosts, groups, owners, places, htmls):
-            blocks = page_blocks(html)
-            same = xxh3_64_intdigest("\n".join(t for _, t in blocks).encode("utf-8", "surrogatepass"))
+            page = _lines(html)
+            same = xxh3_64_intdigest(page[1].encode("utf-8", "surrogatepass"))
             fresh = (host, same) not in seen
             seen.add((host, same))
             salts.append(same % own if fresh else place % many)
             counted.append(fresh)
-            pages.append([{"zone": z, "text": t} for z, t in blocks])
+            pages.append(page)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(salts, pa.int32()), pa.array(counted), batch.column(4), batch.column(5), pa.array(pages, _BLOCKS)],
-            names=["host", "salt", "counted", "page_id", "url", "blocks"],
+            [
+                batch.column(0), pa.array(salts, pa.int32()), pa.array(counted), batch.column(4), batch.column(5),
+                *(pa.array([p[k] for p in pages], pa.string()) for k in (0, 1)),
+            ],
+            names=["host", "salt", "counted", "page_id", "url", "zones", "lines"],
         )
 
 
-def _pages_of(rows: pa.Table, counted: bool = False) -> list[list[tuple[int, str]]]:
+def _pages_of(rows: pa.Table, counted: bool = False) -> list[tuple[str, str]]:
     if counted:
         rows = rows.filter(rows.column("counted"))
-    return [[(b["zone"], b["text"]) for b in blocks] for blocks in rows.column("blocks").to_pylist()]
+    return list(zip(rows.column("zones").to_pylist(), rows.column("lines").to_pylist()))
 
 
 def _candidates(key: tuple, rows: pa.Table, least: int, share: float) -> pa.Table:
@@ -380,14 +403,17 @@ def _cut_pages(key: tuple, rows: pa.Table, repeated: pa.Table, least: int) -> pa
     pages = _pages_of(rows)
     streams = Streams(pages, least)
     places, keys = streams.keys()
-    hit = np.zeros(len(streams.ids), bool)
-    hit[places] = _looked_up(keys, np.sort(repeated.column("run").to_numpy()))[0]
-    return rows.select(["page_id", "url"]).append_column("text", pa.array(streams.texts(pages, hit), pa.string()))
+    repeated = repeated.sort_by("run")
+    hit, most = np.zeros(len(streams.ids), bool), np.zeros(len(streams.ids), bool)
+    hit[places], at = _looked_up(keys, repeated.column("run").to_numpy())
+    if len(repeated):
+        most[places] = repeated.column("most").to_numpy()[at]
+    return rows.select(["page_id", "url"]).append_column("text", pa.array(streams.texts(pages, hit, hit & most), pa.string()))
 
 
 def extract_pages(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = 6,
-    min_pages: int = 3, share: float = 0.02, group_pages: int = 256,
+    min_pages: int = 3, share: float = 0.02, group_pages: int = 256, article_pages: int = 10,
 ) -> DataFrame:
     """``(page_id, url, text)`` per row of ``pages``."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
@@ -404,24 +430,23 @@ def extract_pages(
     many = large.count()
     few = rows.join(small(large.select("host")), "host", "left_anti") if many else rows
     few = few.select("host", "page_id", "url", "html").repartition("host").sortWithinPartitions("host")
-    few = few.mapInArrow(partial(_extract_batches, least=least, min_pages=min_pages, share=share), schema)
+    few = few.mapInArrow(partial(_extract_batches, least=least, min_pages=min_pages, share=share, article_pages=article_pages), schema)
     if not many:
         return few
 
     place = F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30)).cast("int")
     dealt = rows.join(small(large), "host").select("host", "groups", "owners", place.alias("place"), "page_id", "url", "html")
     kept = [rows.schema["page_id"], rows.schema["url"]]
-    block = T.ArrayType(T.StructType([T.StructField("zone", T.ByteType()), T.StructField("text", T.StringType())]))
     dealt = dealt.mapInArrow(_deal_batches, T.StructType([
         T.StructField("host", T.StringType()), T.StructField("salt", T.IntegerType()), T.StructField("counted", T.BooleanType()), *kept,
-        T.StructField("blocks", block),
+        T.StructField("zones", T.StringType()), T.StructField("lines", T.StringType()),
     ]))
     # three steps over the same groups: in one query Spark shuffles them once
     grouped = dealt.groupBy("host", "salt")
 
     def over(runs: DataFrame, groups: str):
         """``runs`` for each of the host's groups."""
-        each = runs.join(small(large), "host").select("host", "run", F.explode(F.sequence(F.lit(0), F.col(groups) - 1)).alias("salt"))
+        each = runs.join(small(large), "host").select(*runs.columns, F.explode(F.sequence(F.lit(0), F.col(groups) - 1)).alias("salt"))
         return each.groupBy("host", "salt")
 
     def candidates(key, rows):
@@ -438,5 +463,6 @@ def extract_pages(
     totals = counted.groupBy("host", "run").agg(F.sum("n").alias("n"))
     totals = totals.withColumn("pages", F.max(F.when(F.col("run").isNull(), F.col("n"))).over(Window.partitionBy("host")))
     enough = F.greatest(F.lit(min_pages), F.floor(F.lit(share) * F.col("pages")))
-    repeated = totals.where(F.col("run").isNotNull() & (F.col("n") >= enough)).select("host", "run")
+    repeated = totals.where(F.col("run").isNotNull() & (F.col("n") >= enough))
+    repeated = repeated.select("host", "run", ((2 * F.col("n") > F.col("pages")) & (F.col("n") >= article_pages)).alias("most"))
     return few.unionByName(grouped.cogroup(over(repeated, "groups")).applyInArrow(cut, schema))

@@ -274,6 +274,20 @@ def test_repeats_are_cut_out_of_blocks(spark, group_pages):
     assert got == {i: f"only{i} here{i} and{i} now{i}\nnew{i}" + "\nTwo pages say" * (i in (3, 30)) for i in range(40)}
 
 
+@pytest.mark.parametrize("group_pages", [8, 1000])
+def test_notices_of_most_pages_leave_articles(spark, group_pages):
+    notice, shared = "<p>Our offices are closed on every public holiday</p>", "<p>shared prose that many of the pages have</p>"
+    page = "<article>{1}<h1>T{0}</h1><p>a{0} b{0}</p>{2}<p>c{0} Our offices are closed on every public holiday</p><p>Share this</p></article>"
+    pages = [(i, "http://h.example/", page.format(i, notice * (i % 4 > 0), shared * (i % 2))) for i in range(40)]
+    pages += [(100 + i, "http://two.example/", page.format(i, notice, shared)) for i in range(2)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in extraction.extract_pages(df, group_pages=group_pages).collect()}
+    body = "T{0}\na{0} b{0}{1}\nc{0} Our offices are closed on every public holiday"
+    want = {i: body.format(i, "\n" + shared[3:-4] if i % 2 else "") for i in range(40)}
+    want |= {100 + i: f"{notice[3:-4]}\n{body.format(i, chr(10) + shared[3:-4])}\nShare this" for i in range(2)}
+    assert got == want
+
+
 def test_article_texts(spark, sf_dir):
     import html
     import re
