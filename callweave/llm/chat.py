@@ -7,9 +7,10 @@ reported. Where a turn's text lies in its span is found by rendering the turn wi
 two other texts.
 
 Turns are range-partitioned by conversation and turn, so that even a conversation with a large
-share of all rows spreads over tasks. If a probe finds the template local (a turn's output
-depends on that turn alone, apart from the start), long conversations are rendered in slices of
-``slice_turns`` turns; otherwise a conversation is rendered whole, in one task.
+share of all rows spreads over tasks. If a template is declared ``local`` (a turn's output
+depends on that turn alone, apart from the start) and a probe agrees, long conversations are rendered in slices of
+``slice_turns`` turns; otherwise a conversation is rendered whole, in one task, as no probe can
+show what a template does with other texts.
 
 Defined cases: null roles and texts are empty; a null turn comes first; equal turns order by role
 and text; repeated rows are turns of their own; a null conversation id is one conversation; an
@@ -37,6 +38,12 @@ Template = Callable[[Messages], str]
 START, END = "<|im_start|>", "<|im_end|>"
 
 
+def local(template: Template) -> Template:
+    """Declares that each turn's output depends on that turn alone, whatever the texts."""
+    template.local = True
+    return template
+
+
 # --------------------------------------------------------------------------
 # A template that can be read back
 # --------------------------------------------------------------------------
@@ -49,6 +56,7 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], text, flags=re.S) if "\\" in text else text
 
 
+@local
 def marked_turns(messages: Messages) -> str:
     """Each turn between start and end marks, its role on a line of its own."""
     return "".join(f"{START}{escape(r).replace(chr(10), chr(92) + 'n')}\n{escape(t)}{END}\n" for r, t in messages)
@@ -97,7 +105,10 @@ def text_margins(template: Template, role: str, before: Messages) -> tuple[int,
 
 
 def is_local(template: Template) -> bool:
-    """Whether a turn's output is the same at the start and after any other turns, on a probe conversation."""
+    """Whether the template is declared ``local`` and a turn's output is the same at the start and after
+    other turns on a probe conversation."""
+    if not getattr(template, "local", False):
+        return False
     probe = [(r, t) for r in ("system", "user", "assistant", "user", "tool") for t in ("a", "", f"{r} b", "c\n")]
     anchor = [("user", "")]
     whole, spans, rewritten = turn_spans(template, probe)
@@ -200,12 +211,12 @@ def render_conversations(
         F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).cast("string").alias("role"),
         F.col(text).cast("string").alias("text"),
     )
-    local = is_local(template)
+    sliced = is_local(template)
     order = ["conv_id", "turn", "role", "text"]
     # ranges by the short keys alone, as Spark samples them on the driver
-    parted = rows.repartitionByRange(*order[:3]) if local else rows.repartition("conv_id")
+    parted = rows.repartitionByRange(*order[:3]) if sliced else rows.repartition("conv_id")
     schema = T.StructType([rows.schema["conv_id"], *SLICE.fields])
-    work = partial(_render_batches, template=template, loss_roles=loss_roles, slice_turns=slice_turns if local else None)
+    work = partial(_render_batches, template=template, loss_roles=loss_roles, slice_turns=slice_turns if sliced else None)
     return parted.sortWithinPartitions(*order).mapInArrow(work, schema)
 
 

@@ -149,6 +149,27 @@ def test_templates_that_look_back_are_found():
     assert text == "[a]x[u]y" and rewritten == 1 and spans[-1][1] == len(text)
 
 
+def test_undeclared_templates_are_rendered_whole(spark):
+    turns = [(c, i, ("user", "assistant")[i % 2], f"<think>t{i}</think>say {c} {i}") for c in range(3) for i in range(20 + 150 * c)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+
+    def rewriting(messages):  # drops the thoughts of all but the last turn
+        return "".join(f"[{r}]" + (t if k == len(messages) - 1 else t.split("</think>")[-1]) for k, (r, t) in enumerate(messages))
+
+    def steady(messages):
+        return "".join(f"[{r}]{t}" for r, t in messages)
+
+    assert not chat.is_local(rewriting) and not chat.is_local(steady) and chat.is_local(chat.local(steady))
+    assert not chat.is_local(chat.local(lambda messages: str(len(messages)) + steady(messages)))
+    got = {r.conv_id: r for r in chat.render_conversations(df, rewriting).collect()}
+    assert sorted(got) == [0, 1, 2]
+    for c, r in got.items():
+        said = [(role, text) for k, _, role, text in turns if k == c]
+        text, spans, rewritten = chat.turn_spans(rewriting, said)
+        assert (r.formatted, r.rewritten, [(s.start, s.end) for s in r.turns]) == (text, rewritten, spans)
+        assert r.formatted.count("<think>") == 1 and r.rewritten == len(said) - 1
+
+
 def test_whole_rendering_marks_the_same_text(spark):
     turns = [(c, i, ("user", "assistant")[i % 2], f"say {c} {i}") for c in range(4) for i in range(6)]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
