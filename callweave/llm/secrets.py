@@ -122,19 +122,15 @@ def train_models(samples: DataFrame, random: str = "random", value: str = "value
 
 
 def find_secrets(
-    df: DataFrame, *keep: str, text: str = "text", samples: DataFrame | None = None, max_sample_rows: int = 5000,
-    threshold: float = 0.5,
+    df: DataFrame, *keep: str, text: str = "text", samples: DataFrame | None = None, threshold: float = 0.5,
 ) -> DataFrame:
     """``keep`` and ``spans``: array of (start, kind, end) by start, then kind, ``base`` those of the patterns.
 
     ``samples`` (random, value) train the models; without them, the values the patterns find are
-    the random strings and the words of about ``max_sample_rows`` texts the ordinary ones."""
+    the random strings and the words of all texts the ordinary ones."""
     rows = stored(base_spans(df, *keep, text=text), "secrets")
     if samples is None:
-        total = df.count()
-        share = min(1.0, max_sample_rows / max(total, 1))
-        some = df.where(F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 20)) < share * (1 << 20))
-        words = some.select(F.explode(F.regexp_extract_all(text_or_empty(text), F.lit(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z_]{4,}(?![A-Za-z0-9+/_=-])"), F.lit(0))).alias("value"))
+        words = df.select(F.explode(F.regexp_extract_all(text_or_empty(text), F.lit(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z_]{4,}(?![A-Za-z0-9+/_=-])"), F.lit(0))).alias("value"))
         samples = words.select(F.lit(False).alias("random"), "value").unionByName(
             rows.select(F.lit(True).alias("random"), F.explode("values").alias("value"))
         )

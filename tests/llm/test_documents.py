@@ -155,6 +155,14 @@ def test_base_spans_match_brute_force(spark, sf_dir):
         assert [s for s in r.spans.split(",") if s and not s.startswith("markov")] == want
 
 
+def test_ordinary_words_of_all_texts_are_counted(spark, monkeypatch):
+    docs = spark.range(12_000).selectExpr("id", "concat('plain words ', translate(cast(id as string), '0123456789', 'abcdefghij'), 'xxxx') as text")
+    train, seen = secrets.train_models, []
+    monkeypatch.setattr(secrets, "train_models", lambda samples: seen.append(samples) or train(samples))
+    assert secrets.find_secrets(docs, "id").where("size(spans) > 0").count() == 0
+    assert seen[0].where("not random").count() == 3 * 12_000
+
+
 def test_spans_of_odd_texts(spark):
     docs = odd_docs(spark).selectExpr("*", "'x' as spans", "'y' as base")
     rows = secrets.find_secrets(docs.selectExpr("n_chars as k", "text"), "k").collect()
