@@ -8,7 +8,7 @@ The model is learnt from a bounded sample of the labelled rows (``labelled_sampl
 from counts that Spark makes over it, the weights fitted on the driver.
 
 Defined cases: null and empty texts have no features and score the base rate; rows with a null
-label, id or text teach nothing; without labels of both kinds every score is the share of label 1
+label, id or text teach nothing; of rows with the same id one teaches, that with the least hash of its text; without labels of both kinds every score is the share of label 1
 (0 without labels); repeated labels of an id count once each; other columns are not read.
 """
 
@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from callweave.llm.common import stored
+
 BUCKETS = 1 << 18
 WORD = re.compile(r"[^\W\d_]+")
 #: Terms that name groups, by kind; within a kind each is swapped for the next.
@@ -157,16 +159,20 @@ def labelled_sample(
     docs: DataFrame, labels: DataFrame, max_rows: int = 24_000, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic"
 ) -> DataFrame:
     """Rows (id, toxic, text) of about ``max_rows`` labelled documents at most, both labels alike, drawn by
-    a hash of the id. Labels are drawn before texts are looked up, so the side that is broadcast is
-    bounded by ``max_rows`` and no text is shuffled. An id with several labels counts as toxic if one is."""
+    a hash of the id, one row per id. Labels are drawn before texts are looked up, so the side that is broadcast is
+    bounded by ``max_rows``, and only the texts of the sample are shuffled, equal rows of a task as one. An id with
+    several labels counts as toxic if one is."""
     known = labels.where(F.col(doc_id).isNotNull() & F.col(toxic).isNotNull())
     known = known.groupBy(F.col(doc_id).alias("id")).agg(F.max((F.col(toxic) == 1).cast("int")).alias("toxic"))
     sizes = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
     share = {k: min(1.0, max_rows / 2 / max(1, sizes.get(k, 0))) for k in (0, 1)}
     draw = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 20))
     drawn = known.where(draw < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * (1 << 20))
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
-    return texts.join(F.broadcast(drawn), "id").select("id", "toxic", "text")
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).where("text is not null")
+    texts = texts.withColumn("hash", F.xxhash64("text"))
+    least = texts.join(F.broadcast(drawn), "id").groupBy("id").agg(F.max("toxic").alias("toxic"), F.min("hash").alias("hash"))
+    least = stored(least, "toxicity-sample")
+    return texts.join(F.broadcast(least), ["id", "hash"]).select("id", "toxic", "text").distinct()
 
 
 def train(

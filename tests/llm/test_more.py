@@ -394,6 +394,15 @@ def test_toxicity_learns_and_holds_out(spark, sf_dir):
     assert {r.score for r in none} == {0.0}
 
 
+def test_a_repeated_id_teaches_once(spark):
+    docs = [(i, f"text {i}") for i in range(20)] + [(3, "text 3")] * 30 + [(4, f"other {i % 3}") for i in range(30)] + [(5, None)] * 9
+    labels = [(i, i % 2) for i in range(20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = toxicity.labelled_sample(df, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    assert sorted((r.id, r.toxic) for r in rows) == labels
+    assert all(r.text == f"text {r.id}" or (r.id == 4 and r.text in {f"other {i}" for i in range(3)}) for r in rows)
+
+
 def test_swapped_terms_do_not_move_the_score(spark):
     rng = random.Random(10)
     plain = ["river", "stone", "cloud", "paper", "green", "music"]
