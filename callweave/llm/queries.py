@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callweave.llm import (
+    bpe,
     chat,
     decontamination,
     extraction,
@@ -121,6 +122,16 @@ def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), keep=["doc_id"]))
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -132,6 +143,7 @@ QUERIES: dict[str, Query] = {
     "op8_extraction": op8_extraction,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op13_bpe": op13_bpe,
 }
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ITEM_WORDS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(_LOWER.format("coalesce(text, '')"))
