@@ -14,13 +14,14 @@ from callweave.llm import (
     extraction,
     language,
     packing,
+    periodicity,
     quality,
     secrets,
     sharding,
     simhash,
     toxicity,
 )
-from callweave.llm.common import held_out, table
+from callweave.llm.common import held_out, once, table
 from callweave.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,6 +123,36 @@ def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``; one document in ten repeats a stretch of its words up to its end."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit("([^\\x20\\x09-\\x0D]+)")))
+    docs = once(docs, "doc_id", "text", g=F.floor(h / 10), words=words)
+    n, g = F.size("words").cast("long"), F.col("g")
+    docs = once(docs, "doc_id", "text", "words", n=n, a=F.when(n > 0, g % n), parts=3 + g % 8)
+    a, p = F.col("a"), 1 + F.floor((F.col("n") - F.col("a")) / F.col("parts"))
+    docs = once(docs, "doc_id", "text", "words", "n", "a", p=p)
+    place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % F.col("p")).cast("int")
+    again = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get("words", place(i)))
+    return docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = with_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodicity.periodic_runs(docs, keep=["doc_id"])
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    found = found.withColumn("longest", longest).withColumn("listed", listed)
+    length, period = F.col("longest.length"), -F.col("longest.col3")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.col2")).alias("start"), length.alias("length"),
+        period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat("listed", F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), keep=["doc_id"]))
@@ -143,6 +174,7 @@ QUERIES: dict[str, Query] = {
     "op8_extraction": op8_extraction,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op11_periodicity": op11_periodicity,
     "op13_bpe": op13_bpe,
 }
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
