@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from callweave.llm import (
     bpe,
     chat,
+    conversation_trie,
     decontamination,
     extraction,
     language,
@@ -21,7 +22,7 @@ from callweave.llm import (
     simhash,
     toxicity,
 )
-from callweave.llm.common import held_out, once, table
+from callweave.llm.common import held_out, once, small, stored, table
 from callweave.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,6 +154,27 @@ def op11_periodicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rebuilt_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Numbered turns ``(conv, pos, digest, bytes)`` and all ids: each conversation begins with the first h turns of
+    conversation ``conv - conv % 5``, then goes on with its own from place h."""
+    sizes = stored(turns.groupBy("conv").agg(F.count(F.lit(1)).alias("n")), "trie-sizes")
+    own = sizes.select("conv", (F.col("conv") - F.col("conv") % 5).alias("base"), (F.crc32(F.col("conv").cast("string").cast("binary")) % 9).alias("h"))
+    heads = own.join(sizes.select(F.col("conv").alias("base"), "n"), "base", "left").where("conv <> base")
+    heads = heads.select("conv", "base", "h", F.least("h", F.coalesce("n", F.lit(0))).alias("taken"))
+    heads = small(stored(heads, "trie-heads"))
+    tail = turns.join(heads, "conv", "left").where("base is null or pos >= h")
+    tail = tail.select("conv", (F.col("pos") - F.coalesce("h", F.lit(0)) + F.coalesce("taken", F.lit(0))).alias("pos"), "digest", "bytes")
+    first = turns.where("conv % 5 = 0 and pos < 8").withColumnRenamed("conv", "base")
+    head = first.join(heads, "base").where("pos < taken").select("conv", "pos", "digest", "bytes")
+    return tail.unionByName(head), sizes.select("conv")
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    turns = conversation_trie.number_turns(table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(*rebuilt_conversations(turns))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), keep=["doc_id"]))
@@ -175,6 +197,7 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
     "op11_periodicity": op11_periodicity,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_bpe": op13_bpe,
 }
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -228,6 +251,48 @@ select page_id, url, text, length(text) as n_chars from (
     from pages) t
 """
 
+# Nodes by equality of whole prefixes.
+_TRIE_SQL = """
+with own as (
+    select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as pos,
+        coalesce(role, '') as role, coalesce(text, '') as text
+    from conversations where conv_id is not null),
+crc0 as (select i, i as v, 0 as k from range(256) t(i)),
+{crc},
+convs as (select distinct c, c - c % 5 as base from own),
+bytes as (
+    select c, base, list_transform(string_split(cast(c as varchar), ''), lambda x: ord(x)) as b from convs),
+hashed as (
+    select c, base, xor(list_reduce(list_prepend(cast(4294967295 as bigint), b), lambda s, x: xor(s >> 8, tab[xor(s & 255, x) + 1])), cast(4294967295 as bigint)) % 9 as h
+    from bytes, (select list(cast(v as bigint) order by i) as tab from crc8) t),
+rebuilt as (
+    select h.c, 0 as piece, o.pos, o.role, o.text from hashed h join own o on o.c = h.base and o.pos < h.h
+    union all select h.c, 1, o.pos, o.role, o.text from hashed h join own o on o.c = h.c and o.pos >= h.h),
+numbered as (
+    select c, row_number() over (partition by c order by piece, pos) as d, strlen(text) as size,
+        sha256(length(role) || ':' || role || text) as t from rebuilt),
+prefixes as (
+    select c, d, size, sha256(string_agg(t, '') over (partition by c order by d)) as p,
+        sha256(string_agg(t, '') over (partition by c order by d rows between unbounded preceding and 1 preceding)) as above from numbered
+    union all select c, 0, 0, 'root', null from convs),
+lengths as (select c, max(d) as len from prefixes group by c),
+nodes as (
+    select p, d, case when d = 1 then 'root' else min(above) end as above, min(c) as conv, count(*) as n, max(size) as size,
+        sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (d = len), '')) as ends
+    from prefixes join lengths using (c) group by p, d),
+kids as (select above as p, count(*) as kids from nodes where d > 0 group by 1),
+valued as (select n.*, coalesce(k.kids, 0) as kids, (n.n - 1) * n.size as saved from nodes n left join kids k using (p)),
+sums as (
+    select a.p, sum((v.kids = 0)::int) as leaves, sum(v.saved) as saved
+    from valued v join prefixes a on a.c = v.conv and a.d <= v.d group by a.p)
+select v.conv as conv_id, v.d as depth, u.conv as parent_conv_id, v.n as n_convs, v.kids as n_children,
+    cast(s.leaves as bigint) as n_leaves, cast(s.saved as bigint) as saved_tokens, v.ends as ends_sha256
+from valued v join sums s using (p) left join nodes u on u.p = v.above
+""".replace("{crc}", ",\n".join(
+    f"crc{k + 1} as (select i, case when v % 2 = 1 then xor(v // 2, 3988292384) else v // 2 end as v, {k + 1} as k from crc{k})" for k in range(8)
+))
+
 ORACLES: dict[str, str] = {
-    "op5_chat": _CHAT_SQL, "op8_extraction": _EXTRACTION_SQL, "op9_decontamination": _DECONTAMINATION_SQL
+    "op5_chat": _CHAT_SQL, "op8_extraction": _EXTRACTION_SQL, "op9_decontamination": _DECONTAMINATION_SQL,
+    "op12_conversation_trie": _TRIE_SQL,
 }
