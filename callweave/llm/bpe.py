@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from callweave.llm.common import free_name
 
-KEPT_PIECES = 300_000
+KEPT_PIECES = 150_000
 KEPT_LENGTH = 64  # characters up to which a piece is kept
 SIDE_BY_SIDE = 64  # bytes up to which words are merged many at a time
 ROWS = 400  # texts encoded at a time
@@ -60,21 +60,37 @@ def byte_signs() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-class Merges:
-    """Tokens and merges of a byte-level model, as arrays by token id."""
+class Tokens:
+    """The bytes of each token."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        model, cut, signs = spec["model"], spec["pre_tokenizer"] or {}, byte_signs()
+            self.spec = json.load(f)
+        signs = byte_signs()
+        model = self.spec["model"]
+        self.added = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
+        self.bytes_of = {i: bytes(signs[c] for c in t) for t, i in model["vocab"].items() if all(c in signs for c in t)}
+        self.size = max([*model["vocab"].values(), *self.added.values()]) + 1
+        blobs = [b""] * self.size
+        for i, b in chain(self.bytes_of.items(), ((i, t.encode()) for t, i in self.added.items())):
+            blobs[i] = b
+        self.lengths = np.array([len(b) for b in blobs], np.int64)
+        self.starts = np.append(0, np.cumsum(self.lengths))[:-1]
+        self.blob = np.frombuffer(b"".join(blobs), np.uint8)
+
+
+class Merges(Tokens):
+    """Tokens and merges of a byte-level model, as arrays by token id."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        model, cut = self.spec["model"], self.spec["pre_tokenizer"] or {}
         odd = [k for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
-        if model["type"] != "BPE" or odd or spec["normalizer"] or cut.get("type") != "ByteLevel" or cut["add_prefix_space"] or not cut.get("use_regex", True):
+        if model["type"] != "BPE" or odd or self.spec["normalizer"] or cut.get("type") != "ByteLevel" or cut["add_prefix_space"] or not cut.get("use_regex", True):
             raise ValueError(f"{path} is no plain byte-level BPE")
-        self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]):
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in self.spec["added_tokens"]):
             raise ValueError("added tokens must be matched as they are")
-        self.bytes_of = {i: bytes(signs[c] for c in t) for t, i in model["vocab"].items() if all(c in signs for c in t)}
-        size = max([*model["vocab"].values(), *self.added.values()]) + 1
+        size = self.size
         self.left, self.right = np.arange(size), np.arange(size)
         self.rank = np.full(size, -1, np.int64)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
@@ -85,7 +101,7 @@ class Merges:
                 raise ValueError("merges must make each token once, from earlier ones")
             self.left[made], self.right[made], self.rank[made] = x, y, k
             keys.append(x * size + y)
-        self.size, self.made = size, {key: (k, model["vocab"][a + b]) for k, (key, (a, b)) in enumerate(zip(keys, pairs))}
+        self.made = {key: (k, model["vocab"][a + b]) for k, (key, (a, b)) in enumerate(zip(keys, pairs))}
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max), np.append(order, NEVER)
         self.pair_made = np.append(np.array([m[1] for m in self.made.values()], np.int64)[order], 0)
@@ -94,12 +110,7 @@ class Merges:
             if len(b) == 1:
                 self.byte_ids[b[0]] = i
         self._trie()
-        blobs = [b""] * size
-        for i, b in chain(self.bytes_of.items(), ((i, t.encode()) for t, i in self.added.items())):
-            blobs[i] = b
-        self.lengths = np.array([len(b) for b in blobs], np.int64)
-        self.starts = np.append(0, np.cumsum(self.lengths))[:-1]
-        self.blob = np.frombuffer(b"".join(blobs), np.uint8)
+        del self.spec
 
     def _own(self) -> set[int]:
         """Tokens that the merges make of their own bytes; no other token occurs in an encoding."""
@@ -278,13 +289,17 @@ class Encoder:
         return list(chain.from_iterable([x] if k % 2 else self.pieces(x) for k, x in enumerate(parts)))
 
 
-def encoder(path: str | None) -> Encoder:
-    """The worker's encoder for a tokenizer file, made once."""
+def _once(kind: type, path: str | None):
+    """What the worker has made of a tokenizer file, once."""
     path = path or default_tokenizer()
-    kept = sys.modules.setdefault("_callweave_bpe", SimpleNamespace(by_path={}))
-    if path not in kept.by_path:
-        kept.by_path[path] = Encoder(path)
-    return kept.by_path[path]
+    kept = sys.modules.setdefault("_callweave_bpe", SimpleNamespace(made={}))
+    if (kind.__name__, path) not in kept.made:
+        kept.made[kind.__name__, path] = kind(path)
+    return kept.made[kind.__name__, path]
+
+
+def encoder(path: str | None) -> Encoder:
+    return _once(Encoder, path)
 
 
 def _with(rows: pa.RecordBatch, keep: list[str], name: str, values: pa.Array) -> pa.RecordBatch:
@@ -302,7 +317,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], keep: list[str], out: str, path:
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], keep: list[str], out: str, path: str | None) -> Iterator[pa.RecordBatch]:
-    table = encoder(path).merges
+    table = _once(Tokens, path)
     for batch in batches:
         for a in range(0, batch.num_rows, ROWS):
             rows = batch.slice(a, ROWS)
