@@ -74,6 +74,40 @@ def resolve_records(
     return picked.select(*keep, *[_standard_value(spec, f, F.col(f), times).alias(f) for f in spec.fields])
 
 
+def column_places(names: Column, spec: RecordSpec, legacy: bool = False) -> Column:
+    """For each column of a record type the places, in order, of its names among ``names``."""
+    lookup = F.create_map(*[F.lit(part) for pair in spec.name_lookup(legacy).items() for part in pair])
+
+    def places(field: str) -> Column:
+        return F.array_compact(F.transform(names, lambda name, i: F.when(lookup[name] == field, i)))
+
+    return F.array(*[places(f) for f in spec.fields])
+
+
+def resolve_values(
+    df: DataFrame,
+    spec: RecordSpec,
+    values: str = "values",
+    places: str = "places",
+    policy: str = "first_non_null",
+    keep: Sequence[str] = (),
+    times: bool = False,
+) -> DataFrame:
+    """Rows by position (``values``, an array of text) as standard rows, given the ``column_places`` of their header.
+
+    Names are looked up once per header, so a row costs one access per column. Policies as in ``resolve_records``."""
+    _check_policy(policy)
+
+    def raw(k: int) -> Column:
+        at = F.get(F.col(places), F.lit(k))
+        if policy == "first_present":
+            return F.get(F.col(values), F.get(at, F.lit(0)))
+        return F.get(F.filter(F.transform(at, lambda i: F.get(F.col(values), i)), lambda v: v.isNotNull()), F.lit(0))
+
+    picked = df.select(*keep, *[raw(k).alias(f) for k, f in enumerate(spec.fields)])
+    return picked.select(*keep, *[_standard_value(spec, f, F.col(f), times).alias(f) for f in spec.fields])
+
+
 def unmapped_records(df: DataFrame, spec: RecordSpec, record: str = "record", legacy: bool = False) -> DataFrame:
     """Records in which no name is known: the complement of ``resolve_records``."""
     known = F.arrays_overlap(F.map_keys(record), F.array(*[F.lit(n) for n in spec.name_lookup(legacy)]))

@@ -577,7 +577,8 @@ def _write_lines(df: DataFrame, path: str, extension: str) -> None:
 
 
 def _damaged_root(spark: SparkSession, sf: str) -> str:
-    """A tree of call files, half of them no good: arrays and XML cut off, lines cut, other files."""
+    """A tree of call files, half of them no good: arrays and XML cut off, lines cut, arrays too deep for the
+    parser, XML in an encoding nobody knows, other files."""
     root = work_path(spark, "damaged")
     base = f"{root}/cdr_subdir"
     raw = raw_records(spark, sf, "cdr")
@@ -591,6 +592,10 @@ def _damaged_root(spark: SparkSession, sf: str) -> str:
     _write_lines(raw.select(cut.alias("value")), f"{base}/cdr_lines", "jsonl")
     element = F.concat(F.lit("<cdr_data><cdr_record><caller_id>"), F.col("rid").cast("string"), F.lit("</caller_id></cdr_record>"))
     _write_lines(raw.select(element.alias("value")), f"{base}/cdr_cut_xml", "xml")  # never closed
+    deep = F.concat(F.lit("["), F.repeat(F.lit('{"a":['), F.lit(50_000)), body)
+    _write_lines(raw.where("rid % 500 = 0").select(deep.alias("value")), f"{base}/cdr_deep", "json")
+    odd = F.concat(F.lit('<?xml version="1.0" encoding="x-nobody"?>'), element, F.lit("</cdr_data>"))
+    _write_lines(raw.where("rid % 500 = 0").select(odd.alias("value")), f"{base}/cdr_odd_xml", "xml")
     _write_lines(raw.select(body.alias("value")), f"{base}/cdr_notes", "txt")
     return root
 

@@ -5,35 +5,32 @@ path routes to the record type (the filter is on file metadata, so other files
 are pruned before any is opened) and returns ragged ``record`` maps in record
 order with their ``path``.
 
-Files that cannot split (JSON arrays, gzip, zip, XML) count whole or not at all: damaged content
-gives one row with an ``error`` instead of records. Errors of storage are not caught; they
-fail the task, which Spark runs again.
+JSON arrays, gzip, zip and XML files count whole or not at all: content that cannot be parsed, for whatever reason, gives
+one row with an ``error`` instead of records. Errors of storage are not caught; they fail the task, which Spark runs again.
+Files above ``WHOLE_LIMIT`` bytes are read as streams (``sources.splits``), JSON arrays by many tasks each.
 """
 
 from __future__ import annotations
 
 import csv
-import gzip
-import io
-import json
-import zipfile
-import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import partial
-from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.operators.naming import resolve_records
+from callweave.operators.naming import column_places, resolve_records, resolve_values
 from callweave.session import work_path
+from callweave.sources import content, splits
 from callweave.sources.listing import record_type_of, suffix_glob
 from callweave.specs import RecordSpec
 
 PATH = "_metadata.file_path"
-#: Bytes a file may have to be held as one value.
-WHOLE_LIMIT = 2_000_000_000
+#: Bytes up to which a file is held as one value.
+WHOLE_LIMIT = 64_000_000
+#: Records of a file that are held until its end is known to be sound; longer files are parsed twice.
+HELD_ROWS = 100_000
 #: Files up to which their list of headers is broadcast; past it Spark joins by shuffle.
 BROADCAST_FILES = 200_000
 
@@ -52,78 +49,52 @@ def _routed(df: DataFrame, spec: RecordSpec | None) -> DataFrame:
 _PARSED = "path string, record map<string,string>, error string"
 _ARROW_RECORD = pa.map_(pa.string(), pa.string())
 _ROWS_PER_BATCH = 10_000
-_DAMAGE = (
-    ValueError, EOFError, IndexError, OSError, zlib.error, zipfile.BadZipFile, csv.Error, ElementTree.ParseError,
-)  # of content held in memory: no storage is touched while these can arise
 
-Pairs = list[tuple[str, str | None]]
 
-
-def _json_text(value: object) -> str | None:
-    if value is None or isinstance(value, str):
-        return value
-    if isinstance(value, bool):
-        return str(value).lower()
-    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
-
-
-def _json_rows(content: bytes) -> Iterator[Pairs]:
-    found = json.loads(content, parse_int=str, parse_float=str, parse_constant=str)
-    if not isinstance(found, list) or not all(isinstance(r, dict) for r in found):
-        raise ValueError("no array of objects")
-    for record in found:
-        yield [(k, _json_text(v)) for k, v in record.items()]
-
-
-def _gzip_rows(content: bytes) -> Iterator[Pairs]:
-    return _json_rows(gzip.decompress(content))
-
-
-def _zip_rows(content: bytes) -> Iterator[Pairs]:
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        with archive.open(archive.namelist()[0]) as entry:
-            for row in csv.DictReader(io.TextIOWrapper(entry, encoding="utf-8", newline="")):
-                yield [(k, v if v != "" else None) for k, v in row.items() if k is not None]
+def record_batch(path: str, records: list, error: str | None = None) -> pa.RecordBatch:
+    n = len(records)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([path] * n, pa.string()), pa.array(records, _ARROW_RECORD), pa.array([error] * n, pa.string())],
+        names=["path", "record", "error"],
+    )
 
 
-def _xml_rows(content: bytes, row_tag: str) -> Iterator[Pairs]:
-    for element in ElementTree.fromstring(content).iterfind(f".//{row_tag}"):
-        values = {child.tag: child.text for child in element}  # the last of equal names holds the value
-        yield [(k, None if v in (None, "", "None") else v) for k, v in values.items()]
+def _kinds(row_tag: str | None) -> dict[str, Callable[[content.Chunks], Iterator[content.Pairs]]]:
+    return {
+        "json": content.json_records,
+        "gzip_json": content.gzip_records,
+        "zip_csv": content.zip_records,
+        "xml": partial(content.xml_records, row_tag=row_tag),
+    }
 
 
 def _parse(batches: Iterator[pa.RecordBatch], kind: str, row_tag: str | None) -> Iterator[pa.RecordBatch]:
-    rows_of = {"json": _json_rows, "gzip_json": _gzip_rows, "zip_csv": _zip_rows}.get(kind) or partial(
-        _xml_rows, row_tag=row_tag
-    )
-
-    def batch(path: str, records: list, error: str | None) -> pa.RecordBatch:
-        n = len(records)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([path] * n, pa.string()),
-                pa.array(records, _ARROW_RECORD),
-                pa.array([error] * n, pa.string()),
-            ],
-            names=["path", "record", "error"],
-        )
-
+    rows_of = _kinds(row_tag)[kind]
     for files in batches:
-        for path, content in zip(files.column(0), files.column(1)):
-            path, content = path.as_py(), content.as_py()
-            try:  # once to its end, so that a damaged file gives no rows at all
-                for _ in rows_of(content):
-                    pass
-            except _DAMAGE as bad:
-                yield batch(path, [None], f"{type(bad).__name__}: {bad}")
+        for path, data in zip(files.column(0), files.column(1)):
+            path, data = path.as_py(), data.as_py()
+            rows: list[content.Pairs] = []
+            held = True
+            try:  # to its end before any row goes out, so that a damaged file gives none
+                for row in rows_of(content.chunks_of(data)):
+                    if held:
+                        rows.append(row)
+                        held = len(rows) <= HELD_ROWS
+                        if not held:
+                            rows.clear()
+            except Exception as bad:  # of content in memory, so never one of storage
+                yield record_batch(path, [None], content.fault(bad))
+                continue
+            if held:
+                for a in range(0, len(rows), _ROWS_PER_BATCH):
+                    yield record_batch(path, rows[a : a + _ROWS_PER_BATCH])
                 continue
-            rows: list[Pairs] = []
-            for row in rows_of(content):
+            for row in rows_of(content.chunks_of(data)):
                 rows.append(row)
                 if len(rows) == _ROWS_PER_BATCH:
-                    yield batch(path, rows, None)
+                    yield record_batch(path, rows)
                     rows = []
-            yield batch(path, rows, None)
+            yield record_batch(path, rows)
 
 
 def parse_files(files: DataFrame, kind: str, row_tag: str | None = None) -> DataFrame:
@@ -144,18 +115,30 @@ def read_whole(
     glob: str | None = None,
     scan: DataFrame | None = None,
 ) -> DataFrame:
-    """Files of an unsplittable format as ``(path, record, error)``; many files give the parallelism.
-
-    A file too large for one value is an error row, too, and is not opened."""
-    files = _routed(scan if scan is not None else scan_files(spark, paths, glob or suffix_glob(kind)), spec)
-    path = F.col(PATH).alias("path")
-    fit = files.where(F.col("length") <= WHOLE_LIMIT).select(path, "content")
-    large = files.where(F.col("length") > WHOLE_LIMIT).select(
-        path,
-        F.lit(None).cast("map<string,string>").alias("record"),
-        F.concat(F.lit("too large to be read whole: "), F.col("length").cast("string"), F.lit(" bytes")).alias("error"),
-    )
-    return parse_files(fit, kind, spec.row_tag if spec else None).unionByName(large)
+    """Files of a format that counts whole as ``(path, record, error)``.
+
+    Small files are held and parsed by one task each; larger ones, if there are any, are read as streams now,
+    into a table in the shared folder."""
+    glob = glob or suffix_glob(kind)
+    files = _routed(scan if scan is not None else scan_files(spark, paths, glob), spec)
+    small = files.where(F.col("length") <= WHOLE_LIMIT).select(F.col(PATH).alias("path"), "content")
+    row_tag = spec.row_tag if spec else None
+    parsed = parse_files(small, kind, row_tag)
+    large = files.where(F.col("length") > WHOLE_LIMIT)
+    if large.select("length").isEmpty():
+        return parsed
+
+    def pieces(separator: str) -> DataFrame:
+        read = _reader(spark, glob).option("lineSep", separator)
+        if kind == "gzip_json":
+            read = read.option("ignoreCorruptFiles", "true")
+        rows = _routed(read.text(list(paths)), spec)
+        return rows.where(F.col("_metadata.file_size") > WHOLE_LIMIT)
+
+    if kind == "json":
+        return parsed.unionByName(splits.json_arrays(pieces))
+    rows_of = {**_kinds(row_tag), "zip_csv": content.zip_stream_records}[kind]
+    return parsed.unionByName(splits.streamed(pieces, kind, rows_of))
 
 
 def _good(parsed: DataFrame) -> DataFrame:
@@ -173,9 +156,7 @@ def read_json_arrays(
     glob: str | None = None,
     scan: DataFrame | None = None,
 ) -> DataFrame:
-    """Files that are one JSON array of objects each, as ``(path, record)``.
-
-    ``read_json_lines`` is the form that splits within a file."""
+    """Files that are one JSON array of objects each, as ``(path, record)``."""
     return _good(read_whole(spark, paths, "json", spec, glob, scan))
 
 
@@ -194,7 +175,7 @@ def read_zip_csv(
     scan: DataFrame | None = None,
 ) -> DataFrame:
     """The first entry of each zip archive as ``(path, record)``, or with ``errors`` the unreadable
-    archives as ``(path, error)``. Its rows are passed on in batches, not held."""
+    archives as ``(path, error)``."""
     parsed = read_whole(spark, paths, "zip_csv", spec, glob, scan)
     return file_errors(parsed) if errors else _good(parsed)
 
@@ -232,25 +213,33 @@ def read_json_lines(
     return _good(scan_json_lines(spark, paths, spec, glob))
 
 
+def _once_each(names: list) -> list[str]:
+    """Column names of a header; of equal names the last holds the value, so earlier ones get none."""
+    names = [n or "" for n in names]
+    return [n if n not in names[i + 1 :] else f"\0{i}" for i, n in enumerate(names)]
+
+
 def _header_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Column names of a header line; of equal names the last holds the value, so earlier ones get none."""
     for batch in batches:
-        out = []
-        for header in batch.column("header").to_pylist():
-            names = next(csv.reader([header or ""]), [])
-            out.append([n if n not in names[i + 1 :] else f"\0{i}" for i, n in enumerate(names)])
+        out = [_once_each(next(csv.reader([(header or "").removeprefix("\ufeff")]), [])) for header in batch.column("header").to_pylist()]
         columns = [batch.column(c) for c in ("path", "header", "quoted_breaks")]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.list_(pa.string()))], names=["path", "header", "quoted_breaks", "names"])
 
 
+def _value_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = pa.array([_once_each(x) for x in batch.column(1).to_pylist()], pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), names], names=["path", "names"])
+
+
 def csv_headers(
     spark: SparkSession, paths: Sequence[str], spec: RecordSpec | None = None, glob: str | None = None
 ) -> DataFrame:
     """``(path, header, quoted_breaks, names)`` of each CSV file, written to the shared folder.
 
     ``quoted_breaks`` marks files where a line holds an odd number of quotes,
-    so a quoted value may run over a line end. Only those need the reader that
-    cannot split a file. The lines are read once for this, in splits.
+    so a quoted value may run over a line end. Only those need their splits' states
+    (``sources.splits``). The lines are read once for this, in splits.
     """
     lines = _routed(_reader(spark, glob or suffix_glob("csv")).text(list(paths)), spec)
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
@@ -272,6 +261,55 @@ def csv_headers(
     return spark.read.schema(named.schema).parquet(target)
 
 
+#: Files with quoted line ends up to which they are told apart by name, so that each scan opens its own files only.
+NAMED_FILES = 1_000
+
+
+def _csv_values(
+    spark: SparkSession, paths: Sequence[str], spec: RecordSpec | None, glob: str | None, headers: DataFrame | None
+) -> list[tuple[DataFrame, DataFrame]]:
+    """Data rows ``(path, values)`` and their files' ``(path, names)``: of files whose lines are
+    records, and, if there are any, of files with quoted line ends."""
+    headers = csv_headers(spark, paths, spec, glob) if headers is None else headers
+    glob = glob or suffix_glob("csv")
+    width, broken = headers.agg(F.max(F.size("names")), F.count_if("quoted_breaks")).first()
+    columns = [f"c{i}" for i in range(max(width or 0, 1))]
+    named = [r[0] for r in headers.where("quoted_breaks").select("path").limit(NAMED_FILES + 1).collect()] if broken <= NAMED_FILES else None
+    rows = (
+        _reader(spark, glob)
+        .schema(", ".join(f"{c} string" for c in columns))
+        .option("header", "true")
+        .option("escape", '"')
+        .csv(list(paths))
+    )
+    rows = _routed(rows, spec)
+    if named:
+        rows = rows.where(~F.col(PATH).isin(named))
+    values = F.array(*[F.when(F.col(c) != "", F.col(c)) for c in columns])
+    plain = headers.where(~F.col("quoted_breaks") & (F.size("names") > 0)).select("path", "names")
+    parts = [(rows.select(F.col(PATH).alias("path"), values.alias("values")), plain)]
+    if not broken:
+        return parts
+    marked = headers.where("quoted_breaks").select(F.col("path").alias("_path"))
+
+    def pieces(separator: str) -> DataFrame:
+        lines = _routed(_reader(spark, glob).option("lineSep", separator).text(list(paths)), spec)
+        if named is not None:
+            return lines.where(F.col(PATH).isin(named))
+        return lines.join(F.broadcast(marked) if broken <= BROADCAST_FILES else marked, F.col(PATH) == F.col("_path"), "left_semi")
+
+    found = splits.split_records(pieces, splits.CsvLines)
+    names = found.where("first").select("path", "record").mapInArrow(_value_names, "path string, names array<string>")
+    target = work_path(spark, "csv-names")
+    names.write.parquet(target)
+    names = spark.read.schema(names.schema).parquet(target)
+    return [*parts, (found.where("not first").select("path", F.col("record").alias("values")), names)]
+
+
+def _with_header(rows: DataFrame, names: DataFrame) -> DataFrame:
+    return rows.join(F.broadcast(names) if names.count() <= BROADCAST_FILES else names, "path")
+
+
 def read_csv_records(
     spark: SparkSession,
     paths: Sequence[str],
@@ -282,30 +320,18 @@ def read_csv_records(
     """CSV files with headers of their own, as ``(path, record)``; empty values are null.
 
     All layouts share one scan: rows are read by position and named by their file's header, which a
-    join on the path brings along, so neither paths nor layouts reach the driver or the plan. Only if
-    some file has quoted line ends a second scan reads those without splitting.
+    join on the path brings along, so neither paths nor layouts reach the driver or the plan. Files with quoted
+    line ends are read in splits by a second scan, which knows of each split whether it begins within a value.
     ``headers`` hands in what ``csv_headers`` found, to share it between types.
     """
-    headers = csv_headers(spark, paths, spec, glob) if headers is None else headers
-    width, files, broken = headers.agg(F.max(F.size("names")), F.count(F.lit(1)), F.max("quoted_breaks")).first()
-    columns = [f"c{i}" for i in range(max(width or 0, 1))]
 
-    def part(quoted_breaks: bool) -> DataFrame:
-        rows = (
-            _reader(spark, glob or suffix_glob("csv"))
-            .schema(", ".join(f"{c} string" for c in columns))
-            .option("header", "true")
-            .option("escape", '"')
-            .option("multiLine", str(quoted_breaks).lower())
-            .csv(list(paths))
-        )
-        values = F.array(*[F.when(F.col(c) != "", F.col(c)) for c in columns])
-        rows = _routed(rows, spec).select(F.col(PATH).alias("path"), values.alias("values"))
-        named = headers.where((F.col("quoted_breaks") == quoted_breaks) & (F.size("names") > 0)).select("path", "names")
-        joined = rows.join(F.broadcast(named) if files <= BROADCAST_FILES else named, "path")
-        return joined.select("path", F.map_from_arrays("names", F.slice("values", F.lit(1), F.size("names"))).alias("record"))
+    def part(rows: DataFrame, names: DataFrame) -> DataFrame:
+        # rows as long as their header; what is missing is null
+        filled = F.transform("names", lambda _, i: F.get("values", i))
+        return _with_header(rows, names).select("path", F.map_from_arrays("names", filled).alias("record"))
 
-    return part(False).unionByName(part(True)) if broken else part(False)
+    first, *rest = (part(*p) for p in _csv_values(spark, paths, spec, glob, headers))
+    return first.unionByName(rest[0]) if rest else first
 
 
 def read_csv_files(
@@ -316,5 +342,12 @@ def read_csv_files(
     glob: str | None = None,
     headers: DataFrame | None = None,
 ) -> DataFrame:
-    """CSV files with headers of their own, as standard rows with ``path``."""
-    return resolve_records(read_csv_records(spark, paths, spec, glob, headers), spec, policy=policy, keep=["path"])
+    """CSV files with headers of their own, as standard rows with ``path``; names are looked up once per file."""
+
+    def part(rows: DataFrame, names: DataFrame) -> DataFrame:
+        places = names.select("path", column_places(F.col("names"), spec).alias("places"))
+        places = places.where(F.exists("places", lambda p: F.size(p) > 0))
+        return resolve_values(_with_header(rows, places), spec, policy=policy, keep=["path"])
+
+    first, *rest = (part(*p) for p in _csv_values(spark, paths, spec, glob, headers))
+    return first.unionByName(rest[0]) if rest else first

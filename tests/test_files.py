@@ -85,7 +85,7 @@ def test_only_files_with_quoted_breaks_lose_splitting(spark, tree):
     assert {h.header.split(",")[0]: h.quoted_breaks for h in headers} == {"imei": False, "caller_id": True}
     plain = record_files.read_csv_records(spark, folders(spark, tree), CDR)
     plan = plain._jdf.queryExecution().executedPlan().toString()
-    assert "collect_list" not in plan and plan.count("FileScan csv") == 2
+    assert "collect_list" not in plan and plan.count("FileScan csv") == 1
 
 
 def test_xml(spark, tree):
@@ -128,11 +128,56 @@ def test_damaged_files_count_whole_or_not_at_all(spark, tmp_path):
     }
 
 
-def test_files_too_large_are_reported_unopened(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(record_files, "WHOLE_LIMIT", 10)
-    (tmp_path / "cdr.json").write_text(json.dumps([CALL]))
-    (row,) = record_files.read_whole(spark, [str(tmp_path)], "json").collect()
-    assert row.record is None and "too large" in row.error
+def odd_files(folder):
+    """Files that Python's parsers refuse in ways of their own."""
+    (folder / "deep.json").write_text('[{"a":' * 100_000)
+    (folder / "encoding.xml").write_text('<?xml version="1.0" encoding="x-nobody"?><d><cdr_record/></d>')
+    (folder / "bytes.xml").write_bytes(b"<d><cdr_record><a>\xff\xfe</a></cdr_record></d>")
+    (folder / "bytes.json").write_bytes(b'[{"a": "\xff\xfe"}]')
+    (folder / "halves.json").write_text('[{"a_number": "\\ud800", "\\udfff": 1}]')
+    with zipfile.ZipFile(folder / "plain.csv.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.csv", "caller_id,note\n" + "4," + "w" * 1_000_000 + "\n")
+    data = (folder / "plain.csv.zip").read_bytes()
+    central = data.rindex(b"PK\1\2")
+
+    def changed(name, local, directory, value):
+        odd = bytearray(data)
+        odd[local], odd[central + directory] = value, value
+        (folder / name).write_bytes(bytes(odd))
+
+    changed("locked.csv.zip", 6, 8, 1)  # encrypted
+    changed("method.csv.zip", 8, 10, 97)  # packed in a way that is not supported
+    with zipfile.ZipFile(folder / "no entry.csv.zip", "w"):
+        pass
+    (folder / "no gzip.json.gz").write_bytes(b"[]")
+    (folder / "bomb.json.gz").write_bytes(gzip.compress(b"[" + b" " * 30_000_000 + b'{"a_number": 3}' + b" " * 30_000_000))
+
+
+ODD = {
+    "deep.json": "RecursionError", "encoding.xml": "encoding", "bytes.xml": "ParseError", "bytes.json": "Unicode",
+    "locked.csv.zip": "RuntimeError", "method.csv.zip": "NotImplementedError", "no%20entry.csv.zip": "IndexError",
+    "no%20gzip.json.gz": "error", "bomb.json.gz": "ValueError",
+}
+
+
+def test_no_file_ends_a_crawl(spark, tree, tmp_path):
+    odd_files(tree / "cdr_subdir")
+    merged_dir = str(tmp_path / "final")
+    jobs.standardize_files(spark, str(tree), merged_dir)
+    report = {r.path.rsplit("/", 1)[1]: r for r in jobs.read_report(spark, merged_dir).collect()}
+    for name, said in ODD.items():
+        assert report[name].reason == "damaged" and report[name].records == 0 and said in report[name].detail, report[name]
+    assert report["a.json"].records == 1 and report["plain.csv.zip"].records == 1 and report["halves.json"].records == 1
+    rows = merged.read_merged(spark, merged_dir, CDR)
+    assert rows.count() == 12 + 2  # those of the tree, the wide one, the one with halves of signs
+
+
+def test_long_files_are_parsed_twice_in_bounded_memory(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(record_files, "HELD_ROWS", 10)
+    (tmp_path / "cdr.json").write_text(json.dumps([CALL] * 25_000))
+    (tmp_path / "cdr_cut.json").write_text(json.dumps([CALL] * 100)[:-1])
+    found = record_files.read_whole(spark, [str(tmp_path)], "json")
+    assert found.where("record is not null").count() == 25_000 and found.where("error is not null").count() == 1
 
 
 def test_zip(spark, tree):
