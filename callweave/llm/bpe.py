@@ -335,6 +335,12 @@ def _decoded(batches: Iterator[pa.RecordBatch], keep: list[str], out: str, path:
             yield _with(rows, keep, out, pa.array(texts, pa.string()))
 
 
+def _round_trip(batches: Iterator[pa.RecordBatch], keep: list[str], ids: str, out: str, path: str | None) -> Iterator[pa.RecordBatch]:
+    encoded = _encoded(batches, keep, ids, path)
+    twice = (pa.RecordBatch.from_arrays([*b.columns, b.columns[-1]], [*b.schema.names, "in"]) for b in encoded)
+    return _decoded(twice, [*keep, ids], out, path)
+
+
 def _mapped(df: DataFrame, step, column: str, out: str, kind: T.DataType, keep: list[str] | None, path: str | None) -> DataFrame:
     kept = [f for f in df.schema.fields if f.name.lower() != out.lower() and (keep is None or f.name in keep)]
     step = partial(step, keep=[f.name for f in kept], out=out, path=path)
@@ -351,3 +357,14 @@ def encode(docs: DataFrame, text: str = "text", out: str = "ids", keep: list[str
 def decode(docs: DataFrame, ids: str = "ids", out: str = "text", keep: list[str] | None = None, tokenizer: str | None = None) -> DataFrame:
     """``docs`` (of its columns ``keep``, or all) with the text of the token ids ``ids`` as ``out``."""
     return _mapped(docs, _decoded, ids, out, T.StringType(), keep, tokenizer)
+
+
+def round_trip(
+    docs: DataFrame, text: str = "text", ids: str = "ids", out: str = "decoded", keep: list[str] | None = None, tokenizer: str | None = None
+) -> DataFrame:
+    """``decode`` of ``encode`` in one pass of the same workers: ``docs`` with ``ids`` and ``out``."""
+    taken = {ids.lower(), out.lower()}
+    kept = [f for f in docs.schema.fields if f.name.lower() not in taken and (keep is None or f.name in keep)]
+    step = partial(_round_trip, keep=[f.name for f in kept], ids=ids, out=out, path=tokenizer)
+    schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(out, T.StringType())])
+    return docs.select(*(F.col(f"`{f.name}`") for f in kept), F.col(text).alias(free_name(docs, "in"))).mapInArrow(step, schema)

@@ -177,11 +177,11 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), keep=["doc_id"]))
+    found = bpe.round_trip(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -88,6 +88,9 @@ def test_odd_rows(spark, library):
     assert got == sorted((t or "", library.encode(t or "", add_special_tokens=False).ids, t or "") for t in texts)
     assert bpe.encode(docs.where("false")).columns == ["doc_id", "text", "ids"]
     assert bpe.decode(bpe.encode(docs.where("false"))).count() == 0
+    both = bpe.round_trip(docs)
+    assert both.columns == ["doc_id", "text", "ids", "decoded"]
+    assert sorted((r.text or "", r.ids, r.decoded) for r in both.collect()) == got
 
 
 def test_decoding_as_the_library_does(spark, library):
