@@ -66,11 +66,11 @@ def word_statistics(df: DataFrame, text: str = "text") -> DataFrame:
         bits_=F.expr("shiftleft(1L, cast(ceil(log2(greatest(size(words_), 2))) as int))"),
     )
     # each 3-word window as one number, hash above and position below, so that one
-    # sort of plain numbers brings equal windows together
+    # sort of plain numbers brings equal windows together; others may come along, the more the longer the text
     window = "(xxhash64(words_[i], words_[i + 1], words_[i + 2]) & -bits_) | cast(i as bigint)"
     out = once(
         out,
-        *(c for c in out.columns if c != "words_"),
+        *out.columns,
         windows_=F.expr(
             f"case when n_words < 4 then cast(array() as array<bigint>) else "
             f"sort_array(transform(sequence(0, cast(n_words as int) - 3), i -> {window})) end"
@@ -81,10 +81,22 @@ def word_statistics(df: DataFrame, text: str = "text") -> DataFrame:
         f"filter(windows_, (x, i) -> case when i > 0 and {same.format('-')} then true "
         f"when i < size(windows_) - 1 then {same.format('+')} else false end)"
     )
+    # only these are compared word by word
+    told = "named_struct('a', words_[p], 'b', words_[p + 1], 'c', words_[p + 2], 'p', p)"
     out = once(
         out,
         *(c for c in out.columns if c != "windows_"),
-        places_=F.expr(f"sort_array(transform({again}, x -> x & (bits_ - 1)))"),
+        alike_=F.expr(f"sort_array(transform(transform({again}, x -> cast(x & (bits_ - 1) as int)), p -> {told}))"),
+    )
+    equal = "(x.a = alike_[i {0} 1].a and x.b = alike_[i {0} 1].b and x.c = alike_[i {0} 1].c)"
+    repeated = (
+        f"filter(alike_, (x, i) -> case when i > 0 and {equal.format('-')} then true "
+        f"when i < size(alike_) - 1 then {equal.format('+')} else false end)"
+    )
+    out = once(
+        out,
+        *(c for c in out.columns if c not in ("alike_", "words_")),
+        places_=F.expr(f"sort_array(transform({repeated}, x -> cast(x.p as bigint)))"),
     )
     covered = F.expr(
         "aggregate(places_, named_struct('n', 0L, 'end', -1L), "

@@ -7,6 +7,8 @@ import brute
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from callweave.llm import decontamination, graph, quality, secrets, simhash
 from callweave.llm.queries import QUERIES
 
@@ -44,6 +46,18 @@ def test_statistics_of_odd_texts(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute.statistics(r.text)
 
 
+def test_statistics_of_very_long_texts(spark):
+    many = 5_000_000  # windows of so many words share the bits left beside their places
+    docs = spark.range(1).select(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(many)), lambda i: i.cast("string")), " ").alias("text"))
+    (row,) = quality.word_statistics(docs).drop("text").collect()
+    assert (row.n_words, row.n_repeat_words) == (many, 0)
+    rng = random.Random(11)
+    texts = [" ".join(hashlib.md5(str(rng.randrange(k)).encode()).hexdigest()[:2] for _ in range(20_000)) for k in (20, 40, 200, 30_000)]
+    rows = quality.word_statistics(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    for r in rows:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute.statistics(r.text)
+
+
 def words(rng, n, repeat=0.0, mark=""):
     return " ".join("".join(rng.choices("abcdefghij", k=rng.randint(3, 9))) + mark for _ in range(n))
 
