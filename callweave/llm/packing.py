@@ -13,8 +13,9 @@ whenever a queue runs dry, with the shares of those left. The last tokens, fewer
 form sequences of power-of-two lengths, so nothing is padded.
 
 Defined cases: null texts are empty and have the end token only; a null source is a queue of its
-own; repeated rows are rows of their own; an empty table gives no pieces; more than ``length``
-sources, which no window could hold together, are pooled by hash into that many queues.
+own; repeated rows are rows of their own; an empty table gives no pieces; with more sources than a window
+has tokens, a queue's deficit lets it pass over windows until a whole token is due. The plan holds one line per queue,
+so beyond ``MAX_QUEUES`` sources those without a target share that many queues, by hash; a target is never given up.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from pyspark.sql import types as T
 from callweave.llm.common import small, stored
 
 CACHED_WORDS = 250_000
+MAX_QUEUES = 4096
 
 
 # --------------------------------------------------------------------------
@@ -327,10 +329,10 @@ def pack(
     little-endian unsigned 32-bit. ``targets``: integer weights by source (sources without one come last)."""
     name = F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("null"))
     rows = docs.select(F.col(doc_id).alias("id"), name.alias("queue"), F.col(text).cast("string").alias("text"))
-    queues = rows.select("queue").distinct().count()
-    if queues > length:
-        rows = rows.withColumn("queue", F.pmod(F.xxhash64("queue"), F.lit(length)).cast("string"))
-        targets = None
+    named = {("null" if k is None else f"s{k}"): v for k, v in targets.items()} if targets else None
+    if rows.select("queue").distinct().count() > MAX_QUEUES:
+        shared = F.concat(F.lit("p"), F.pmod(F.xxhash64("queue"), F.lit(MAX_QUEUES)).cast("string"))
+        rows = rows.withColumn("queue", F.when(F.col("queue").isin(list(named)), F.col("queue")).otherwise(shared) if named else shared)
     schema = T.StructType(
         [
             rows.schema["id"], T.StructField("queue", T.StringType()), T.StructField("part", T.IntegerType()),
@@ -342,8 +344,7 @@ def pack(
     # few rows: one per task and queue
     before = F.sum("tokens").over(W.partitionBy("queue").orderBy("part").rowsBetween(W.unboundedPreceding, -1))
     bases = stored(parts.select("queue", "part", "tokens", F.coalesce(before, F.lit(0)).alias("base")), "packing-bases")
-    sizes = {r[0]: r[1] for r in bases.groupBy("queue").agg(F.sum("tokens")).collect()}  # at most ``length`` queues
-    named = {("null" if k is None else f"s{k}"): v for k, v in targets.items()} if targets else None
+    sizes = {r[0]: r[1] for r in bases.groupBy("queue").agg(F.sum("tokens")).collect()}  # at most MAX_QUEUES, and those with targets
     plan = phases(sizes, named, length)
     _, dtype = word_encoder(tokenizer)
     placed = tokens.join(small(bases.drop("tokens")), ["queue", "part"]).select(

@@ -59,6 +59,26 @@ def test_packing_of_odd_texts(spark):
     assert packing.pack(docs.where("false")).count() == 0
 
 
+def test_targets_hold_with_more_sources_than_a_window_has_tokens(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(["the", "of", "and"], k=60)), f"s{i % 20}", 0, 0, "") for i in range(400)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    targets = {f"s{k}": 50 if k == 3 else 5 for k in range(20)}
+    for bound in (4096, 4):  # shared queues are for sources without a target
+        monkeypatch.setattr(packing, "MAX_QUEUES", bound)
+        for length in (64, 16):
+            pieces = packing.pack(docs, length=length, targets=targets).collect()
+            assert_packed(pieces, {r[0]: r[1] for r in rows}, length)
+            first = [p for p in pieces if p.sequence_id < 192 // length]
+            got = Counter()
+            for p in first:
+                got[rows[p.doc_id][2]] += p.length
+            assert abs(got["s3"] - 192 * 50 / 145) <= 5 and all(abs(n - 192 * 5 / 145) <= 5 for s, n in got.items() if s != "s3"), (length, got)
+    pieces = packing.pack(docs, length=16, targets={"s3": 1}).collect()
+    assert_packed(pieces, {r[0]: r[1] for r in rows}, 16)
+    assert {rows[p.doc_id][2] for p in pieces if p.sequence_id < 60} == {"s3"}
+
+
 def test_windows_hold_the_target_shares(spark):
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choices(["the", "of", "and"], k=rng.randint(1, 90))), rng.choice("aaaabbc"), 0, 0, "") for i in range(400)]
