@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from callweave.llm.common import free_name
 
-KEPT_PIECES = 150_000
+KEPT_PIECES = 400_000
 KEPT_LENGTH = 64  # characters up to which a piece is kept
 SIDE_BY_SIDE = 64  # bytes up to which words are merged many at a time
 ROWS = 400  # texts encoded at a time
