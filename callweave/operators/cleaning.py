@@ -143,17 +143,17 @@ def clean_batch(
     return with_lineage(cleaned, batch_id, run_ts) if batch_id else cleaned
 
 
-def parse_messages(df: DataFrame, spec: RecordSpec, value: str = "value") -> DataFrame:
-    """JSON message bodies as columns; a body that is no such JSON gives nulls.
+def parse_messages(df: DataFrame, spec: RecordSpec, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """JSON message bodies as columns, after those of ``keep``; a body that is no such JSON gives nulls.
 
     The generator has each body parsed once. As a projection the parser would
     be copied into every later filter and column that reads a field.
     """
     body = F.from_json(F.col(value).cast("string"), spec.message_schema)
-    return df.select(F.inline(F.array(body)))
+    return df.select(*keep, F.inline(F.array(body)))
 
 
-def live_values(df: DataFrame, spec: RecordSpec, match: str = "casefold") -> DataFrame:
+def live_values(df: DataFrame, spec: RecordSpec, match: str = "casefold", keep: Sequence[str] = ()) -> DataFrame:
     """The live profile's value rules on parsed messages."""
 
     def value(field: str) -> Column:
@@ -168,7 +168,7 @@ def live_values(df: DataFrame, spec: RecordSpec, match: str = "casefold") -> Dat
             return category(c, spec.enums[field], ENUM_FALLBACK[field], match)
         return c
 
-    return df.select(*[value(f).alias(f) for f in spec.fields])
+    return df.select(*keep, *[value(f).alias(f) for f in spec.fields])
 
 
 def has_required(spec: RecordSpec, columns: list[str]) -> Column:
@@ -202,6 +202,16 @@ def clean_live(df: DataFrame, spec: RecordSpec, match: str = "casefold", value:
     )
 
 
+def dropped_messages(df: DataFrame, spec: RecordSpec, match: str = "casefold", value: str = "value") -> DataFrame:
+    """What ``clean_live`` leaves out, as ``(body, faults)``: the raw body and the columns at fault, with ``body`` itself
+    first among them where it is no JSON object."""
+    bodies = df.select(F.col(value).cast("string").alias("body"))
+    rows = parse_messages(bodies, spec, "body", ["body"]).transform(live_values, spec, match, ["body"])
+    foreign = F.from_json("body", "map<string,string>").isNull()
+    faults = F.when(foreign, F.concat(F.array(F.lit("body")), "faults")).otherwise(F.col("faults"))
+    return lacking_required(rows, spec).select("body", faults.alias("faults"))
+
+
 def published_values(df: DataFrame, spec: RecordSpec) -> DataFrame:
     """The publish profile on text rows: columns as they go into a message.
 

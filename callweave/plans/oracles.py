@@ -347,6 +347,7 @@ def _oracles() -> dict[str, str]:
             {shown} from ({live_values(kind, 'casefold')}) l) f where faults <> '' group by all"""
 
     sql["quarantine_live"] = per_kind(faults)
+    sql["stream_quarantine"] = sql["quarantine_live"]
     sql["message_key"] = per_kind(
         lambda k: f"select '{k}' as topic, coalesce({'caller_id' if k == 'cdr' else 'user_id'}, '') as key, rid"
         f" from ({raw_sql(k)}) n"

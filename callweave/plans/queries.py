@@ -42,7 +42,7 @@ from callweave.specs import (
     RecordSpec,
     spec_for,
 )
-from callweave.streaming import live, progress
+from callweave.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -694,21 +694,41 @@ def stream_fraud_alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_throughput(spark: SparkSession, sf: str) -> DataFrame:
-    """Messages read per topic, as the listener counts them while cleaning streams run."""
-    log = progress.ThroughputLog()
-    spark.streams.addListener(log)
-    try:
-        for kind, spec in SPECS.items():
-            messages = streams.file_messages(spark, landed_messages(spark, sf, kind))
-            sink = live.epoch_sink(work_path(spark, f"rate-{kind}"))
-            checkpoint = work_path(spark, f"checkpoint-rate-{kind}")
-            live.start_sink(cleaning.clean_live(messages, spec), sink, checkpoint, spec.topic, None).awaitTermination()
-        deadline = time.time() + 60  # events arrive on a thread of their own
-        while len(log.ended) < len(SPECS) and time.time() < deadline:
-            time.sleep(0.1)
-    finally:
-        spark.streams.removeListener(log)
-    return spark.createDataFrame(sorted(log.records.items()), "topic string, records long")
+    """Messages read per topic by cleaning streams that are stopped and started again, from the totals they keep."""
+    rows = []
+    for kind, spec in SPECS.items():
+        feed, target, totals, checkpoint = (work_path(spark, f"{label}-{kind}") for label in ("messages", "rate", "totals", "checkpoint"))
+        bodies = message_bodies(spark, sf, kind)
+        sink = live.split_sink(live.epoch_sink(target), spec, None, totals)
+        for part in (0, 1):
+            message_sinks.land_messages(bodies.where(F.abs(F.xxhash64("value") % 2) == part), feed)
+            messages = streams.file_messages(spark, feed)
+            kept = cleaning.clean_live(messages, spec)  # without de-duplication: every message counts
+            both = kept.unionByName(cleaning.dropped_messages(messages, spec), allowMissingColumns=True)
+            live.start_sink(both, sink, checkpoint, spec.topic, None).awaitTermination()
+        rows.append((spec.topic, sum(live.read_totals(spark, totals, checkpoint, spec.topic).values())))
+    return spark.createDataFrame(rows, "topic string, records long")
+
+
+def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """What live jobs drop, read back from the bodies they have kept, after a restart: as ``quarantine_live``."""
+    parts = []
+    for kind, spec in SPECS.items():
+        feed, target, dropped, checkpoint = (work_path(spark, f"{label}-{kind}") for label in ("messages", "live", "dropped", "checkpoint"))
+        bodies = message_bodies(spark, sf, kind)
+        for part in (0, 1):
+            message_sinks.land_messages(bodies.where(F.abs(F.xxhash64("value") % 2) == part), feed)
+            query = live.start_live(
+                streams.file_messages(spark, feed), spec, live.epoch_sink(target), checkpoint, interval=None, delay=None, quarantine=dropped
+            )
+            query.awaitTermination()
+        parsed = cleaning.parse_messages(live.read_quarantine(spark, dropped), spec, "body", ["faults"])
+        rows = cleaning.live_values(parsed, spec, keep=["faults"])
+        columns = F.array_join(F.array_remove("faults", "body"), ",")  # that a body is no JSON object shows in its columns, too
+        keys = [F.col(k).cast("string").alias(f"key_{i}") for i, k in enumerate(spec.keys)]
+        parts.append(rows.select(F.lit(kind).alias("record_type"), columns.alias("faults"), *keys))
+    found = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return quality.row_totals(found, *found.columns)
 
 
 # --------------------------------------------------------------------------
@@ -783,6 +803,7 @@ def _registry() -> dict[str, Query]:
         stream_restart,
         stream_fraud_alerts,
         stream_throughput,
+        stream_quarantine,
     ):
         found[query.__name__] = query
     return found

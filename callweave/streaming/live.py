@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from callweave.operators.cleaning import clean_live
+from callweave.operators.cleaning import clean_live, dropped_messages
 from callweave.operators.distinct import distinct_stream
 from callweave.sinks.tables import append_jdbc
 from callweave.specs import RecordSpec
@@ -32,6 +33,17 @@ def live_rows(
     return distinct_stream(cleaned, spec.event_time, delay, fold_first)
 
 
+def live_outputs(
+    messages: DataFrame, spec: RecordSpec, match: str = "casefold", delay: str | None = DELAY, fold_first: bool = True
+) -> DataFrame:
+    """``live_rows`` and, with null in every field, what cleaning leaves out with ``body`` and ``faults``.
+
+    One stream, so both go with the same epochs; the source is read for each of the two. Copies of dropped messages all
+    stay. Rows that come later than ``delay`` are refused by the watermark and are in neither."""
+    kept = live_rows(messages, spec, match, delay, fold_first)
+    return kept.unionByName(dropped_messages(messages, spec, match), allowMissingColumns=True)
+
+
 def _folders(spark: SparkSession, path: str) -> list[str]:
     there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -67,6 +79,44 @@ def read_epochs(spark: SparkSession, path: str, spec: RecordSpec) -> DataFrame:
         return spark.createDataFrame([], spec.table_schema)
 
 
+def split_sink(sink: BatchSink, spec: RecordSpec, quarantine: str | None, totals: str | None) -> BatchSink:
+    """Rows of ``live_outputs``: kept ones to ``sink``, dropped ones to the folder ``quarantine``, the numbers of
+    both to the folder ``totals``, the latter two per query and epoch as ``epoch_sink`` does."""
+    dropped = F.col("faults").isNotNull()
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
+        try:
+            sink(batch.where(~dropped).select(*spec.fields), epoch)
+            if quarantine:
+                epoch_sink(quarantine)(batch.where(dropped).select("body", "faults"), epoch)
+            if totals:
+                counts = batch.agg(F.count_if(~dropped).alias("kept"), F.count_if(dropped).alias("dropped"))
+                epoch_sink(totals)(counts, epoch)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """``(body, faults)`` of the messages a live job has dropped; none if it has not dropped any yet."""
+    schema = "body string, faults array<string>"
+    return spark.read.schema(schema).parquet(path).select("body", "faults") if _folders(spark, path) else spark.createDataFrame([], schema)
+
+
+def read_totals(spark: SparkSession, path: str, checkpoint: str, name: str) -> dict[str, int]:
+    """Records kept and dropped by a live job since its checkpoint began, over all its starts.
+
+    An epoch counts once the stream has committed it; what a failed one has written is replaced by its replay."""
+    commits = [int(n) for n in _folders(spark, f"{checkpoint.rstrip('/')}/{name}/commits") if n.isdigit()]
+    if not commits or not _folders(spark, path):
+        return {"kept": 0, "dropped": 0}
+    epochs = spark.read.schema("kept long, dropped long, epoch long").option("basePath", path).parquet(path)
+    row = epochs.where(F.col("epoch") <= max(commits)).agg(F.sum("kept").alias("kept"), F.sum("dropped").alias("dropped")).first()
+    return {k: v or 0 for k, v in row.asDict().items()}
+
+
 def jdbc_sink(url: str, table: str, options: dict[str, str]) -> BatchSink:
     """Append each micro-batch that holds rows (at least once: a replay appends again)."""
 
@@ -108,8 +158,15 @@ def start_live(
     match: str = "casefold",
     delay: str | None = DELAY,
     fold_first: bool = True,
+    quarantine: str | None = None,
+    totals: str | None = None,
 ) -> StreamingQuery:
     """The live job of one record type. Start one per type and wait on
-    ``spark.streams.awaitAnyTermination()``; they share the application."""
-    rows = live_rows(messages, spec, match, delay, fold_first)
-    return start_sink(rows, sink, checkpoint, spec.table, interval)
+    ``spark.streams.awaitAnyTermination()``; they share the application.
+
+    ``quarantine`` is a folder for the messages that cleaning drops (``read_quarantine``), ``totals`` one for
+    the numbers of records (``read_totals``); a checkpoint belongs to a job with both, either or none."""
+    if not quarantine and not totals:
+        return start_sink(live_rows(messages, spec, match, delay, fold_first), sink, checkpoint, spec.table, interval)
+    rows = live_outputs(messages, spec, match, delay, fold_first)
+    return start_sink(rows, split_sink(sink, spec, quarantine, totals), checkpoint, spec.table, interval)

@@ -46,6 +46,29 @@ def test_copies_across_batches_and_restart(spark, tmp_path):
     assert ids(spark, out) == ["e1", "e2", "e3", "e6"]
 
 
+def test_quarantine_and_totals_over_restarts(spark, tmp_path):
+    feed, out = str(tmp_path / "in"), str(tmp_path / "out")
+    places = {"quarantine": f"{out}/q", "totals": f"{out}/n"}
+    assert live.read_quarantine(spark, f"{out}/q").count() == 0
+    assert live.read_totals(spark, f"{out}/n", f"{out}/c", EDR.table) == {"kept": 0, "dropped": 0}
+    land(spark, feed, [body(1), body(1), "not json", "[1]", body(4, user=" ")])
+    run(spark, feed, out, **places)
+    assert live.read_totals(spark, f"{out}/n", f"{out}/c", EDR.table) == {"kept": 1, "dropped": 3}
+    land(spark, feed, [body(1), body(2), body(5, time="bad"), "not json"])
+    run(spark, feed, out, **places)
+    run(spark, feed, out, **places)  # nothing new
+    assert ids(spark, out) == ["e1", "e2"]
+    got = sorted((r.body, r.faults) for r in live.read_quarantine(spark, f"{out}/q").collect())
+    foreign = ["body", "event_id", "user_id", "event_time"]
+    assert got == sorted(
+        [("[1]", foreign), ("not json", foreign), ("not json", foreign), (body(4, user=" "), ["user_id"]), (body(5, time="bad"), ["event_time"])]
+    )
+    assert live.read_totals(spark, f"{out}/n", f"{out}/c", EDR.table) == {"kept": 2, "dropped": 5}
+    # an epoch that was written but never committed does not count yet
+    spark.createDataFrame([(9, 9)], "kept long, dropped long").write.parquet(f"{out}/n/query=x/epoch=99")
+    assert live.read_totals(spark, f"{out}/n", f"{out}/c", EDR.table) == {"kept": 2, "dropped": 5}
+
+
 def test_without_folding_first(spark, tmp_path):
     feed, out = str(tmp_path / "in"), str(tmp_path / "out")
     land(spark, feed, [body(1), body(1)])
