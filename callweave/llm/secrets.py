@@ -1,13 +1,18 @@
 """Secret scans: fixed patterns plus character Markov models.
 
 Two first-order models over characters, one of random strings and one of ordinary
-identifiers, are trained from labelled samples; a long run of token characters is a secret
-if the mean log-likelihood ratio of its transitions exceeds a threshold. All of it is
+identifiers, are trained from labelled samples: the values that the patterns find are random, and the distinct
+shorter runs of letters and digits of all texts are ordinary, each once and also in capitals, with a capital, and doubled with a
+capital between, as identifiers are put together. A long run of token characters is a secret if the mean log-likelihood ratio of
+its transitions exceeds a threshold, which is chosen on samples that the models have not seen. Transitions say nothing that lead
+to or from a sign between words, from digit to digit, or to the same character, and a run needs ``MIN_SCORED`` that do: so rules of hyphens,
+numbers, dates and paths are no secrets. UUIDs are none by their shape. All of it is
 Column functions: places of matches come from the pieces between them, so no Python runs on rows.
 
-Defined cases: null and empty texts have no spans; a text that is one match is one span; a model
-trained from no samples is uniform, so that with no samples at all nothing is added to the
-patterns. Only a row's key columns and text travel; other columns may have any names.
+Defined cases: null and empty texts have no spans; a text that is one match is one span; a model trained from no samples is
+uniform, so that with no samples at all nothing is added to the
+patterns. A run that lies within one span of the patterns adds nothing; one that goes beyond it is judged as a whole.
+Only a row's key columns and text travel; other columns may have any names.
 """
 
 from __future__ import annotations
@@ -28,11 +33,17 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"  # the 4 letters and 16 more; a shorter run holds
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "markov")
 
-#: Characters the models know; all others are one more symbol, numbered 0.
-ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=.-"
+#: Characters the models know; all others are one more symbol, numbered 0. Digits come last.
+ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 SIZE = len(ALPHABET) + 1
+FIRST_DIGIT = ALPHABET.index("0") + 1
 MIN_RUN = 20
+MIN_SCORED = 8
 CANDIDATE = r"[A-Za-z0-9+/_=-]{" + str(MIN_RUN) + ",}"
+ORDINARY = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9]{4," + str(MIN_RUN - 1) + r"}(?![A-Za-z0-9+/_=-])"
+UUID = "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
+#: Where there are too few samples to choose, and the least that is chosen.
+DEFAULT_THRESHOLD, LEAST_THRESHOLD = 2.0, 1.0
 
 SPAN = "struct<start:bigint,kind:int,end:bigint>"
 NO_SPANS = f"cast(array() as array<{SPAN}>)"
@@ -44,7 +55,7 @@ def _quoted(pattern: str) -> str:
 
 def base_spans(df: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     """``keep`` with ``assign``, ``access``, ``hex`` (arrays of spans), ``values`` (the secrets
-    themselves) and ``runs`` (long runs of token characters outside the spans, with their text)."""
+    themselves) and ``runs`` (long runs of token characters that lie within no span, with their text)."""
     rows = once(df, *keep, t_=text_or_empty(text))
     none = F.expr("cast(array() as array<string>)")
     has = {
@@ -86,7 +97,7 @@ def base_spans(df: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     rows = once(rows, *keep, "assign", "access", "hex", "values", "runs_m", "runs_all", base=F.concat("assign", "access", "hex"))
     free = (
         "filter(transform(runs_all, (x, i) -> named_struct('start', x.start, 'end', x.end, 'run', runs_m[i])), "
-        "x -> not exists(base, b -> b.start < x.end and x.start < b.end))"
+        f"x -> not exists(base, b -> b.start <= x.start and x.end <= b.end) and not x.run rlike '{UUID}')"
     )
     return rows.select(*keep, "assign", "access", "hex", "values", "base", F.expr(free).alias("runs"))
 
@@ -99,10 +110,16 @@ def _codes(value: str) -> str:
     return f"transform(filter(split({value}, ''), c -> c <> ''), c -> cast(instr('{ALPHABET}', c) as int))"
 
 
+def neutral(a: int, b: int) -> bool:
+    """Does a transition between these two numbers of characters say nothing?"""
+    return not a or not b or a == b or (a >= FIRST_DIGIT and b >= FIRST_DIGIT)
+
+
 def train_models(samples: DataFrame, random: str = "random", value: str = "value", prior: float = 20.0) -> list[float]:
-    """Log-likelihood ratio, random against ordinary, of each transition (row-wise, SIZE by SIZE).
+    """Log-likelihood ratio, random against ordinary, of each transition (row-wise, SIZE by SIZE; 0: says nothing).
 
-    Transitions are smoothed towards the model's single characters, as much as ``prior`` observations.
+    Transitions are smoothed towards the model's single characters, as much as ``prior`` observations; the random model
+    is half uniform, since secrets of other alphabets than those of the samples are random, too.
     ``samples`` holds a boolean ``random`` and the string. The table that reaches the driver has
     one row per model and transition, whatever the number of samples."""
     known = samples.where(F.col(random).isNotNull() & F.col(value).isNotNull())
@@ -112,45 +129,90 @@ def train_models(samples: DataFrame, random: str = "random", value: str = "value
     )
     counts = {(r[0], r[1]): r[2] for r in pairs.groupBy(random, "pair").count().collect()}
 
-    def log_share(model: bool) -> list[float]:
-        rows = [[counts.get((model, a * SIZE + b), 0) for b in range(SIZE)] for a in range(SIZE)]
+    def shares(model: bool) -> list[float]:
+        rows = [[0 if neutral(a, b) else counts.get((model, a * SIZE + b), 0) for b in range(SIZE)] for a in range(SIZE)]
         seen = [sum(row[b] for row in rows) for b in range(SIZE)]
         single = [(n + 1) / (sum(seen) + SIZE) for n in seen]
-        return [math.log((n + prior * p) / (sum(row) + prior)) for row in rows for n, p in zip(row, single)]
+        return [(n + prior * p) / (sum(row) + prior) for row in rows for n, p in zip(row, single)]
+
+    if not counts:
+        return [0.0] * SIZE**2
+    ratios = (math.log((r + 1 / SIZE) / 2 / o) for r, o in zip(shares(True), shares(False)))
+    return [0.0 if neutral(*divmod(k, SIZE)) else x for k, x in enumerate(ratios)]
+
+
+def labelled_samples(rows: DataFrame, texts: DataFrame, text: str = "text") -> DataFrame:
+    """``(random, value, seen)`` from the ``values`` of ``base_spans`` and all texts; the models are trained on those ``seen``.
+
+    Words are brought down to the distinct ones before anything is counted."""
+    values = rows.select(F.explode("values").alias("value")).distinct()
+    words = texts.select(F.explode(F.regexp_extract_all(text_or_empty(text), F.lit(ORDINARY), F.lit(0))).alias("value"))
+    words = words.distinct().join(values, "value", "left_anti").where(~F.col("value").rlike("^[0-9]+$"))
+    seen = (F.pmod(F.xxhash64("value"), F.lit(5)) > 0).alias("seen")
+    named = words.select(F.lit(False).alias("random"), "value", seen).unionByName(values.select(F.lit(True).alias("random"), "value", seen))
+    return stored(named, "secrets-samples")
+
+
+def _forms(samples: DataFrame) -> DataFrame:
+    """Ordinary samples as they occur in identifiers."""
+    title = F.initcap("value")
+    forms = F.when(F.col("random"), F.array("value")).otherwise(
+        F.array_distinct(F.array(F.col("value"), F.upper("value"), title, F.concat(F.col("value"), title)))
+    )
+    return samples.select("random", F.explode(forms).alias("value"))
+
+
+def _as_runs(samples: DataFrame) -> DataFrame:
+    """Ordinary samples put together, as long runs hold several words."""
+    title = F.initcap("value")
+    return samples.select("random", F.when(F.col("random"), F.col("value")).otherwise(F.concat_ws("_", "value", title, F.upper("value"))).alias("value"))
 
-    return [r - o for r, o in zip(log_share(True), log_share(False))]
+
+def choose_threshold(unseen: DataFrame, table: list[float]) -> float:
+    """A quarter of the way from the score that one in a thousand ordinary samples exceeds to that which one in twenty
+    random ones falls short of: nearer to the ordinary side, as secrets of other alphabets score lower than the samples."""
+    scored = unseen.select("random", _score(F.col("value"), table).alias("score"))
+    row = scored.agg(
+        F.percentile_approx(F.when(~F.col("random"), F.col("score")), 0.999, 10_000).alias("o"),
+        F.percentile_approx(F.when(F.col("random"), F.col("score")), 0.05, 10_000).alias("r"),
+    ).first()
+    if row.o is None or row.r is None or row.r <= row.o:
+        return DEFAULT_THRESHOLD
+    return max(LEAST_THRESHOLD, row.o + (row.r - row.o) / 4)
 
 
 def find_secrets(
-    df: DataFrame, *keep: str, text: str = "text", samples: DataFrame | None = None, threshold: float = 0.5,
+    df: DataFrame, *keep: str, text: str = "text", samples: DataFrame | None = None, threshold: float | None = None,
 ) -> DataFrame:
     """``keep`` and ``spans``: array of (start, kind, end) by start, then kind, ``base`` those of the patterns.
 
     ``samples`` (random, value) train the models; without them, the values the patterns find are
-    the random strings and the words of all texts the ordinary ones."""
+    the random strings and the shorter runs of all texts the ordinary ones."""
     rows = stored(base_spans(df, *keep, text=text), "secrets")
     if samples is None:
-        words = df.select(F.explode(F.regexp_extract_all(text_or_empty(text), F.lit(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z_]{4,}(?![A-Za-z0-9+/_=-])"), F.lit(0))).alias("value"))
-        samples = words.select(F.lit(False).alias("random"), "value").unionByName(
-            rows.select(F.lit(True).alias("random"), F.explode("values").alias("value"))
-        )
-    table = train_models(samples)
-    scored = once(rows, *keep, "assign", "access", "hex", "base", found=F.filter("runs", lambda x: _exceeds(x, table, threshold)))
+        named = labelled_samples(rows, df, text)
+        table = train_models(_forms(named.where("seen")))
+        unseen = _as_runs(named.where("not seen"))
+    else:
+        unseen = F.pmod(F.xxhash64("value"), F.lit(5)) == 0
+        table, unseen = train_models(samples.where(~unseen)), samples.where(unseen)
+    limit = choose_threshold(unseen, table) if threshold is None else threshold
+    scored = once(rows, *keep, "assign", "access", "hex", "base", found=F.filter("runs", lambda x: _score(x["run"], table) > limit))
     spans = "array_sort(concat(base, transform(found, x -> named_struct('start', x.start, 'kind', 3, 'end', x.end))))"
     return scored.select(*keep, "assign", "access", "hex", F.expr("array_sort(base)").alias("base"), F.expr(spans).alias("spans"))
 
 
-def _exceeds(run: Column, table: list[float], threshold: float) -> Column:
+def _score(run: Column, table: list[float]) -> Column:
+    """Mean ratio of the transitions that say something; null if they are too few."""
     numbers = F.split(F.lit(",".join(f"{x:.6g}" for x in table)), ",").cast("array<double>")
-    codes = F.transform(
-        F.filter(F.split(run["run"], ""), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c).cast("int")
-    )
+    codes = F.transform(F.filter(F.split(run, ""), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c).cast("int"))
     place = F.transform(
-        F.slice(F.arrays_zip(codes.alias("a"), F.slice(codes, 2, 1 << 30).alias("b")), 1, F.size(codes) - 1),
+        F.slice(F.arrays_zip(codes.alias("a"), F.slice(codes, 2, 1 << 30).alias("b")), 1, F.greatest(F.size(codes) - 1, F.lit(0))),
         lambda p: numbers[p["a"] * SIZE + p["b"]],
     )
-    total = F.aggregate(place, F.lit(0.0), lambda a, x: a + x)
-    return total > threshold * (F.size(codes) - 1)
+    start = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"))
+    add = lambda a, x: F.struct((a["s"] + x).alias("s"), (a["n"] + F.when(x != 0, 1).otherwise(0)).alias("n"))
+    return F.aggregate(place, start, add, lambda a: F.when(a["n"] >= MIN_SCORED, a["s"] / a["n"]))
 
 
 def spans_text(spans: str) -> Column:

@@ -169,12 +169,38 @@ def test_base_spans_match_brute_force(spark, sf_dir):
         assert [s for s in r.spans.split(",") if s and not s.startswith("markov")] == want
 
 
-def test_ordinary_words_of_all_texts_are_counted(spark, monkeypatch):
+def test_ordinary_words_of_all_texts_are_counted(spark):
     docs = spark.range(12_000).selectExpr("id", "concat('plain words ', translate(cast(id as string), '0123456789', 'abcdefghij'), 'xxxx') as text")
-    train, seen = secrets.train_models, []
-    monkeypatch.setattr(secrets, "train_models", lambda samples: seen.append(samples) or train(samples))
     assert secrets.find_secrets(docs, "id").where("size(spans) > 0").count() == 0
-    assert seen[0].where("not random").count() == 3 * 12_000
+    samples = secrets.labelled_samples(secrets.base_spans(docs, "id"), docs)
+    assert samples.where("not random").count() == 12_002 and samples.where("random").count() == 0  # each distinct word, no sample of them
+    assert 0.75 < samples.where("seen").count() / 12_002 < 0.85
+
+
+PLAIN = [
+    "-" * 30, "=" * 40, "x" * 40, "/usr/local/lib/python/site-packages/numpy", "/2021/03/14/how-to-build-a-better-search-engine",
+    "550e8400-e29b-41d4-a716-446655440000", "2024-01-15T10-20-30-000000Z", "node-v12-linux-x64-build-release",
+    "COVID-19-related-mortality-2020-2021", "12345678901234567890", "getElementByIdFromDocumentTree", "MAX_CONNECTION_RETRY_COUNT",
+    "src/main/java/org/example/ServiceFactory", "utm_source=newsletter_weekly_edition", "/wiki/History_of_the_United_States",
+]
+
+
+def test_plain_strings_are_spared_and_random_ones_found(spark, sf_dir):
+    """The models are trained on the tables alone; none of these strings is labelled."""
+    rng = random.Random(5)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alphabets = [lower + upper + digits, lower + upper + digits + "+/", lower + upper + digits + "-_", upper + "234567", lower + digits]
+    hidden = ["".join(rng.choices(alphabets[k % 5], k=rng.choice([24, 32, 40, 64]))) for k in range(100)]
+    part = "".join(rng.choices(lower + upper + digits, k=30)) + "g" + "0123456789abcdef" * 2 + "Z" + "".join(rng.choices(upper + digits, k=30))
+    rows = [(-1 - k, f"see {x} for more") for k, x in enumerate(PLAIN)] + [(-1000 - k, f"value {x} here") for k, x in enumerate(hidden)]
+    rows.append((-5000, f"é {part}."))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r.doc_id: r.spans for r in secrets.find_secrets(docs, "doc_id").collect()}
+    assert [x for k, x in enumerate(PLAIN) if found[-1 - k]] == []
+    assert sum(any(s.kind == 3 for s in found[-1000 - k]) for k in range(100)) >= 95
+    assert (2, 3, 2 + len(part)) in [tuple(s) for s in found[-5000]]  # all of it, not only its hexadecimal digits
+    clean = {r.doc_id: r.text for r in secrets.redact_secrets(docs).where("doc_id < 0").collect()}
+    assert clean[-5000] == "é [secret]." and clean[-2] == rows[1][1]
 
 
 def test_spans_of_odd_texts(spark):
