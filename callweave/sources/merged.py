@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callweave.operators.naming import name_positional
+from callweave.sources import splits
 from callweave.sources.listing import existing
 from callweave.specs import RecordSpec
 
@@ -24,6 +25,14 @@ def _odd_quotes(lines: DataFrame) -> DataFrame:
     return lines.where(quotes % 2 == 1)
 
 
+def _split_rows(spark: SparkSession, path: str, header: bool) -> DataFrame:
+    """Rows of a file with quoted line ends, read in splits whose states are known."""
+    columns = _flat(spark, header, True).csv(path).columns  # of the first record; no row is read
+    found = splits.split_records(lambda separator: spark.read.option("lineSep", separator).text(path), splits.CsvLines)
+    rows = found.where("not first") if header else found
+    return rows.select(*(F.get("record", F.lit(k)).alias(c) for k, c in enumerate(columns)))
+
+
 def read_merged(
     spark: SparkSession, source: str, spec: RecordSpec, header: bool | None = None, multi_line: bool | None = None
 ) -> DataFrame:
@@ -31,16 +40,16 @@ def read_merged(
 
     No type inference, hence no extra scan. Without header the columns take
     the table's names by position; unless ``header`` says so, a first line without a single
-    known name is taken for data. Files split unless some line holds an odd number of
-    quotes, so that a quoted value may run over a line end; ``multi_line`` says so beforehand
-    and saves that look at the lines.
+    known name is taken for data. Files split in any case; if some line holds an odd number of
+    quotes, so that a quoted value may run over a line end, the state of each split is found first.
+    ``multi_line`` says so beforehand and saves that look at the lines.
     """
     missing: AnalysisException | None = None
     for name in spec.merged_files:
         path = f"{source.rstrip('/')}/{name}"
         try:
             breaks = not _odd_quotes(spark.read.text(path)).isEmpty() if multi_line is None else multi_line
-            rows = _flat(spark, header is not False, breaks).csv(path)
+            rows = _split_rows(spark, path, header is not False) if breaks else _flat(spark, header is not False, False).csv(path)
         except AnalysisException as gone:
             if gone.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -49,7 +58,9 @@ def read_merged(
         known = {*spec.fields, *spec.name_lookup(legacy=True)}
         if header or (header is None and known & set(rows.columns)):
             return rows
-        return name_positional(rows if header is False else _flat(spark, False, breaks).csv(path), spec)
+        if header is not False:
+            rows = _split_rows(spark, path, False) if breaks else _flat(spark, False, False).csv(path)
+        return name_positional(rows, spec)
     raise missing
 
 

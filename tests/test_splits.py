@@ -9,7 +9,7 @@ import zipfile
 
 import pytest
 
-from callweave.sources import content, record_files, splits
+from callweave.sources import content, merged, record_files, splits
 from callweave.specs import CDR
 
 
@@ -184,3 +184,20 @@ def test_long_json_records_come_in_chunks():
     assert len(got[0]["a"]) == 3_000_000 and got[1]["b"].startswith("[") and got[2]["c"] == "\\u12"
     assert [dict(r) for r in content.json_records(iter([json.dumps([{"é": "ü"}], ensure_ascii=False).encode("utf-16")]))] == [{"é": "ü"}]
     assert [dict(r) for r in content.json_records(iter([b'[{"a": "\\ud800x"}]']))] == [{"a": "�x"}]
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_merged_files_with_quoted_breaks_split(spark, tmp_path, tiny_splits, header):
+    rng = random.Random(12)
+    text = random_csv(rng, 120)
+    body = text if header else text.split("\n", 1)[1]
+    (tmp_path / CDR.merged_files[0]).write_text(body, encoding="utf-8", newline="")
+    rows = [r for r in csv.reader(io.StringIO(body, newline="")) if r][header:]
+    found = merged.read_merged(spark, str(tmp_path), CDR)
+    width = len(found.columns)
+    assert found.columns == (["caller_id", "location", "imei"] if header else list(CDR.fields[:width]))
+    got = [tuple(r) for r in found.collect()]
+    want = [tuple((r[k] or None) if k < len(r) else None for k in range(width)) for r in rows]
+    key = lambda r: tuple(v or "" for v in r)
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert spark.read.option("lineSep", "\n").text(str(tmp_path)).rdd.getNumPartitions() > 3
