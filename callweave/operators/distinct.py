@@ -43,6 +43,18 @@ def fold_copies(df: DataFrame) -> DataFrame:
     return df.mapInArrow(partial(_fold_batches, columns=df.columns), df.schema)
 
 
+#: Columns of ``with_row_key``.
+ROW_KEY = ("_key_high", "_key_low")
+
+
+def with_row_key(df: DataFrame) -> DataFrame:
+    """``df`` with 128 bits that stand for the whole row, nulls included, in two columns."""
+    # the hash passes over nulls, so whether there is one is a value of its own
+    values = [part for c in df.columns for part in (F.col(c).isNull(), F.col(c))]
+    high, low = F.xxhash64(F.lit("high"), *values), F.xxhash64(F.lit("low"), *values)
+    return df.withColumns(dict(zip(ROW_KEY, (high, low))))
+
+
 def distinct_stream(
     df: DataFrame,
     event_time: str | None = None,
@@ -51,14 +63,15 @@ def distinct_stream(
 ) -> DataFrame:
     """One of each row across the micro-batches of a stream.
 
+    The state holds 128 bits for each row seen, not the row (and, with ``delay``, when it may go).
     Without ``delay`` every row ever seen stays in the state store and late
     rows are never refused. With ``delay`` the state of a row is let go once
     the watermark on ``event_time`` passes it, and rows later than that are
     dropped: bounded state for streams that run for months.
     """
-    rows = fold_copies(df) if fold_first else df
-    if delay is None:
-        return rows.dropDuplicates()
-    if event_time is None:
+    if delay is not None and event_time is None:
         raise ValueError("a delay needs the event-time column")
-    return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark()
+    rows = with_row_key(fold_copies(df) if fold_first else df)
+    if delay is None:
+        return rows.dropDuplicates(list(ROW_KEY)).drop(*ROW_KEY)
+    return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(ROW_KEY)).drop(*ROW_KEY)

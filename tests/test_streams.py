@@ -1,3 +1,4 @@
+import random
 import time
 
 import pytest
@@ -69,6 +70,29 @@ def test_quarantine_and_totals_over_restarts(spark, tmp_path):
     assert live.read_totals(spark, f"{out}/n", f"{out}/c", EDR.table) == {"kept": 2, "dropped": 5}
 
 
+def test_state_holds_keys_not_rows(spark, tmp_path):
+    feed = str(tmp_path / "in")
+    rng = random.Random(1)
+    land(spark, feed, [body(i, user=f"{rng.getrandbits(1600):x}") for i in range(2000)])
+
+    def state_bytes(name, step):
+        rows = cleaning.clean_live(streams.file_messages(spark, feed), EDR)
+        live.start_sink(step(rows), live.epoch_sink(str(tmp_path / f"t{name}")), str(tmp_path / f"c{name}"), "q", None).awaitTermination()
+        assert spark.read.parquet(str(tmp_path / f"t{name}")).count() == 2000
+        return sum(f.stat().st_size for f in (tmp_path / f"c{name}" / "q" / "state").rglob("*") if f.is_file())
+
+    whole = state_bytes("whole", lambda df: df.dropDuplicates())
+    keys = state_bytes("keys", lambda df: distinct.distinct_stream(df))
+    bounded = state_bytes("bounded", lambda df: distinct.distinct_stream(df, "event_time", "2 days"))
+    assert keys < whole / 2 and bounded < whole / 2
+
+
+def test_row_keys_tell_nulls_apart(spark):
+    rows = spark.createDataFrame([("a", None, 1), (None, "a", 1), (None, None, None), ("", None, 1), ("a", "", 1)], "x string, y string, z int")
+    keys = distinct.with_row_key(rows.unionByName(rows)).select(*distinct.ROW_KEY).collect()
+    assert len(set(keys)) == 5 and len({k[0] for k in keys} | {k[1] for k in keys}) == 10
+
+
 def test_without_folding_first(spark, tmp_path):
     feed, out = str(tmp_path / "in"), str(tmp_path / "out")
     land(spark, feed, [body(1), body(1)])
