@@ -4,7 +4,8 @@ Documents of equal text form a group that stays together. Groups go to shards in
 order of their bytes, each to the least-loaded shard. The schedule depends on the multiset of
 groups alone, so it runs over classes (document size, copies) with their counts: for a class of
 many equal groups the heap's choices follow from the shards' loads in closed form.
-Classes are few: distinct sizes of texts summing to B bytes number at most about sqrt(2 B).
+Classes are few: distinct sizes of texts summing to B bytes number at most about sqrt(2 B). They pass through the
+driver in order as a stream and are not held there.
 Ranks of groups in a class are counted in salted pieces and copies of a group per task of the
 table, so neither a frequent size nor a group with a large share of all rows meets in one task.
 
@@ -15,14 +16,17 @@ empty table gives no rows; ties go to the lower shard.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from callweave.llm.common import small, stored, text_or_empty
+from callweave.session import work_path
 
+PLAN_ROWS = 50_000  # classes written at a time
 PIECE = 20_000  # rows of one key that are numbered together
 
 
@@ -59,23 +63,35 @@ def deal_equal(loads: list[int], weight: int, many: int) -> list[int]:
     return got
 
 
-def schedule(classes: pd.DataFrame, shards: int) -> pd.DataFrame:
-    """Per class (size, copies, groups): the first rank and the first slot of each shard."""
-    ordered = classes.assign(weight=classes["size"] * classes["copies"]).sort_values(
-        ["weight", "size"], ascending=[False, False], kind="stable"
-    )
-    loads, slots, first, base = [0] * shards, [0] * shards, [], []
-    for size, copies, groups in zip(ordered["size"].tolist(), ordered["copies"].tolist(), ordered["groups"].tolist()):
+def schedule(classes: Iterable[tuple[int, int, int]], shards: int) -> Iterator[tuple[int, int, int, list[int], list[int]]]:
+    """Classes (size, copies, groups), in falling order of a group's bytes, with the first rank and the first slot of
+    each shard. What is held is one number of bytes and of rows per shard, however many classes there are."""
+    loads, slots = [0] * shards, [0] * shards
+    for size, copies, groups in classes:
         got = deal_equal(loads, size * copies, groups)
-        at, ranks = 0, []
-        base.append(list(slots))
+        base, at, ranks = list(slots), 0, []
         for k, n in enumerate(got):
             ranks.append(at)
             at += n
             loads[k] += n * size * copies
             slots[k] += n * copies
-        first.append(ranks)
-    return ordered.drop(columns="weight").assign(first=first, base=base)
+        yield size, copies, groups, ranks, base
+
+
+def _planned(classes: DataFrame, shards: int) -> DataFrame:
+    """The schedule as a table. Sorted classes pass through the driver as a stream, part by part, and are written in
+    parts of ``PLAN_ROWS``."""
+    spark = classes.sparkSession
+    path = work_path(spark, "sharding-plan")
+    schema = "size long, copies long, groups long, first array<long>, base array<long>"
+    weight = F.col("size") * F.col("copies")
+    ordered = stored(classes, "sharding-classes").orderBy(weight.desc(), F.col("size").desc())
+    dealt = schedule((tuple(r) for r in ordered.select("size", "copies", "groups").toLocalIterator()), shards)
+    part = list(islice(dealt, PLAN_ROWS))
+    spark.createDataFrame(part, schema).write.parquet(path)
+    while part := list(islice(dealt, PLAN_ROWS)):
+        spark.createDataFrame(part, schema).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def _numbered(df: DataFrame, keys: list[str], many: Column, order: str, out: str, label: str) -> DataFrame:
@@ -109,12 +125,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", te
     parts = stored(rows.groupBy("key", "part").agg(F.min("size").alias("size"), F.count(F.lit(1)).alias("n")), "sharding-parts")
     groups = stored(parts.groupBy("key").agg(F.min("size").alias("size"), F.sum("n").alias("copies")), "sharding-groups")
     classes = groups.groupBy("size", "copies").agg(F.count(F.lit(1)).alias("groups"))
-    plan = schedule(classes.toPandas(), shards)
-    plan = docs.sparkSession.createDataFrame(
-        [tuple(r) for r in plan.itertuples(index=False)],
-        "size long, copies long, groups long, first array<long>, base array<long>",
-    )
-    plan = small(stored(plan, "sharding-plan"))
+    plan = small(_planned(classes, shards))
     ranked = _numbered(groups.join(plan, ["size", "copies"]), ["size", "copies"], F.col("groups"), "key", "rank", "sharding-ranks")
     shard = F.size(F.filter("first", lambda x: x <= F.col("rank"))) - 1
     placed = ranked.withColumn("shard", shard).select(

@@ -217,6 +217,7 @@ def test_classes_are_dealt_as_by_the_heap(seed):
 
 
 def test_shards(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(sharding, "PLAN_ROWS", 7)
     monkeypatch.setattr(sharding, "PIECE", 3)  # so that ranks and copies are numbered in many pieces
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = QUERIES["op7_sharding"](spark, sf_dir).collect()
