@@ -74,6 +74,47 @@ def test_outliers_go_and_clean_rows_stay(spark):
     assert {r.doc_id for r in kept.collect()} == {r[0] for r in clean + few}
 
 
+def brute_covariance(x, fit, part=0.75, steps=4, ridge=0.1, share=0.999999):
+    """Squared distances of all rows of ``x`` from the estimate of least determinant over the rows ``fit``; numpy only."""
+    def quantile(v, q):
+        return np.sort(v)[max(int(np.ceil(q * len(v))) - 1, 0)]
+
+    names = list(quality.FLOORS)
+    middle = np.array([quantile(v, 0.5) for v in x[fit].T])
+    unit = np.array([max(1.4826 * quantile(np.abs(v - m), 0.5), quality.FLOORS[n]) for n, v, m in zip(names, x[fit].T, middle)])
+    y = (x - middle) / unit
+    found = []
+    for start in (0, 1):
+        d2 = (y[fit][:, start:] ** 2).sum(1)
+        for _ in range(steps + 1):
+            chosen = y[fit][d2 <= quantile(d2, part)]
+            centre = chosen.mean(0)
+            scatter = np.cov(chosen.T, bias=True) * (1 - ridge) + ridge * np.eye(len(names))
+            inverse = np.linalg.inv(scatter)
+            d2 = np.einsum("ij,jk,ik->i", y[fit] - centre, inverse, y[fit] - centre)
+        found.append((np.linalg.slogdet(scatter)[1], start, centre, inverse, quantile(d2, 0.5)))
+    _, _, centre, inverse, half = min(found, key=lambda f: f[:2])
+    distance = np.einsum("ij,jk,ik->i", y - centre, inverse, y - centre) / max(half / quality.chi_square(5, 0.5), 1.0)
+    return distance, distance <= quality.chi_square(5, share)
+
+
+def test_distances_match_brute_force(spark):
+    rng = random.Random(21)
+    texts = [words(rng, rng.randint(20, 300), rng.choice([0, 0, 0.3]), rng.choice(["", "", "", "#|"])) for _ in range(300)]
+    texts += [texts[0]] * 5 + [None, ""]  # ties and rows without words
+    docs = spark.createDataFrame([(k, t, "en" if k % 2 else None, "web") for k, t in enumerate(texts)], "k int, text string, lang string, source string")
+    stats = quality.word_statistics(docs).withColumns({f"x_{n}": c for n, c in quality.statistic_vector().items()})
+    rows = sorted(quality.covariance_outliers(quality.word_statistics(docs)).collect(), key=lambda r: r.k)
+    given = sorted(stats.collect(), key=lambda r: r.k)
+    for lang in ("en", None):
+        own = [r for r in given if r.lang == lang]
+        x = np.array([[r[f"x_{n}"] for n in quality.FLOORS] for r in own])
+        distance, fine = brute_covariance(x, np.array([not r.base_failed for r in own]))
+        for r, d, f in zip(own, distance, fine):
+            assert abs(rows[r.k].distance2 - d) <= 1e-6 * max(1, d) and rows[r.k].kept == (bool(f) and not r.base_failed)
+    assert any(not r.kept and not r.base_failed for r in rows) or all(r.distance2 < 37.6 for r in rows if not r.base_failed)
+
+
 def test_quality_of_nothing(spark):
     assert quality.keep_quality(odd_docs(spark).where("false")).count() == 0
     assert quality.keep_quality(odd_docs(spark)).count() == 0
