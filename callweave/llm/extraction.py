@@ -42,7 +42,10 @@ _CLASSED, _INNER = -1, -2  # while a page is read: named by class or id alone, a
 
 _PARTS = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|noscript|template|svg|iframe|select|button)\b.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|textarea|title)\b.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?:svg|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
+    # the rest is raw only if it is closed, before another of its kind begins
+    r"|<(?P<held>noscript|template|svg|iframe|select|button)\b[^<]*(?:<(?!/?(?P=held)\b)[^<]*)*</(?P=held)\s*>"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[a-zA-Z/!?][^>]*(?:>|\Z)"
     r"|(?P<text><|[^<]+)",
@@ -75,6 +78,8 @@ def _named(value: str) -> bool:
 
 def _zone(tag: str, rest: str, around: int, inside: bool) -> int:
     """Zone of a container in a zone ``around``; ``inside``: some container around is an article."""
+    if tag == "form" and not inside and around != NAMED:
+        return _CLASSED  # some pages are one form, with their article in it
     if around == NAMED or tag in _NAMED_TAGS:
         return NAMED
     main, classed = tag in ("article", "main"), False
@@ -131,8 +136,6 @@ def page_blocks(html: str | None) -> list[tuple[int, str]]:
             elif tag in _CONTAINERS and not m["rest"].endswith("/"):
                 inside = any(z in (MAIN, _INNER) for _, z in stack)
                 stack.append((tag, _zone(tag, m["rest"], stack[-1][1], inside)))
-        elif m["raw"]:
-            pass
     end()
     # an article in a container that only a class or id names is the text of a page without any other
     inner = NAMED if any(z == MAIN for z, _ in blocks) else MAIN

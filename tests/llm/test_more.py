@@ -290,6 +290,28 @@ def test_names_are_read_from_whole_attributes(html, want):
     assert extraction.main_texts([html], 6, 3, 0.02) == [want]
 
 
+def main_text(html):
+    return [t for z, t in extraction.page_blocks(html) if z == extraction.MAIN]
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    ('<body><form id="aspnetForm"><nav>Menu</nav><article><p>one</p><form>ask</form><p>two</p></article></form>', ["one", "two"]),
+    ("<body><form><p>ask</p></form><article><p>one</p></article><form>more</form>", ["one"]),
+    ('<article><p>one <svg viewBox="0 > 1"/> two</p><p><iframe src="x"/>three</p></article>', ["one two", "three"]),
+    ("<article><p>one</p><button>go<p>two</p><button>x</button><p>three</p></article>", ["one", "go", "two", "three"]),
+    ("<article><p>one</p><button>go</button><select><option>a</select><p>two</p></article>", ["one", "two"]),
+    ("<article><p>one</p><svg><g><path d='1'/></g><text>no</text></svg><p>two</p><script>x < 1", ["one", "two"]),
+    ("<article><p>one</p><iframe src=x><p>two</p></article>", ["one", "two"]),
+])
+def test_forms_and_raw_elements_keep_the_article(html, want):
+    assert main_text(html) == want
+
+
+def test_a_thousand_open_buttons_take_no_time():
+    assert len(main_text("<article>" + "<button><p>text</p>" * 20_000 + "</article>")) == 20_000
+    assert main_text("<article><p>one</p>" + "<svg>" * 20_000) == ["one"]
+
+
 @pytest.mark.parametrize("group_pages", [8, 1000])
 def test_repeats_count_over_the_whole_host(spark, group_pages):
     often = "<p>these words are on four of the pages</p>"
