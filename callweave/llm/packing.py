@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from callweave.llm.common import small, stored
 
-CACHED_WORDS = 250_000
+CACHED_WORDS = 400_000
 MAX_QUEUES = 4096
 
 
