@@ -9,7 +9,7 @@ import pytest
 from brute import WORDS
 
 from callweave.llm import periodicity
-from callweave.llm.queries import QUERIES
+from callweave.llm.queries import QUERIES, with_repeats
 
 
 def brute_runs(w, least=12):
@@ -131,3 +131,22 @@ def test_query(spark, sf_dir):
         assert r.runs_sha256 == hashlib.sha256(listed.encode()).hexdigest()
         assert r.collapsed_sha256 == hashlib.sha256(brute_collapsed(w, runs).encode()).hexdigest()
     assert changed
+
+
+def test_repeats_of_odd_rows(spark):
+    texts = [None, "", " \t ", "one", "a\x0bb c", "x y z " * 30]
+    rows = [(k, t) for k in (None, *range(60)) for t in texts]
+    found = with_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows)
+    got = sorted((r.doc_id is None, r.doc_id or 0, (r.text is None, r.text or "")) for r in found)
+
+    def want(i, text):
+        w, h = WORDS.findall(text or ""), zlib.crc32(b"" if i is None else str(i).encode())
+        if h % 10 or not w:
+            return text
+        g, n = h // 10, len(w)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        return " ".join(w[k] if k < a else w[a + (k - a) % p] for k in range(n))
+
+    assert got == sorted((i is None, i or 0, ((x := want(i, t)) is None, x or "")) for i, t in rows)
