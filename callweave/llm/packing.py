@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 
 from callweave.llm.common import small, stored
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
+CACHED_PIECES = 60_000  # of words: what is left of them in lower case, between signs
 MAX_QUEUES = 4096
 
 
@@ -83,15 +84,15 @@ def word_encoder(path: str | None):
         """What ``make`` gives for a key. Of two generations the older one goes when the newer is full,
         so what is common stays."""
 
-        def __init__(self, make):
+        def __init__(self, make, most):
             super().__init__()
-            self.make, self.older = make, {}
+            self.make, self.most, self.older = make, most, {}
 
         def __missing__(self, key):
             value = self.older.get(key)
             if value is None:
                 value = self.make(key)
-            if len(self) >= CACHED_WORDS:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[key] = value
@@ -105,7 +106,7 @@ def word_encoder(path: str | None):
             piece = piece.encode().decode("latin-1").translate(shown)
         return array(code, [t.id for t in model.tokenize(piece)]).tobytes()
 
-    ids_of = Recent(encode_piece).__getitem__
+    ids_of = Recent(encode_piece, CACHED_PIECES).__getitem__
 
     def encode_word(word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
@@ -117,7 +118,7 @@ def word_encoder(path: str | None):
                 return b"".join(map(ids_of, pieces.findall(low)))
         return array(code, whole.encode(text, add_special_tokens=False).ids).tobytes()
 
-    get = Recent(encode_word).__getitem__
+    get = Recent(encode_word, CACHED_WORDS).__getitem__
 
     def encode(text: str) -> bytes:
         return b"".join(map(get, text.encode("utf-8", "replace").split()))
