@@ -201,3 +201,50 @@ def test_merged_files_with_quoted_breaks_split(spark, tmp_path, tiny_splits, hea
     key = lambda r: tuple(v or "" for v in r)
     assert sorted(got, key=key) == sorted(want, key=key)
     assert spark.read.option("lineSep", "\n").text(str(tmp_path)).rdd.getNumPartitions() > 3
+
+
+@pytest.fixture
+def stored_tables(monkeypatch):
+    """What the readers store, by label: the table and, taken while it is written, partitions and plan."""
+    seen, store = {}, splits._stored
+
+    def stored(df, label):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        many = df.rdd.getNumPartitions()
+        seen[label] = store(df, label), many, plan
+        return seen[label][0]
+
+    monkeypatch.setattr(splits, "_stored", stored)
+    return seen
+
+
+def test_damaged_arrays_are_not_held(spark, tmp_path, tiny_splits, stored_tables):
+    """No task gets what follows the damage as one record."""
+    line = json.dumps({"a": "x" * 50})
+    texts = {
+        "lines": f"{line}\n" * 200, "cut": f"[{line}" + f",{line}" * 200, "deep": ('[{"a":[' * 400 + line + "\n") * 20,
+        "closed_early": f"[{line}]" + f",{line}" * 200 + "]", "unclosed": "[" + '{"a":[' * 3000, "sound": f"[{line}" + f",\n{line}" * 200 + "]",
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    found = record_files.read_whole(spark, [str(tmp_path)], "json")
+    assert faults_of(found) == {f"{n}.json" for n in texts if n != "sound"}
+    assert found.where("error is not null").count() == 5 and found.where("record is not null").count() == 201
+    parts = stored_tables["split-records"][0].where("text is not null")
+    assert parts.where("path not like '%/sound.json'").count() == 0
+
+
+def test_streams_are_read_in_order_without_sorting(spark, tmp_path, tiny_splits, stored_tables):
+    """Files are unsplit and one a task, so a task's memory does not grow with them."""
+    body = "".join(f"<cdr_record><imei>{k}</imei></cdr_record>" for k in range(500))
+    for name in ("a", "b", "c"):
+        (tmp_path / f"{name}.xml").write_text(f"<d>{body}</d>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = splits.streamed(
+        lambda separator: spark.read.option("lineSep", separator).text(str(tmp_path)), "xml",
+        record_files._kinds("cdr_record")["xml"],
+    )
+    _, many, plan = stored_tables["streamed"]
+    assert many == 3 and "Exchange" not in plan and "Sort" not in plan
+    assert found.where("record is not null").count() == 1500 and not faults_of(found)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
