@@ -183,14 +183,18 @@ def keep_required(df: DataFrame, spec: RecordSpec) -> DataFrame:
     return df.where(has_required(spec, df.columns))
 
 
-def lacking_required(df: DataFrame, spec: RecordSpec) -> DataFrame:
-    """The rows ``keep_required`` drops, with the names of the columns at fault."""
+def _faults(spec: RecordSpec, columns: list[str]) -> Column:
     faults = [
         F.when(F.col(k).isNull() | (F.trim(F.col(k).cast("string")) == ""), F.lit(k))
         for k in spec.keys
-        if k in df.columns
+        if k in columns
     ]
-    return df.where(~has_required(spec, df.columns)).withColumn("faults", F.array_compact(F.array(*faults)))
+    return F.array_compact(F.array(*faults))
+
+
+def lacking_required(df: DataFrame, spec: RecordSpec) -> DataFrame:
+    """The rows ``keep_required`` drops, with the names of the columns at fault."""
+    return df.where(~has_required(spec, df.columns)).withColumn("faults", _faults(spec, df.columns))
 
 
 def clean_live(df: DataFrame, spec: RecordSpec, match: str = "casefold", value: str = "value") -> DataFrame:
@@ -212,6 +216,21 @@ def dropped_messages(df: DataFrame, spec: RecordSpec, match: str = "casefold", v
     return lacking_required(rows, spec).select("body", faults.alias("faults"))
 
 
+def live_messages(df: DataFrame, spec: RecordSpec, match: str = "casefold", value: str = "value") -> DataFrame:
+    """``clean_live`` and ``dropped_messages`` in one frame, each message read and parsed once: fields of kept rows, ``body`` and
+    ``faults`` of dropped ones, the rest null."""
+    bodies = df.select(F.col(value).cast("string").alias("body"))
+    rows = parse_messages(bodies, spec, "body", ["body"]).transform(live_values, spec, match, ["body"])
+    rows = rows.withColumn("_kept", has_required(spec, rows.columns))
+    foreign = F.from_json("body", "map<string,string>").isNull()
+    faults = F.when(foreign, F.concat(F.array(F.lit("body")), _faults(spec, rows.columns))).otherwise(_faults(spec, rows.columns))
+    return rows.select(
+        *[F.when(F.col("_kept"), F.col(f)).alias(f) for f in spec.fields],
+        F.when(~F.col("_kept"), F.col("body")).alias("body"),
+        F.when(~F.col("_kept"), faults).alias("faults"),
+    )
+
+
 def published_values(df: DataFrame, spec: RecordSpec) -> DataFrame:
     """The publish profile on text rows: columns as they go into a message.
 

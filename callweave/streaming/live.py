@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from callweave.operators.cleaning import clean_live, dropped_messages
 from callweave.operators.distinct import distinct_stream
+from callweave.operators.quality import count_on_the_way, counts_seen
 from callweave.sinks.tables import append_jdbc
 from callweave.specs import RecordSpec
 
@@ -66,6 +67,7 @@ def epoch_sink(path: str) -> BatchSink:
             raise RuntimeError(f"{root} holds the rows of {others[0]}: restart from its checkpoint or take a new target")
         batch.write.mode("overwrite").parquet(f"{root}/{own}/epoch={epoch}")
 
+    write.reads_once = True
     return write
 
 
@@ -81,10 +83,22 @@ def read_epochs(spark: SparkSession, path: str, spec: RecordSpec) -> DataFrame:
 
 def split_sink(sink: BatchSink, spec: RecordSpec, quarantine: str | None, totals: str | None) -> BatchSink:
     """Rows of ``live_outputs``: kept ones to ``sink``, dropped ones to the folder ``quarantine``, the numbers of
-    both to the folder ``totals``, the latter two per query and epoch as ``epoch_sink`` does."""
+    both to the folder ``totals``, the latter two per query and epoch as ``epoch_sink`` does.
+
+    A sink that says so (``reads_once``) gets rows that are counted as it writes them, so without
+    ``quarantine`` nothing is held; else the micro-batch is, as it is read several times."""
     dropped = F.col("faults").isNotNull()
+    in_one_go = totals and not quarantine and getattr(sink, "reads_once", False)
 
     def write(batch: DataFrame, epoch: int) -> None:
+        if in_one_go:
+            rows, seen = count_on_the_way(batch, dropped=F.count_if(dropped))
+            sink(rows.where(~dropped).select(*spec.fields), epoch)
+            left = counts_seen(seen)
+            gone = left.get("dropped") or 0
+            counts = batch.sparkSession.createDataFrame([((left.get("records") or 0) - gone, gone)], "kept long, dropped long")
+            epoch_sink(totals)(counts, epoch)
+            return
         batch.persist()
         try:
             sink(batch.where(~dropped).select(*spec.fields), epoch)

@@ -221,3 +221,62 @@ def test_batch_and_live_agree_on_clean_rows(spark):
     typed = flat.withColumn("call_duration", F.col("call_duration").cast("int")).withColumn("is_fraud", F.lit(False))
     message = typed.select(F.to_json(F.struct("*")).alias("value"))
     assert cleaning.clean_live(message, CDR).collect() == cleaning.clean_batch(flat, CDR).collect()
+
+
+def test_live_messages_are_kept_and_dropped_in_one(spark):
+    """One parse gives what the two frames give."""
+    from callweave.operators import cleaning
+    from callweave.specs import SPECS
+
+    bodies = ["", "{", "[]", "null", "{}", '{"event_id": " "}', '{"event_id": "E1", "user_id": "1", "event_time": "2024-01-02 03:04:05"}',
+              '{"event_id": "E1", "user_id": "1", "event_time": "later"}', '{"user_id": "1", "timestamp": "2024-01-02 03:04:05", "domain": "d"}',
+              '{"caller_id": "1", "call_start": "2024-01-02 03:04:05", "callee_id": "2"}', None]
+    df = spark.createDataFrame([(b,) for b in bodies], "value string")
+    for spec in SPECS.values():
+        want = cleaning.clean_live(df, spec).unionByName(cleaning.dropped_messages(df, spec), allowMissingColumns=True)
+        got = cleaning.live_messages(df, spec)
+        assert got.columns == want.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_totals_alone_hold_no_batch(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from callweave.operators import cleaning
+    from callweave.specs import EDR
+    from callweave.streaming import live
+
+    def refuse(*_):
+        raise AssertionError("micro-batch held")
+
+    good = '{"event_id": "E%d", "user_id": "1", "event_time": "2024-01-02 03:04:05"}'
+    df = spark.createDataFrame([(good % k,) for k in range(7)] + [("{",)] * 3, "value string")
+    batch = cleaning.live_messages(df, EDR)
+    write = live.split_sink(live.epoch_sink(str(tmp_path / "rows")), EDR, None, str(tmp_path / "totals"))
+    with monkeypatch.context() as m:
+        m.setattr(DataFrame, "persist", refuse)
+        write(batch, 0)
+    assert spark.read.parquet(str(tmp_path / "totals")).select("kept", "dropped").first() == (7, 3)
+    assert live.read_epochs(spark, str(tmp_path / "rows"), EDR).count() == 7
+
+
+def test_state_lies_on_disk_in_sessions_made_elsewhere(spark):
+    from callweave.session import ROCKSDB, STATE_PROVIDER, prepare
+
+    other = spark.newSession()
+    other.conf.unset(STATE_PROVIDER)
+    before = STATE_PROVIDER in other.conf.getAll
+    prepare(other)
+    assert before or other.conf.get(STATE_PROVIDER) == ROCKSDB
+    other.conf.set(STATE_PROVIDER, "x.Own")
+    assert prepare(other).conf.get(STATE_PROVIDER) == "x.Own"
+
+
+def test_bodies_of_both_halves_are_made_once(spark, sf_dir, tmp_path, monkeypatch):
+    from callweave.plans import queries
+
+    made = []
+    bodies = queries.message_bodies(spark, sf_dir, "edr")
+    monkeypatch.setattr(queries, "message_bodies", lambda *a: made.append(a) or bodies)
+    counts = [spark.read.parquet(str(tmp_path / "feed")).count() for _ in queries.landed_halves(spark, sf_dir, "edr", str(tmp_path / "feed"))]
+    assert len(made) == 1 and 0 < counts[0] < counts[1] == bodies.count()
