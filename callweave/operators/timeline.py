@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,13 +90,18 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     part, who, place = TaskContext.get().partitionId(), object(), 0
     for batch in batches:
-        places = []
-        for subscriber in batch.column(0).to_pylist():
-            place = place + 1 if subscriber == who else 1
-            who = subscriber
-            places.append(place)
+        many = batch.num_rows
+        if not many:
+            continue
+        codes = batch.column(0).dictionary_encode(null_encoding="encode").indices.to_numpy()
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(codes)) + 1])
+        runs = np.diff(np.append(starts, many))
+        places = np.arange(1, many + 1, dtype=np.int64) - np.repeat(starts, runs)
+        if batch.column(0)[0].as_py() == who:  # goes on from the batch before
+            places[: runs[0]] += place
+        who, place = batch.column(0)[many - 1].as_py(), int(places[-1])
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array([part] * len(places), pa.int32()), pa.array(places, pa.int64())],
+            [*batch.columns, pa.array(np.full(many, part, np.int32)), pa.array(places)],
             names=[*batch.schema.names, "slice", "place"],
         )
 

@@ -134,3 +134,22 @@ def test_work_path_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         work_path(Session(), "x")
+
+
+def test_places_count_on_over_batches(spark):
+    """Subscribers, null among them, that go on from one Arrow batch to the next."""
+    import pyarrow as pa
+
+    from callweave.operators.timeline import _places
+
+    def parts(rows):
+        for part in rows:
+            yield from _places(
+                pa.RecordBatch.from_pydict({"subscriber": pa.array(b, pa.string()), "ts": pa.array(range(len(b)))})
+                for b in ([], [None, None, "a"], ["a"], ["a", "a", "b", "c", "c"], ["d"], ["e"])
+            )
+
+    # the workers' task context is there in a job only
+    got = spark.sparkContext.parallelize([0], 1).mapPartitions(lambda r: [b.to_pydict() for b in parts(r)]).collect()
+    assert [p for b in got for p in b["place"]] == [1, 2, 1, 2, 3, 4, 1, 1, 2, 1, 1]
+    assert {s for b in got for s in b["slice"]} == {0}
