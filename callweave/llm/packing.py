@@ -27,6 +27,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,8 +35,14 @@ from pyspark.sql import types as T
 
 from callweave.llm.common import small, stored
 
-CACHED_WORDS = 150_000
-CACHED_PIECES = 60_000  # of words: what is left of them in lower case, between signs
+CACHED_PIECES = 100_000  # of words: what is left of them in lower case, between signs
+CACHED_LONG = 20_000  # words that don't fit the table, up to LONG_BYTES each
+LONG_BYTES = 256
+PLACES = 1 << 20  # in the table of words; 42 bytes each
+WAYS = 4  # places a word may take
+WORD_BYTES, WORD_IDS = 23, 8  # most of a word in the table
+SEGMENT = 1 << 19  # bytes of text encoded at once, cut between words
+SLICE = 1 << 23  # bytes of text in one batch of tokens, unless one row is longer
 MAX_QUEUES = 4096
 
 
@@ -48,23 +55,37 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Recent(dict):
+    """What ``make`` gives for a key. Of two generations the older one goes when the newer is full,
+    so what is common stays."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def word_encoder(path: str | None):
-    """``(encode, dtype)``: ids of a text as bytes of ``dtype``, equal to the tokenizer's own.
+    """``(encode, dtype)``: ids of a word as bytes of ``dtype``, equal to the tokenizer's own.
 
-    The tokenizer drops white space and never joins across it, so words are encoded
-    once each and kept, and so are their pieces; common words go straight to its model, all others
-    through the whole tokenizer. What is kept lives as long as the Python worker, up to a bound."""
+    Pieces of words are kept; common words go straight to the tokenizer's model, all others
+    through the whole tokenizer."""
     import json
     import re
-    import sys
 
     import regex
     from tokenizers import Tokenizer
 
     path = path or default_tokenizer()
-    kept = sys.modules.setdefault("_callweave_encoders", SimpleNamespace(by_path={}))
-    if path in kept.by_path:
-        return kept.by_path[path]
     whole = Tokenizer.from_file(path)
     model = whole.model
     dtype = np.dtype("<u2") if whole.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
@@ -79,25 +100,6 @@ def word_encoder(path: str | None):
     shown = {b: chr(256 + k) for k, b in enumerate(others)} | {b: chr(b) for b in plain}
     pieces = regex.compile(split) if simple else None
     common = re.compile("[\x21-\x7e\xa1-įı-ɏ]+")  # NFC, and lower case character by character
-
-    class Recent(dict):
-        """What ``make`` gives for a key. Of two generations the older one goes when the newer is full,
-        so what is common stays."""
-
-        def __init__(self, make, most):
-            super().__init__()
-            self.make, self.most, self.older = make, most, {}
-
-        def __missing__(self, key):
-            value = self.older.get(key)
-            if value is None:
-                value = self.make(key)
-            if len(self) >= self.most:
-                self.older = dict(self)
-                self.clear()
-            self[key] = value
-            return value
-
     code = "H" if dtype.itemsize == 2 else "I"
     has_special = re.compile("|".join(map(re.escape, special)) or r"(?!)").search
 
@@ -113,42 +115,216 @@ def word_encoder(path: str | None):
         if simple and (text.isascii() and text.isprintable() or common.fullmatch(text)):
             low = text.lower()
             if low.isalpha():
-                return ids_of(low)
+                return ids_of(low) if len(low) <= LONG_BYTES else encode_piece(low)
             if not has_special(text):
-                return b"".join(map(ids_of, pieces.findall(low)))
+                found = pieces.findall(low)
+                return b"".join(map(ids_of if len(low) <= LONG_BYTES else encode_piece, found))
         return array(code, whole.encode(text, add_special_tokens=False).ids).tobytes()
 
-    get = Recent(encode_word, CACHED_WORDS).__getitem__
-
-    def encode(text: str) -> bytes:
-        return b"".join(map(get, text.encode("utf-8", "replace").split()))
+    return encode_word, dtype
+
+
+class WordTable:
+    """Ids of all words of texts, from ``encode``, which gives those of one word.
+
+    The tokenizer drops white space and never joins across it, so words are encoded once each and kept:
+    in arrays by their bytes themselves, looked up for many words at once. A word has ``WAYS`` places; a new one
+    takes an empty place, or else one not used since a word was last put there. Words that don't fit the arrays
+    are kept apart. The bounds on both are fixed."""
+
+    def __init__(self, encode, dtype: np.dtype, places: int = PLACES):
+        self.encode, self.dtype, self.sets = encode, dtype, np.uint64(places // WAYS)
+        self.keys = np.zeros((3, places), np.uint64)  # bytes of a word, its length in the last; 0 where empty
+        self.ids = np.zeros((places, WORD_IDS), dtype)
+        self.n = np.zeros(places, np.uint8)
+        self.used = np.zeros(places, bool)
+        self.long = Recent(encode, CACHED_LONG)
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        """The first place of each key."""
+        h = keys[0] * np.uint64(0x9E3779B97F4A7C15)
+        for k, m in ((1, 0xC2B2AE3D27D4EB4F), (2, 0x165667B19E3779F9)):
+            h ^= h >> np.uint64(32)
+            h = (h + keys[k]) * np.uint64(m)
+        h ^= h >> np.uint64(32)
+        return (h % self.sets).astype(np.int64) * WAYS
+
+    def _find(self, keys: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 where it has none."""
+        place = np.full(len(first), -1)
+        left = None  # not found so far: all
+        for way in range(WAYS):
+            at = (first if left is None else first[left]) + way
+            want = keys if left is None else keys[:, left]
+            same = (self.keys[2][at] == want[2]) & (self.keys[0][at] == want[0]) & (self.keys[1][at] == want[1])
+            here = np.flatnonzero(same)
+            place[here if left is None else left[here]] = at[here]
+            left = np.flatnonzero(~same) if left is None else left[~same]
+        return place
+
+    def _put(self, keys: np.ndarray, first: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        """Keeps new keys; of several for one place the first, the others are left out."""
+
+        def put(which, at):
+            at, one = np.unique(at, return_index=True)
+            which = which[one]
+            self.keys[:, at], self.ids[at], self.n[at], self.used[at] = keys[:, which], ids[which], n[which], False
+            return which
+
+        left = np.arange(len(first))
+        for way in range(WAYS):
+            at = first[left] + way
+            free = self.keys[2][at] == 0
+            left = np.setdiff1d(left, put(left[free], at[free]), assume_unique=True)
+        ways = first[left][:, None] + np.arange(WAYS)
+        used = self.used[ways]
+        put(left, first[left] + np.argmin(used, axis=1))
+        self.used[ways[used.all(axis=1)]] = False
+
+    def words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, counts)``: the ids of the words of ``data`` one after another, and how many each has.
+        ``data`` goes on for ``WORD_BYTES`` + 1 bytes past the last word's beginning."""
+        size = ends - starts
+        counts = np.zeros(len(starts), np.int64)
+        rows = np.empty((len(starts), WORD_IDS), self.dtype)
+        fits = size <= WORD_BYTES
+        short = np.flatnonzero(fits)
+        eight = np.lib.stride_tricks.as_strided(data[:8].view("<u8"), (len(data) - 7,), (1,))
+        keys = np.empty((3, len(short)), np.uint64)
+        bytes_of = size[short]
+        for k in range(3):
+            kept = np.clip(bytes_of - 8 * k, 0, 8)
+            keys[k] = eight[starts[short] + 8 * k] & _MASKS[kept]
+        keys[2] |= bytes_of.astype(np.uint64) << np.uint64(56)
+        first = self._first(keys)
+        place = self._find(keys, first)
+        hit = place >= 0
+        at = place[hit]
+        self.used[at] = True
+        rows[short[hit]], counts[short[hit]] = self.ids[at], self.n[at]
+
+        more = {}  # ids of words with more than fit a row
+        new = np.flatnonzero(~hit)
+        if len(new):
+            order = new[np.lexsort(keys[:, new])]
+            differs = np.r_[True, (keys[:, order[1:]] != keys[:, order[:-1]]).any(axis=0)]
+            one, kind = order[differs], np.cumsum(differs) - 1
+            a, b = starts[short[one]], ends[short[one]]
+            found = [self.encode(data[i:j].tobytes()) for i, j in zip(a.tolist(), b.tolist())]
+            n = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+            few = n <= WORD_IDS
+            ids = np.zeros((len(found), WORD_IDS), self.dtype)
+            ids[(np.arange(WORD_IDS) < n[:, None]) & few[:, None]] = np.frombuffer(
+                b"".join(f for f, ok in zip(found, few.tolist()) if ok), self.dtype
+            )
+            rows[short[order]], counts[short[order]] = ids[kind], n[kind]
+            for k in np.flatnonzero(~few[kind]).tolist():
+                more[int(short[order[k]])] = found[kind[k]]
+            one = one[few]
+            self._put(keys[:, one], first[one], ids[few], n[few])
+        for k in np.flatnonzero(~fits).tolist():
+            word = data[starts[k] : ends[k]].tobytes()
+            more[k] = self.long[word] if len(word) <= LONG_BYTES else self.encode(word)
+            counts[k] = len(more[k]) // self.dtype.itemsize
+
+        inline = counts.copy()
+        inline[list(more)] = 0
+        flat = rows[np.arange(WORD_IDS) < inline[:, None]]
+        if more:  # set between the others
+            out, apart = np.empty(counts.sum(), self.dtype), np.zeros(counts.sum(), bool)
+            place = np.cumsum(counts) - counts
+            for k, found in more.items():
+                out[place[k] : place[k] + counts[k]] = np.frombuffer(found, self.dtype)
+                apart[place[k] : place[k] + counts[k]] = True
+            out[~apart] = flat
+            flat = out
+        return flat, counts
+
+    def texts(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, ends)``: the ids of all texts, each with ``end_id`` behind it, and where each text ends in them."""
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
+        offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+        base, stop = int(offsets[0]), int(offsets[-1])
+        buffer = texts.buffers()[2]
+        data = np.frombuffer(buffer, np.uint8)[base:stop] if buffer is not None else np.zeros(0, np.uint8)
+        borders = offsets - base
+        done, before, total, a = [], np.zeros(len(borders), np.int64), 0, 0
+        row, reach = 0, SEGMENT
+        while a < len(data):
+            b = min(a + reach, len(data))
+            part = np.zeros(b - a + WORD_BYTES + 9, np.uint8)
+            part[: b - a] = data[a:b]
+            inner = borders[row : np.searchsorted(borders, b, "right")] - a
+            inside = np.zeros(b - a + 2, bool)  # of a word; shifted by one
+            inside[1:-1] = _IN_WORD[part[: b - a]]
+            starts, ends = inside[1:] & ~inside[:-1], inside[:-1] & ~inside[1:]
+            edges = inner[inside[inner + 1] & inside[inner]]  # texts that meet without a space
+            starts[edges] = ends[edges] = True
+            starts, ends = np.flatnonzero(starts), np.flatnonzero(ends)
+            if b < len(data) and len(ends) and ends[-1] == b - a and borders[np.searchsorted(borders, b)] != b:
+                if starts[-1] == 0:  # the word may go on: a longer part, or from its beginning next
+                    reach *= 2
+                    continue
+                b = a + int(starts[-1])
+                starts, ends = starts[:-1], ends[:-1]
+                inner = inner[inner <= b - a]
+            ids, counts = self.words(part, starts, ends) if len(starts) else (np.zeros(0, self.dtype), np.zeros(0, np.int64))
+            sums = np.r_[0, np.cumsum(counts)]
+            before[row : row + len(inner)] = total + sums[np.searchsorted(starts, inner)]
+            row, total, a, reach = row + len(inner), total + len(ids), b, SEGMENT
+            done.append(ids)
+        before[row:] = total
+        counts = np.diff(before) + 1
+        ends = np.cumsum(counts)
+        out, is_end = np.empty(total + len(texts), self.dtype), np.zeros(total + len(texts), bool)
+        is_end[ends - 1] = True
+        out[is_end] = end_id
+        if done:
+            out[~is_end] = np.concatenate(done)
+        return out, ends
+
+
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[[9, 10, 11, 12, 13, 32]] = False
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def word_table(path: str | None) -> WordTable:
+    """The table of a tokenizer's words; it lives as long as the Python worker."""
+    import sys
 
-    kept.by_path[path] = encode, dtype
-    return encode, dtype
+    kept = sys.modules.setdefault("_callweave_encoders", SimpleNamespace(by_path={}))
+    path = path or default_tokenizer()
+    if path not in kept.by_path:
+        kept.by_path[path] = WordTable(*word_encoder(path))
+    return kept.by_path[path]
 
 
 def _token_batches(batches: Iterator[pa.RecordBatch], tokenizer: str | None, end_id: int) -> Iterator[pa.RecordBatch]:
     """Rows (id, queue, text) to (id, queue, part, start, n, ids): ``start`` counts tokens of the queue in this task."""
     from pyspark import TaskContext
 
-    encode, dtype = word_encoder(tokenizer)
-    end = np.array([end_id], dtype).tobytes()
+    table = word_table(tokenizer)
+    width = table.dtype.itemsize
     part, given = TaskContext.get().partitionId(), {}
     for batch in batches:
-        for a in range(0, batch.num_rows, 500):
-            rows = batch.slice(a, 500)
-            starts, sizes, ids = [], [], []
-            for queue, text in zip(rows.column(1).to_pylist(), rows.column(2).to_pylist()):
-                data = (encode(text) if text else b"") + end
-                n = len(data) // dtype.itemsize
+        upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        a = 0
+        while a < batch.num_rows:
+            b = int(np.searchsorted(upto, (upto[a - 1] if a else 0) + SLICE, "right"))
+            b = min(max(b, a + 1), a + 500)
+            rows = batch.slice(a, b - a)
+            a = b
+            ids, ends = table.texts(rows.column(2), end_id)
+            sizes, starts = np.diff(ends, prepend=0).tolist(), []
+            for queue, n in zip(rows.column(1).to_pylist(), sizes):
                 starts.append(given.get(queue, 0))
                 given[queue] = starts[-1] + n
-                sizes.append(n)
-                ids.append(data)
+            places = pa.array(np.r_[0, ends * width], pa.int32()).buffers()[1]
             yield pa.RecordBatch.from_arrays(
                 [
-                    rows.column(0), rows.column(1), pa.array([part] * len(ids), pa.int32()), pa.array(starts, pa.int64()),
-                    pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
+                    rows.column(0), rows.column(1), pa.array([part] * len(sizes), pa.int32()), pa.array(starts, pa.int64()),
+                    pa.array(sizes, pa.int64()), pa.Array.from_buffers(pa.binary(), len(sizes), [None, places, pa.py_buffer(ids)]),
                 ],
                 names=["id", "queue", "part", "start", "n", "ids"],
             )
@@ -347,7 +523,7 @@ def pack(
     bases = stored(parts.select("queue", "part", "tokens", F.coalesce(before, F.lit(0)).alias("base")), "packing-bases")
     sizes = {r[0]: r[1] for r in bases.groupBy("queue").agg(F.sum("tokens")).collect()}  # at most MAX_QUEUES, and those with targets
     plan = phases(sizes, named, length)
-    _, dtype = word_encoder(tokenizer)
+    width = word_table(tokenizer).dtype.itemsize
     placed = tokens.join(small(bases.drop("tokens")), ["queue", "part"]).select(
         "id", "queue", (F.col("base") + F.col("start")).alias("from"), "n", "ids"
     )
@@ -358,7 +534,7 @@ def pack(
             T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()),
         ]
     )
-    pieces = placed.mapInArrow(partial(_piece_batches, plan=plan, length=length, width=dtype.itemsize), schema)
+    pieces = placed.mapInArrow(partial(_piece_batches, plan=plan, length=length, width=width), schema)
     return pieces.withColumnRenamed("id", "doc_id")
 
 

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +123,47 @@ def test_phases_use_up_every_queue(sizes, targets):
     assert {q: n for q, n in used.items() if n} == {q: n for q, n in sizes.items() if n}
 
 
+@pytest.mark.parametrize("segment", [1, 7, 300, packing.SEGMENT])
+@pytest.mark.parametrize("places", [16, 1 << 12])
+def test_word_table_gives_what_the_tokenizer_gives(monkeypatch, segment, places):
+    monkeypatch.setattr(packing, "SEGMENT", segment)
+    rng, tok = random.Random(segment), tokenizer()
+    bits = ["the", "a", "é", " ", " ", "\n", "x" * 9, "'s", "1", "!", "\0", "中", "tion", "Ing"]
+    edges = ["a", "a\0", "a\0\0 \0 a", "b" * 23 + " " + "b" * 24, "!?" * 4 + "1" * 8, "1" * 9, "q" * 300, "c" * 8 + " " + "c" * 16]
+    table = packing.WordTable(*packing.word_encoder(None), places=places)
+    for _ in range(3):
+        texts = ODD_TEXTS + edges + ["".join(rng.choices(bits, k=rng.randint(0, 40))) for _ in range(200)]
+        rng.shuffle(texts)
+        column = pa.array(["before", *texts, "after"], pa.string()).slice(1, len(texts))
+        ids, ends = table.texts(column, 2)
+        for text, got in zip(texts, np.split(ids, ends[:-1])):
+            assert got.tolist() == [*tok.encode(text or "", add_special_tokens=False).ids, 2], text
+    assert table.texts(pa.array([], pa.string()), 2)[0].size == 0
+
+
+def test_kept_words_are_not_encoded_again():
+    encode, dtype = packing.word_encoder(None)
+    calls = Counter()
+
+    def counted(word):
+        calls["all"] += 1
+        return encode(word)
+
+    table = packing.WordTable(counted, dtype)
+    texts = pa.array([" ".join(f"w{k}" for k in range(a, a + 1000)) for a in range(0, 400_000, 1000)])
+    first = table.texts(texts, 2)
+    assert calls["all"] == 400_000
+    again = table.texts(texts, 2)
+    assert calls["all"] < 440_000  # few had no place
+    assert all(np.array_equal(x, y) for x, y in zip(first, again))
+    small = packing.WordTable(counted, dtype, places=256)
+    calls.clear()
+    rare = iter(range(10**6))
+    for _ in range(50):  # common words stay while rare ones pass through
+        small.texts(pa.array(["the of and to " * 5 + " ".join(f"r{next(rare)}" for _ in range(100))]), 2)
+    assert calls["all"] < 50 * 100 + 100
+
+
 # ---- chat ----------------------------------------------------------------
 def digests(turns):
     """By conversation, from rows (conv, turn, role, text)."""
