@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import wraps
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +41,21 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def released(make: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """``make``, which makes a task's batches; behind them Arrow's unused memory goes back to the machine.
+
+    Spark keeps idle Python workers, and beside them the next job's JVM wants its whole heap."""
+
+    @wraps(make)
+    def batches(*args, **options):
+        try:
+            yield from make(*args, **options)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return batches
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

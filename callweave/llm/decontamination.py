@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callweave.llm.common import stored
+from callweave.llm.common import released, stored
 
 #: Bytes to lower case, and every byte that is no part of a word to a space.
 WORD_BYTES = bytes(
@@ -199,8 +199,10 @@ RESULT = [
 SPANS_ARROW = pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))
 
 
-def _scan(batches: Iterator[pa.RecordBatch], block, rate: int, shard_words: int) -> Iterator[pa.RecordBatch]:
-    """Rows (doc, text, n_words, spans, items): the last three from earlier blocks, merged with this one's."""
+@released
+def _scan(batches: Iterator[pa.RecordBatch], block, rate: int, shard_words: int, cut: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows (doc, text, n_words, spans, items): the last three from earlier blocks, merged with this one's.
+    ``cut``: the words of all spans are cut out of ``text``."""
     windows = block.value
     get = windows.vocabulary.get
 
@@ -230,9 +232,11 @@ def _scan(batches: Iterator[pa.RecordBatch], block, rate: int, shard_words: int)
                         covered[s["first"] : s["past"]] = True
                     old_spans[r] = _merge(covered)
                     old_items[r] = sorted({*old_items[r], *items[at + r]})
+            texts = batch.column("text")
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(c) for c in ("doc", "text")),
+                    batch.column("doc"),
+                    pa.array(_cut(texts, old_spans), pa.string()) if cut else texts,
                     pa.array([len(d) for d in docs[at : at + n]], pa.int64()),
                     pa.array(old_spans, SPANS_ARROW),
                     pa.array(old_items, pa.list_(pa.string())),
@@ -260,12 +264,14 @@ def _scan(batches: Iterator[pa.RecordBatch], block, rate: int, shard_words: int)
 def contaminated_spans(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
     width: int = 10, rate: int = 8, shard_words: int = 1_000_000, max_block_words: int = 2_000_000,
-    payload: list[str] | None = None,
+    payload: list[str] | None = None, cut: bool = False,
 ) -> DataFrame:
     """``(doc, text, n_words, spans, items)`` per row of ``docs``.
 
     ``doc`` is the struct of the ``payload`` columns (all by default), ``spans`` the merged word
-    ranges that occurrences of windows cover, ``items`` the ids (as text, sorted) they come from."""
+    ranges that occurrences of windows cover, ``items`` the ids (as text, sorted) they come from.
+    With ``cut`` the last pass also cuts the covered words out of ``text``: a pass of its own would hold
+    a second Python worker for every core."""
     spark = docs.sparkSession
     body = F.struct(*(F.col(f"`{c}`") for c in (payload or docs.columns)))
     rows = docs.select(
@@ -279,7 +285,8 @@ def contaminated_spans(
     for k in range(blocks):
         part = source.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         block = spark.sparkContext.broadcast(benchmark_windows([tuple(r) for r in part.collect()], width))
-        rows = rows.mapInArrow(partial(_scan, block=block, rate=rate, shard_words=shard_words), schema)
+        scan = partial(_scan, block=block, rate=rate, shard_words=shard_words, cut=cut and k == blocks - 1)
+        rows = rows.mapInArrow(scan, schema)
         if k < blocks - 1:
             rows = stored(rows, f"contaminated{k}")
     return rows
@@ -302,19 +309,12 @@ def _cut(texts: pa.Array, spans: list) -> list[str | None]:
     return out
 
 
-def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = pa.array(_cut(batch.column("text"), batch.column("spans").to_pylist()), pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), texts, batch.column("n_words"), batch.column("spans")], names=["doc", "text", "n_words", "spans"])
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` without the covered words; rows of which no word is left go, wordless rows stay.
 
     A column ``n_chars`` follows the new text."""
     others = [c for c in docs.columns if c != text]  # the text travels once
-    found = contaminated_spans(docs, benchmark, text, payload=others, **options).drop("items")
-    cut = found.mapInArrow(_cut_batches, found.schema)
+    cut = contaminated_spans(docs, benchmark, text, payload=others, cut=True, **options)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["past"] - s["first"])
     cut = cut.where((hit == 0) | (hit < F.col("n_words")))
 

@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callweave.llm.common import small, stored
+from callweave.llm.common import released, small, stored
 
 CACHED_PIECES = 100_000  # of words: what is left of them in lower case, between signs
 CACHED_LONG = 20_000  # words that don't fit the table, up to LONG_BYTES each
@@ -300,6 +300,7 @@ def word_table(path: str | None) -> WordTable:
     return kept.by_path[path]
 
 
+@released
 def _token_batches(batches: Iterator[pa.RecordBatch], tokenizer: str | None, end_id: int) -> Iterator[pa.RecordBatch]:
     """Rows (id, queue, text) to (id, queue, part, start, n, ids): ``start`` counts tokens of the queue in this task."""
     from pyspark import TaskContext
@@ -460,6 +461,7 @@ def _window_at(plan: list, queue, at: int) -> tuple[int, int, int, int, int]:
     raise AssertionError("a token past its queue's end")
 
 
+@released
 def _piece_batches(batches: Iterator[pa.RecordBatch], plan: list, length: int, width: int) -> Iterator[pa.RecordBatch]:
     """Rows (id, queue, from, n, ids) to pieces; ``from`` is the document's place in its queue."""
     last = plan[-1][0] if plan else 0
