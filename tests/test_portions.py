@@ -52,7 +52,7 @@ def rows_of(df):
 
 @pytest.mark.parametrize(
     "query, limit, tree, many",
-    [("crawl_files", "CRAWL_ROWS", "_crawl_root", 5940), ("standardize_job", "DAMAGED_ROWS", "_damaged_root", 1980)],
+    [("crawl_files", "CRAWL_ROWS", "_crawl_root", 5940), ("crawl_report", "DAMAGED_ROWS", "_damaged_root", 1980), ("standardize_job", "DAMAGED_ROWS", "_damaged_root", 1980)],
 )
 def test_portions_give_the_whole_result_with_one_tree_at_a_time(spark, base, monkeypatch, query, limit, tree, many):
     before, make, trees = landed(spark), getattr(Q, tree), []
